@@ -61,14 +61,14 @@ def is_holiday(date_col: str | Column) -> Column:
     return F.coalesce(expr, F.lit(False))
 
 
-def holiday_sql(d: str) -> str:
+def holiday_sql(d: str, rules=HOLIDAY_RULES) -> str:
     """DuckDB twin of :func:`is_holiday` for a DATE expression ``d``."""
 
     def fixed_on(x: str, month: int, day: int, since: int) -> str:
         return f"(month({x}) = {month} AND day({x}) = {day} AND year({x}) >= {since})"
 
     parts = []
-    for _, month, kind, num, weekday, since in HOLIDAY_RULES:
+    for _, month, kind, num, weekday, since in rules:
         if kind == "fixed":
             nxt, prv = f"({d} + 1)", f"({d} - 1)"
             parts.append(
@@ -84,6 +84,15 @@ def holiday_sql(d: str) -> str:
     return "coalesce(" + " OR ".join(parts) + ", false)"
 
 
+def holiday_name_sql(d: str) -> str:
+    """DuckDB twin of :func:`holiday_name`."""
+    whens = []
+    for rule in HOLIDAY_RULES:
+        name = rule[0].replace("'", "''")
+        whens.append(f"WHEN {holiday_sql(d, (rule,))} THEN '{name}'")
+    return "CASE " + " ".join(whens) + " END"
+
+
 def holiday_name(date_col: str | Column) -> Column:
     """Name of the holiday on that date (observed days carry the same name)."""
     d = F.col(date_col) if isinstance(date_col, str) else date_col

@@ -13,6 +13,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MONEY_UNIT = 10_000.0  # amounts are kept to 1e-4 currency units
+
+
+def round_money(c: F.Column) -> F.Column:
+    """Snap a money amount to 1e-4 units (``round(x·10⁴)/10⁴``).
+
+    Sums of 4-decimal amounts are exact decimals; floating partial sums add
+    noise whose last bits depend on the (nondeterministic) order in which
+    partial aggregates merge.  Snapping restores the exact amount, so reruns
+    and downstream windows see identical values.
+    """
+    return F.round(c * F.lit(MONEY_UNIT), 0) / F.lit(MONEY_UNIT)
+
+
 def _sum0(col: str) -> F.Column:
     """Sum where an all-null group gives 0 (pandas semantics)."""
     return F.coalesce(F.sum(col), F.lit(0))
@@ -118,9 +132,9 @@ def store_daily(daily_sales: DataFrame, promo_summary: DataFrame, traffic_sum: D
     dp = with_promotions(daily_sales, promo_summary)
     rolled = dp.groupBy("date", "store_id").agg(
         F.avg("has_discount").alias("has_discount"),
-        _sum0("total_revenue").alias("total_revenue"),
+        round_money(_sum0("total_revenue")).alias("total_revenue"),
         _sum0("quantity_sold").cast("double").alias("quantity_sold"),
-        _sum0("profit").alias("profit"),
+        round_money(_sum0("profit")).alias("profit"),
         F.count(F.lit(1)).alias("_rows"),
     )
     joined = with_traffic(rolled, traffic_sum)

@@ -89,9 +89,9 @@ filled AS (
 ),
 store_daily AS (
   SELECT date, store_id, avg(has_discount) AS has_discount,
-         coalesce(sum(total_revenue), 0) AS total_revenue,
+         round(coalesce(sum(total_revenue), 0) * 10000.0) / 10000.0 AS total_revenue,
          CAST(coalesce(sum(quantity_sold), 0) AS DOUBLE) AS quantity_sold,
-         coalesce(sum(profit), 0) AS profit,
+         round(coalesce(sum(profit), 0) * 10000.0) / 10000.0 AS profit,
          max(customer_traffic) AS customer_traffic,
          CAST(max(is_holiday) AS INTEGER) AS is_holiday
   FROM filled GROUP BY date, store_id

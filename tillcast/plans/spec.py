@@ -2,8 +2,12 @@
 
 A spec such as ``"date:date, store_id:string, revenue:double"`` fixes the
 column names, order and types of a registered result.  Doubles are rounded
-to ``SCALE`` decimals on both engines (floating sums differ in the last bits
-between engines), and ``+ 0.0`` folds negative zero into zero.
+to ``SCALE`` decimals on both engines as ``round(x * 10^s) / 10^s``: the
+product is the same IEEE operation in both, so equal inputs round equally
+(rounding the decimal string, as Spark's ``round(x, s)`` does, differs from
+rounding the binary value at exact halves).  Statistics over many values,
+whose last bits depend on summation order, use ``double@2``.  ``+ 0.0``
+folds negative zero into zero.
 """
 
 from __future__ import annotations
@@ -24,20 +28,23 @@ _SQL_TYPES = {
 }
 
 
-def parse(spec: str) -> list[tuple[str, str]]:
+def parse(spec: str) -> list[tuple[str, str, int]]:
+    """``name:type`` items; doubles may carry a rounding scale, ``x:double@2``."""
     out = []
     for part in spec.split(","):
         name, typ = part.strip().split(":")
-        out.append((name.strip(), typ.strip()))
+        typ, _, scale = typ.strip().partition("@")
+        out.append((name.strip(), typ, int(scale) if scale else SCALE))
     return out
 
 
 def finalize(df: DataFrame, spec: str) -> DataFrame:
     cols = []
-    for name, typ in parse(spec):
+    for name, typ, scale in parse(spec):
         c = F.col(name)
         if typ == "double":
-            c = F.round(c.cast("double"), SCALE) + F.lit(0.0)
+            unit = F.lit(float(10 ** scale))
+            c = F.round(c.cast("double") * unit, 0) / unit + F.lit(0.0)
         else:
             c = c.cast(typ)
         cols.append(c.alias(name))
@@ -46,10 +53,11 @@ def finalize(df: DataFrame, spec: str) -> DataFrame:
 
 def wrap_sql(inner: str, spec: str) -> str:
     cols = []
-    for name, typ in parse(spec):
+    for name, typ, scale in parse(spec):
         q = f'"{name}"'
         if typ == "double":
-            cols.append(f"round(CAST({q} AS DOUBLE), {SCALE}) + 0.0 AS {q}")
+            unit = f"CAST({float(10 ** scale)!r} AS DOUBLE)"
+            cols.append(f"round(CAST({q} AS DOUBLE) * {unit}) / {unit} + 0.0 AS {q}")
         else:
             cols.append(f"CAST({q} AS {_SQL_TYPES[typ]}) AS {q}")
     return f"SELECT {', '.join(cols)}\nFROM (\n{inner.strip()}\n) AS q"

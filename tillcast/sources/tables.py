@@ -99,11 +99,14 @@ def store_event_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Single revenue series: total order value per day (``history_csv`` shape)."""
+    """Single revenue series: total order value per day (``history_csv`` shape).
+
+    Order totals carry cents, so daily sums are snapped to cents.
+    """
     o = read(spark, sf_dir, "orders")
     return (
         o.groupBy(F.to_date("o_orderdate").alias("date"))
-        .agg(F.sum("o_totalprice").alias("total_revenue"))
+        .agg((F.round(F.sum("o_totalprice") * 100.0, 0) / 100.0).alias("total_revenue"))
         .select("date", F.lit("store_001").alias("store_id"), "total_revenue")
     )
 
@@ -115,4 +118,4 @@ def orders_store_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = o.join(c, o.o_custkey == c.c_custkey)
     return j.groupBy(
         F.to_date("o_orderdate").alias("date"), store_key("c_nationkey").alias("store_id")
-    ).agg(F.sum("o_totalprice").alias("total_revenue"))
+    ).agg((F.round(F.sum("o_totalprice") * 100.0, 0) / 100.0).alias("total_revenue"))
