@@ -155,12 +155,11 @@ def fill_constant(df: DataFrame, cols: Sequence[str], value=0) -> DataFrame:
 
 
 def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Column means from one aggregate, applied as scalar subqueries."""
+    """NULL → column mean; all means come from one scalar-subquery aggregate."""
     if not cols:
         return df
-    means = df.agg(*[F.avg(c).alias(c) for c in cols])
-    repl = {c: F.coalesce(F.col(c), means.select(c).scalar()) for c in cols}
-    return df.withColumns(repl)
+    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("m")).scalar()
+    return df.withColumns({c: F.coalesce(F.col(c), means.getField(c)) for c in cols})
 
 
 def fill_forward_backward(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str],
@@ -225,9 +224,19 @@ def handle_missing_values(df: DataFrame, group_cols: Sequence[str], target: str
     return fill_mean(out, other)
 
 
-def feature_table(store_daily: DataFrame, cfg: FeatureConfig = FeatureConfig(), scope: str = "global") -> DataFrame:
-    """The training feature frame: 53 columns (51 model features + date + target)."""
+def feature_table(store_daily: DataFrame, cfg: FeatureConfig = FeatureConfig(), scope: str = "global",
+                  materialize: bool = True) -> DataFrame:
+    """The training feature frame: 53 columns (51 model features + date + target).
+
+    The windowed frame is read by three passes (series boundaries, column
+    means, the fill itself); it is checkpointed once so the upstream scans,
+    joins and windows run a single time.
+    """
     feats = time_series_features(store_daily, cfg)
+    if materialize:
+        from tillcast.session import materialize as _checkpoint
+
+        feats = _checkpoint(feats)
     return handle_missing_values(feats, cfg.group_cols, cfg.target, cfg.date_col, scope)
 
 

@@ -60,3 +60,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tables/{name}"
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    Used where one expensive plan feeds several passes (a reliable
+    checkpoint survives executor loss; ``localCheckpoint`` would not).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
