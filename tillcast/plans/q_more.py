@@ -294,3 +294,24 @@ SELECT category, count(*) AS n, avg(total_revenue) AS category_mean, any_value(g
        (count(*) * avg(total_revenue) + 1.0 * any_value(g.gm)) / (count(*) + 1.0) AS category_target_encoded
 FROM daily, g GROUP BY category""",
 )
+
+
+# --- MLlib models (M01–M05, M07, M08, M10, M11, O03, R09): rows-only checks ---------------------
+def _trained(spark, sf_dir):
+    from tillcast.plans import q_evaluation, training
+    from tillcast.session import materialize
+
+    lab = materialize(q_evaluation.labeled(spark, sf_dir))
+    return training.train_all(spark, lab)
+
+
+@query("gbt_test_metrics", "split:string, model:string, metric:string, value:double")
+def q_gbt_test_metrics(spark, sf_dir):
+    return _trained(spark, sf_dir)[2]
+
+
+@query("gbt_top_features", "model:string, feature:string, importance:double, rank:int")
+def q_gbt_top_features(spark, sf_dir):
+    from tillcast.operators import diagnostics
+
+    return diagnostics.top_features(_trained(spark, sf_dir)[4])
