@@ -75,7 +75,13 @@ def ensemble_weights(val_metrics: DataFrame, min_weight: float = ENSEMBLE_MIN_WE
 
 def ensemble_predictions(preds: DataFrame, weights: DataFrame | None = None, name: str = "ensemble",
                          keys: Sequence[str] = KEYS) -> DataFrame:
-    """Σ w·pred / Σ w per key (zero weights skipped); equal weights without ``weights``."""
+    """Σ w·pred / Σ w per key (zero weights skipped); equal weights without ``weights``.
+
+    The blend is snapped to 1e-4 money units, so it does not depend on the
+    order in which the per-model rows are summed.
+    """
+    from tillcast.operators.cleaning import round_money
+
     keys = list(keys)
     extra = [c for c in ("split",) if c in preds.columns]
     if weights is None:
@@ -84,7 +90,7 @@ def ensemble_predictions(preds: DataFrame, weights: DataFrame | None = None, nam
         p = preds.join(F.broadcast(weights.select("model", "weight")), "model").where(F.col("weight") > 0)
     return p.groupBy(*keys, *extra).agg(
         F.first("actual").alias("actual"),
-        (F.sum(F.col("weight") * F.col("prediction")) / F.sum("weight")).alias("prediction"),
+        round_money(F.sum(F.col("weight") * F.col("prediction")) / F.sum("weight")).alias("prediction"),
     ).select(*keys, *extra, F.lit(name).alias("model"), "actual", "prediction")
 
 

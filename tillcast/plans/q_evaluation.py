@@ -90,7 +90,7 @@ weights AS (SELECT model, r2, raw / (SELECT sum(raw) FROM raw_w) AS weight FROM
 test_naive AS (SELECT * FROM preds WHERE split = 'test'),
 ens AS (
   SELECT p.date, p.store_id, p.split, 'ensemble' AS model, any_value(p.actual) AS actual,
-         sum(w.weight * p.prediction) / sum(w.weight) AS prediction
+         round(sum(w.weight * p.prediction) / sum(w.weight) * 10000.0) / 10000.0 AS prediction
   FROM test_naive p JOIN weights w ON p.model = w.model WHERE w.weight > 0
   GROUP BY p.date, p.store_id, p.split
 ),
@@ -180,7 +180,7 @@ sql(
     "equal_weight_ensemble",
     EVAL_SQL
     + "\nSELECT date, store_id, split, 'mean_of_models' AS model, any_value(actual) AS actual, "
-    "sum(1.0 * prediction) / sum(1.0) AS prediction FROM test_naive GROUP BY date, store_id, split",
+    "round(sum(1.0 * prediction) / sum(1.0) * 10000.0) / 10000.0 AS prediction FROM test_naive GROUP BY date, store_id, split",
 )
 
 
@@ -265,12 +265,12 @@ sql(
     + f""",
 q AS (SELECT model, quantile_cont(residual, 0.25) AS q1, quantile_cont(residual, 0.5) AS median,
              quantile_cont(residual, 0.75) AS q3 FROM res GROUP BY model),
-f AS (SELECT *, q1 - {_d(IQR_MULTIPLIER)} * (q3 - q1) AS lo, q3 + {_d(IQR_MULTIPLIER)} * (q3 - q1) AS hi FROM q)
-SELECT r.model, f.q1, f.median, f.q3,
+fence AS (SELECT *, q1 - {_d(IQR_MULTIPLIER)} * (q3 - q1) AS lo, q3 + {_d(IQR_MULTIPLIER)} * (q3 - q1) AS hi FROM q)
+SELECT r.model, fence.q1, fence.median, fence.q3,
        min(CASE WHEN residual >= lo AND residual <= hi THEN residual END) AS whisker_low,
        max(CASE WHEN residual >= lo AND residual <= hi THEN residual END) AS whisker_high,
        count_if(NOT (residual >= lo AND residual <= hi)) AS outliers, count(*) AS n
-FROM res r JOIN f ON r.model = f.model GROUP BY r.model, f.q1, f.median, f.q3""",
+FROM res r JOIN fence ON r.model = fence.model GROUP BY r.model, fence.q1, fence.median, fence.q3""",
 )
 
 
