@@ -211,13 +211,18 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def handle_missing_values(df: DataFrame, group_cols: Sequence[str], target: str | None = None,
-                          date_col: str = "date", scope: str = "global") -> DataFrame:
+                          date_col: str = "date", scope: str = "global", only_with_nulls: bool = False) -> DataFrame:
     """Lag/rolling columns: ffill→bfill; other numeric columns: column mean.
 
     The target is excluded from mean imputation (rows without a target are
-    dropped later instead).
+    dropped later instead).  ``only_with_nulls`` first counts NULLs per column
+    in one aggregate (use it on a materialized frame) and skips clean columns.
     """
     num = [c for c in numeric_columns(df) if c not in group_cols]
+    if only_with_nulls and num:
+        # one-row aggregate (bounded): fill only columns that contain NULLs
+        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in num]).first().asDict()
+        num = [c for c in num if counts[c] > 0]
     series = [c for c in num if "_lag_" in c or "_rolling_" in c]
     other = [c for c in num if c not in series and c != target]
     out = fill_forward_backward(df, series, group_cols, date_col, scope)
@@ -237,7 +242,7 @@ def feature_table(store_daily: DataFrame, cfg: FeatureConfig = FeatureConfig(),
         from tillcast.session import materialize as _checkpoint
 
         feats = _checkpoint(feats)
-    return handle_missing_values(feats, cfg.group_cols, cfg.target, cfg.date_col, scope)
+    return handle_missing_values(feats, cfg.group_cols, cfg.target, cfg.date_col, scope, only_with_nulls=materialize)
 
 
 def single_series_features(history: DataFrame, target: str = "total_revenue", date_col: str = "date",

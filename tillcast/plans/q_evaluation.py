@@ -366,12 +366,12 @@ def _shift_sql() -> str:
     parts = []
     for c in DRIFT_COLS:
         parts.append(
-            f"SELECT '{c}' AS column, (SELECT avg({c}) FROM labeled WHERE split = 'train') AS train_mean, "
+            f"SELECT '{c}' AS \"column\", (SELECT avg({c}) FROM labeled WHERE split = 'train') AS train_mean, "
             f"(SELECT stddev_samp({c}) FROM labeled WHERE split = 'train') AS train_std, "
             f"(SELECT avg({c}) FROM labeled WHERE split = 'test') AS current_mean"
         )
     return EVAL_SQL + ",\ns AS (" + "\nUNION ALL ".join(parts) + ")\n" + (
-        "SELECT column, train_mean, train_std, current_mean, "
+        "SELECT \"column\", train_mean, train_std, current_mean, "
         "abs(current_mean - train_mean) > 3.0 * train_std AS shifted FROM s"
     )
 
@@ -403,11 +403,11 @@ def _ks_sql() -> str:
 {c}_c AS (SELECT sum(na) OVER (ORDER BY v ROWS UNBOUNDED PRECEDING) AS ca,
                  sum(nb) OVER (ORDER BY v ROWS UNBOUNDED PRECEDING) AS cb FROM {c}_j)""")
         parts.append(
-            f"SELECT '{c}' AS column, max(abs(ca / (SELECT sum(na) FROM {c}_j) - cb / (SELECT sum(nb) FROM {c}_j))) AS ks "
+            f"SELECT '{c}' AS \"column\", max(abs(ca / (SELECT sum(na) FROM {c}_j) - cb / (SELECT sum(nb) FROM {c}_j))) AS ks "
             f"FROM {c}_c"
         )
     return EVAL_SQL + ",\n" + ",\n".join(ctes) + ",\nk AS (" + "\nUNION ALL ".join(parts) + ")\n" + (
-        f"SELECT column, ks, ks > {_d(KS_THRESHOLD)} AS drift FROM k"
+        f"SELECT \"column\", ks, ks > {_d(KS_THRESHOLD)} AS drift FROM k"
     )
 
 
