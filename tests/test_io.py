@@ -61,6 +61,9 @@ def test_model_persistence_and_search(spark):
     a = training.score(m, lab, "a").agg(F.sum("prediction")).first()[0]
     b = training.score(again, lab, "a").agg(F.sum("prediction")).first()[0]
     assert abs(a - b) < 1e-9
+    fc = training.forecast_with_model(again, sd, horizon=5)
+    assert fc.count() == 5 * sd.select("store_id").distinct().count()
+    assert fc.where("lower_bound > predicted_sales OR upper_bound < predicted_sales").count() == 0
     space = {"maxIter": (2, 3), "maxDepth": (2, 3), "stepSize": (0.05, 0.3), "subsamplingRate": (0.8, 1.0),
              "featureSubset": (0.6, 1.0), "minInfoGain": (0.0, 0.1)}
     best, trials = training.random_search(lab, space, trials=2)

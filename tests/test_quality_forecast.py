@@ -63,3 +63,16 @@ def test_promotion_calendar_black_friday(spark):
     bf = sorted(r.date for r in cal.where(F.col("promotion_type") == "Black Friday").collect())
     assert bf[0] == D(2021, 11, 26) and len(bf) == 5
     assert cal.where(F.col("date") > D(2021, 12, 31)).count() == 0
+
+
+def test_distributed_quantiles_equal_builtin(spark):
+    from tillcast.operators.ordered import exact_quantiles
+
+    df = spark.createDataFrame([(float(x % 37) * 1.5, 1 + x % 3) for x in range(500)], "v double, w long")
+    got = exact_quantiles(df, "v", [0.25, 0.5, 0.75]).first()
+    ref = df.agg(F.percentile("v", [0.25, 0.5, 0.75])).first()[0]
+    assert [got.q_0, got.q_1, got.q_2] == ref
+    wq = exact_quantiles(df, "v", [0.5], "w").first().q_0
+    assert wq == df.agg(F.percentile("v", 0.5, F.col("w"))).first()[0]
+    flagged = quality.outlier_counts(df, "iqr", ["v"], distributed=True).first().outliers
+    assert flagged == quality.outlier_counts(df, "iqr", ["v"]).first().outliers

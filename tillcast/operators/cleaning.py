@@ -106,21 +106,28 @@ def with_traffic(daily: DataFrame, traffic_sum: DataFrame) -> DataFrame:
     return daily.join(traffic_sum, ["date", "store_id"], "left")
 
 
-def fill_with_median(df: DataFrame, col: str, weight: str | None = None) -> DataFrame:
+def fill_with_median(df: DataFrame, col: str, weight: str | None = None, distributed: bool = False) -> DataFrame:
     """Replace NULLs by the global (optionally row-weighted) median.
 
-    The median is an exact ``percentile`` aggregate evaluated once as a scalar
-    subquery.  Its partial aggregate keeps one counter per distinct value, so
-    memory is bounded by the number of distinct values, not rows.
+    Default: Spark's exact ``percentile`` as one scalar subquery; its partial
+    aggregate keeps one counter per distinct value (few for visit counts).
+    ``distributed=True`` uses ``ordered.exact_quantiles`` (value counts +
+    bucketed running totals), which never holds all distinct values in one
+    task — the choice for continuous, high-cardinality columns.
     """
-    if weight is None:
+    if distributed:
+        from tillcast.operators.ordered import exact_quantiles
+
+        med = exact_quantiles(df, col, [0.5], weight).select("q_0").scalar()
+    elif weight is None:
         med = df.agg(F.percentile(F.col(col), 0.5).alias("m")).scalar()
     else:
         med = df.agg(F.percentile(F.col(col), 0.5, F.col(weight)).alias("m")).scalar()
     return df.withColumn(col, F.coalesce(F.col(col).cast("double"), med))
 
 
-def store_daily(daily_sales: DataFrame, promo_summary: DataFrame, traffic_sum: DataFrame) -> DataFrame:
+def store_daily(daily_sales: DataFrame, promo_summary: DataFrame, traffic_sum: DataFrame,
+                materialize: bool = True) -> DataFrame:
     """The modelling grain (date × store).
 
     Traffic and holiday depend only on (date, store), so the rollup runs
@@ -138,6 +145,11 @@ def store_daily(daily_sales: DataFrame, promo_summary: DataFrame, traffic_sum: D
         F.count(F.lit(1)).alias("_rows"),
     )
     joined = with_traffic(rolled, traffic_sum)
+    if materialize:
+        # store-day grain (small); the median pass and the output then share one upstream run
+        from tillcast.session import materialize as _checkpoint
+
+        joined = _checkpoint(joined)
     filled = fill_with_median(joined, "customer_traffic", weight="_rows")
     return filled.select(
         "date", "store_id", "has_discount", "total_revenue", "quantity_sold", "profit",

@@ -1,10 +1,10 @@
-"""Running totals in a global order without a single-partition window.
+"""Running totals and exact quantiles in a global order without a single-partition window.
 
-``repartitionByRange`` puts every value of the ordering key into one
-partition and orders partitions by key.  Each partition's totals become a
-tiny per-partition table whose running sum (one row per partition) gives the
-offset to add to the in-partition running sum.  Work stays spread over all
-partitions; only ``#partitions`` rows pass through an ordered window.
+Rows are cut into key-range buckets (boundaries from a bounded quantile
+sketch).  Each bucket's totals form a tiny per-bucket table whose running
+sum (one row per bucket) gives the offset to add to the in-bucket running
+sum.  Work stays spread over all buckets; only ``#buckets`` rows pass
+through an ordered window.
 """
 
 from __future__ import annotations
@@ -15,21 +15,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Adds ``cum_{c}`` = Σ c over rows with ``order_col`` ≤ the row's key (ties broken by key only).
+def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Adds ``cum_{c}`` = Σ c over rows with ``order_col`` ≤ the row's key (``order_col`` unique per row).
 
-    ``order_col`` should be unique per row (e.g. value counts keyed by value).
+    Rows are bucketed by approximate quantile boundaries of the key (a
+    bounded sketch), so every bucket holds a contiguous key range; bucket
+    totals get running offsets over ``buckets`` rows, and each bucket adds
+    its own in-bucket running sum.  The bucket expression is deterministic,
+    so recomputation after a failure reproduces the same buckets.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, order_col).withColumn("_pid", F.spark_partition_id())
-    totals = r.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    probs = [i / n for i in range(1, n)]
+    # the sketch's n-1 boundaries are the only values fetched to the driver
+    sketch = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000)).first()[0] or []
+    bounds = F.array(*[F.lit(float(b)) for b in sorted(set(sketch))]) if sketch else F.array().cast("array<double>")
+    key = F.col(order_col).cast("double")
+    r = df.withColumn("_b", F.size(F.filter(bounds, lambda b: b < key)))
+    totals = r.groupBy("_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "_pid", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols]
+        "_b", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols]
     )
-    inside = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    # one row per partition: bounded by the partition count
-    j = r.join(F.broadcast(offsets), "_pid")
+    inside = Window.partitionBy("_b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    # one row per bucket: bounded by the bucket count
+    j = r.join(F.broadcast(offsets), "_b")
     return j.select(
         *df.columns, *[(F.col(f"_o_{c}") + F.sum(c).over(inside)).alias(f"cum_{c}") for c in sum_cols]
     )
@@ -50,3 +59,28 @@ def ks_statistic(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     cum = running_totals(j, "v", ["na", "nb"])
     d = F.abs(F.col("cum_na") / tot["a"] - F.col("cum_nb") / tot["b"])
     return cum.agg(F.max(d).alias("ks"))
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], weight: str | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles of ``col`` without gathering the values in one task.
+
+    Values are reduced to (value, count) pairs — a hot value is one row —
+    and their cumulative counts come from :func:`running_totals`.  The value
+    at 0-based rank k is the smallest value whose cumulative count exceeds k;
+    quantile p interpolates between ranks ⌊p(N−1)⌋ and ⌈p(N−1)⌉.  Rows with a
+    NULL value are ignored; ``weight`` gives integer row weights.
+    Returns one row with a column ``q_{i}`` per probability.
+    """
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    vc = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v"))
+            .agg(F.sum(w).alias("n")).where(F.col("n") > 0))
+    cum = running_totals(vc, "v", ["n"])
+    total = vc.agg(F.sum("n")).scalar()
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = (total - 1) * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        v_lo = F.min(F.when(F.col("cum_n") > lo, F.col("v")))
+        v_hi = F.min(F.when(F.col("cum_n") > hi, F.col("v")))
+        aggs.append((v_lo + (v_hi - v_lo) * (pos - lo)).alias(f"q_{i}"))
+    return cum.agg(*aggs)

@@ -123,19 +123,30 @@ def column_profile(df: DataFrame) -> DataFrame:
     return row.selectExpr(f"stack({len(items)}, {', '.join(items)}) AS (column, metric, value)")
 
 
-def outlier_counts(df: DataFrame, method: str = "iqr", cols: Sequence[str] | None = None) -> DataFrame:
+def outlier_counts(df: DataFrame, method: str = "iqr", cols: Sequence[str] | None = None,
+                   distributed: bool = False) -> DataFrame:
     """Per numeric column, values outside 1.5·IQR fences or with |z| > 3.
 
-    Bounds come from one aggregate (exact linear-interpolated quartiles or
-    mean/std) and are read back as scalar subqueries; the count is a second
+    Bounds are exact linear-interpolated quartiles (one ``percentile``
+    aggregate; ``distributed=True`` switches to bucketed value counts,
+    ``ordered.exact_quantiles``, for high-cardinality columns at scale) or one
+    mean/std aggregate, read back as scalar subqueries; the count is a second
     pass with ``count_if``.
     """
     cols = list(cols) if cols is not None else _numeric(df)
     if method == "iqr":
-        q = df.agg(F.struct(*[F.percentile(F.col(c).cast("double"), [0.25, 0.75]).alias(c) for c in cols])).scalar()
+        from tillcast.operators.ordered import exact_quantiles
+
         cond = {}
+        if not distributed:
+            allq = df.agg(F.struct(*[F.percentile(F.col(c).cast("double"), [0.25, 0.75]).alias(c)
+                                     for c in cols])).scalar()
         for c in cols:
-            q1, q3 = q[c][0], q[c][1]
+            if distributed:
+                q = exact_quantiles(df, c, [0.25, 0.75]).select(F.struct("q_0", "q_1").alias("q")).scalar()
+                q1, q3 = q["q_0"], q["q_1"]
+            else:
+                q1, q3 = allq[c][0], allq[c][1]
             iqr = q3 - q1
             cond[c] = (F.col(c) < q1 - IQR_MULTIPLIER * iqr) | (F.col(c) > q3 + IQR_MULTIPLIER * iqr)
     elif method == "zscore":
@@ -144,7 +155,9 @@ def outlier_counts(df: DataFrame, method: str = "iqr", cols: Sequence[str] | Non
         cond = {c: F.abs((F.col(c) - s[c]["m"]) / s[c]["s"]) > ZSCORE_LIMIT for c in cols}
     else:
         raise ValueError(method)
-    counts = df.agg(*[F.count_if(cond[c]).alias(c) for c in cols])
+    # flags are projected first: the bound subqueries may only appear in a projection
+    flags = df.select(*[cond[c].alias(c) for c in cols])
+    counts = flags.agg(*[F.count_if(F.col(c)).alias(c) for c in cols])
     stack = ", ".join(f"'{c}', `{c}`" for c in cols)
     return counts.selectExpr(f"stack({len(cols)}, {stack}) AS (column, outliers)").withColumn(
         "method", F.lit(method)

@@ -139,3 +139,13 @@ def save(model: PipelineModel, path: str) -> None:
 def load(path: str) -> PipelineModel:
     """S10."""
     return PipelineModel.load(path)
+
+
+def forecast_with_model(model: PipelineModel, history: DataFrame, horizon: int = 30,
+                        target: str = "total_revenue") -> DataFrame:
+    """Score the forecast frame of every store with a fitted pipeline, then add the ±band."""
+    from tillcast.operators import forecast
+
+    frame = forecast.forecast_frame(history, horizon, target).withColumn(target, F.lit(None).cast("double"))
+    scored = model.transform(frame).select("date", "store_id", F.col("prediction").alias("predicted_sales"))
+    return forecast.with_band(scored)
