@@ -94,3 +94,19 @@ def test_target_encoding_smoothing(spark):
     enc = {r.c: r.c_target_encoded for r in encoding.fit_target_encoder(df, "y", "c").collect()}
     g = 14 / 3
     assert np.isclose(enc["a"], (2 * 2 + g) / 3) and np.isclose(enc["b"], (10 + g) / 2)
+
+
+def test_metrics_wide_long_roundtrip_and_report_bundle(spark):
+    import tempfile
+
+    from tillcast.sources import files
+
+    m = spark.createDataFrame([("model_a", "rmse", 2.0), ("model_a", "r2", 0.5), ("ensemble", "mae", 1.0)],
+                              "model string, metric string, value double")
+    wide = evaluation.metrics_wide(m)
+    assert set(wide.columns) == {"model_a_rmse", "model_a_r2", "ensemble_mae"}
+    back = sorted((r.model, r.metric, r.value) for r in evaluation.metrics_long(wide).collect())
+    assert back == sorted((r.model, r.metric, r.value) for r in m.collect())
+    root = tempfile.mkdtemp(prefix="tillcast-report-")
+    paths = files.write_tables({"metrics": m, "wide": wide}, root)
+    assert spark.read.parquet(paths["metrics"]).count() == 3
