@@ -49,8 +49,15 @@ def residual_boxplot(res: DataFrame) -> DataFrame:
 
 
 def residuals_over_time(res: DataFrame) -> DataFrame:
-    """Mean residual per (date, model)."""
-    return res.groupBy("date", "model").agg(F.avg("residual").alias("mean_residual"), F.count(F.lit(1)).alias("n"))
+    """Mean residual per (date, model).
+
+    The residual sum is snapped to 1e-4 money units before dividing, so the
+    mean does not depend on the order in which partial sums merge.
+    """
+    from tillcast.operators.cleaning import round_money
+
+    agg = res.groupBy("date", "model").agg(round_money(F.sum("residual")).alias("_s"), F.count(F.lit(1)).alias("n"))
+    return agg.select("date", "model", (F.col("_s") / F.col("n")).alias("mean_residual"), "n")
 
 
 def qq_points(res: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

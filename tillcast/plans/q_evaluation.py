@@ -281,7 +281,8 @@ def q_residuals_over_time(spark, sf_dir):
 
 sql(
     "residuals_over_time",
-    EVAL_SQL + "\nSELECT date, model, avg(residual) AS mean_residual, count(*) AS n FROM res GROUP BY date, model",
+    EVAL_SQL + "\nSELECT date, model, round(sum(residual) * 10000.0) / 10000.0 / count(*) AS mean_residual, "
+    "count(*) AS n FROM res GROUP BY date, model",
 )
 
 
