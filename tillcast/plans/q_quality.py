@@ -8,6 +8,7 @@ from tillcast.config import IQR_MULTIPLIER, VALUE_RANGES, ZSCORE_LIMIT
 from tillcast.operators import cleaning, quality
 from tillcast.plans.oracle import BASE, DAILY, PROMOTIONS, SALES, TRAFFIC, TRAFFIC_SUMMARY, sql, with_ctes
 from tillcast.plans.registry import query, store_daily_of
+from tillcast.session import materialize
 from tillcast.sources import tables as T
 
 # The cleaning input as it arrives: product lines with store traffic attached
@@ -165,14 +166,15 @@ sql("column_profile", _profile_sql())
 
 
 # --- V10/V11 ------------------------------------------------------------------------------
+# the bounds pass and the counting pass read the same joined input: checkpoint it once
 @query("outliers_iqr", "column:string, outliers:bigint, method:string")
 def q_outliers_iqr(spark, sf_dir):
-    return quality.outlier_counts(quality_input(spark, sf_dir), "iqr", QI_NUMERIC)
+    return quality.outlier_counts(materialize(quality_input(spark, sf_dir)), "iqr", QI_NUMERIC)
 
 
 @query("outliers_zscore", "column:string, outliers:bigint, method:string")
 def q_outliers_zscore(spark, sf_dir):
-    return quality.outlier_counts(quality_input(spark, sf_dir), "zscore", QI_NUMERIC)
+    return quality.outlier_counts(materialize(quality_input(spark, sf_dir)), "zscore", QI_NUMERIC)
 
 
 def _outliers_sql(method: str) -> str:
