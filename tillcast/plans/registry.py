@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillcast.operators import cleaning
 from tillcast.plans.spec import finalize
+from tillcast.session import materialize
 from tillcast.sources import tables as T
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
@@ -102,7 +103,8 @@ def q_sales_with_traffic(spark, sf_dir):
     daily = cleaning.daily_product_sales(T.sales(spark, sf_dir))
     joined = cleaning.with_traffic(daily, cleaning.traffic_summary(T.customer_traffic(spark, sf_dir)))
     joined = joined.withColumn("traffic_was_missing", F.col("customer_traffic").isNull())
-    return cleaning.fill_with_median(joined, "customer_traffic")
+    # the median pass and the fill read the same join: checkpoint it once
+    return cleaning.fill_with_median(materialize(joined), "customer_traffic")
 
 
 @query("dataset_profile", "dataset:string, rows:bigint, columns:int")
