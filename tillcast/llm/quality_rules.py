@@ -11,9 +11,11 @@ from tillcast.llm.common import WORD_SPACE, word_array, written
 COMMON_WORDS, LONGEST_COMMON = 24, 6
 #: Languages with a reference of their own (the most frequent ones); others use the reference of all documents.
 MAX_LANGUAGES = 1000
-#: A document passes if its distances do not exceed these; each test asks for a minimum of words.
-MAX_CLASS_DISTANCE, MIN_WORDS_CLASS = 0.25, 20
-MAX_WORD_DISTANCE, MIN_WORDS_COMMON = 0.60, 100
+#: Limits of the two distances: base + slack / sqrt(words), since short texts stray further from any reference; and of
+#: the sum of both distances as shares of their limits.  Texts with fewer words than the minimum are not compared.
+CLASS_BASE, CLASS_SLACK = 0.16, 0.7
+WORD_BASE, WORD_SLACK = 0.15, 1.6
+MAX_JOINT, MIN_WORDS = 1.7, 20
 #: Words that two equal windows must have in common to count as repeated.
 WINDOW = 8
 
@@ -25,7 +27,8 @@ _CLASS_OF = (
     (" ", WORD_SPACE),
     (".", ".,;:'\"-()"),
     ("!", "!?"),
-    ("#", SYMBOLS + "@^~=+_\\/[]{}`"),
+    ("#", "#*$%&@^~=+_\\/"),
+    ("|", "|<>[]{}`"),
 )
 N_CLASSES = len(_CLASS_OF) + 1
 
@@ -35,7 +38,8 @@ def _occurrences(text: Column, part: Column) -> Column:
 
 
 def class_counts(text: Column) -> Column:
-    """Characters of a text by class: a-z, A-Z, digits, white space, punctuation, ! and ?, symbols, others."""
+    """Characters of a text by class: a-z, A-Z, digits, white space, punctuation, ! and ?, symbols, bars and
+    brackets, others."""
     mapped = F.translate(text, "".join(m for _, m in _CLASS_OF), "".join(c * len(m) for c, m in _CLASS_OF))
     # the working letters are single bytes, so counting them needs no decoding
     return F.transform(F.array(mapped), lambda t: F.array(*[_occurrences(t, F.lit(c)) for c, _ in _CLASS_OF], F.length(t).cast("long")))[0]
@@ -187,8 +191,8 @@ def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     """Measures and verdict of every document (columns ``doc_id, text, lang``).
 
     Returns ``doc_id``, the base measures, ``class_distance``,
-    ``word_distance`` and ``kept``: not base_failed, and no distance above its
-    limit where the text has the words that the test asks for.  Documents
+    ``word_distance`` and ``kept``: not base_failed, and, in texts of at least
+    ``MIN_WORDS`` words, no distance nor their joint share above its limit.  Documents
     without a language, or in one without a reference, are compared with all
     documents.  Null texts are empty and fail; repeated rows each come out;
     an empty table gives no rows; other columns are ignored.
@@ -209,9 +213,10 @@ def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
             "word_distance": js_distance(_word_shares(F.col("text"), F.col("rw")), _with_rest(F.col("rs"))),
         }
     )
-    far = ((F.col("n_words") >= MIN_WORDS_CLASS) & (F.col("class_distance") > MAX_CLASS_DISTANCE)) | (
-        (F.col("n_words") >= MIN_WORDS_COMMON) & (F.col("word_distance") > MAX_WORD_DISTANCE)
-    )
+    spread = F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
+    by_class = F.col("class_distance") / (F.lit(CLASS_BASE) + F.lit(CLASS_SLACK) / spread)
+    by_word = F.col("word_distance") / (F.lit(WORD_BASE) + F.lit(WORD_SLACK) / spread)
+    far = (F.col("n_words") >= MIN_WORDS) & ((by_class > 1) | (by_word > 1) | (by_class + by_word > MAX_JOINT))
     return measured.select(
         "doc_id",
         "n_words",
