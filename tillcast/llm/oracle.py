@@ -1,3 +1,193 @@
-"""DuckDB twins of the corpus queries that SQL can express."""
+"""DuckDB twins of the corpus queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+The others have none: DuckDB lacks XXH64 (op9), the tokenizers (op3) and the
+trained models (op1, op4, op10, and with them the pipeline).
+"""
+
+from __future__ import annotations
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, min([CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT) for x in embedding]) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+  GROUP BY vec_id
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum([z[1] * z[2] for z in list_zip(q.v, c.v)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+SHARDS = """
+WITH d AS (
+  SELECT doc_id, coalesce(strlen(text), 0) AS bytes,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS h
+  FROM documents
+), p AS (
+  SELECT depth, h >> (60 - depth) AS prefix, CAST(sum(bytes) AS BIGINT) AS bytes, count(*) AS n
+  FROM d, range(0, 61) t(depth) GROUP BY ALL
+), f AS (SELECT * FROM p WHERE bytes <= 8388608 OR depth = 60
+), e AS (
+  SELECT f.* FROM f LEFT JOIN f g ON g.depth = f.depth - 1 AND g.prefix = f.prefix >> 1 WHERE g.depth IS NULL
+)
+SELECT d.doc_id, d.bytes, CASE WHEN e.depth = 0 THEN '' ELSE lpad(bin(e.prefix), CAST(e.depth AS INTEGER), '0') END AS shard,
+       CAST(0 AS BIGINT) AS part, e.bytes AS shard_bytes, e.n AS shard_rows
+FROM d JOIN e ON d.h >> (60 - e.depth) = e.prefix
+"""
+
+MIX = f"""
+WITH d AS (SELECT doc_id, source, len({_WORDS}) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key FROM documents),
+per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+numbered AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS i FROM per),
+weighed AS (SELECT *, [5.0, 2.0, 1.0][(i - 1) % 3 + 1] :: DOUBLE AS w, source_size * 2.0::DOUBLE AS cap FROM numbered),
+levels AS (
+  SELECT *, ((SELECT sum(source_size) FROM per) * 1.5::DOUBLE
+             - coalesce(sum(cap) OVER (ORDER BY cap / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY cap / w, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed
+),
+goals AS (
+  SELECT source, source_size,
+         least(cap, coalesce((SELECT max(level) FROM levels WHERE level * w <= cap) * w, cap)) AS target
+  FROM levels
+),
+queued AS (
+  SELECT *, row_number() OVER () AS id, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM d
+),
+runs AS (
+  SELECT q.*, g.source_size, g.target, lap, CASE WHEN target > 0 THEN (lap * source_size + upto) / target END AS finish
+  FROM queued q JOIN goals g ON q.source IS NOT DISTINCT FROM g.source, range(0, 2) t(lap)
+),
+served AS (SELECT finish, sum(sum(size)) OVER (ORDER BY finish) AS words FROM runs WHERE finish IS NOT NULL GROUP BY finish),
+edge AS (
+  SELECT max(finish) AS last FROM served WHERE words <= (SELECT sum(target) FROM goals) * (1 + 1e-12::DOUBLE)
+)
+SELECT doc_id, CAST(any_value(size) AS BIGINT) AS size, any_value(source_size) AS source_size, any_value(target) AS target,
+       CAST(any_value(size) * count(*) FILTER (finish <= last) AS BIGINT) AS taken
+FROM runs, edge GROUP BY id, doc_id
+"""
+
+_CLASSES = (
+    ("a", "[a-z]"),
+    ("A", "[A-Z]"),
+    ("0", "[0-9]"),
+    (" ", r"[ \t\n\x0b\x0c\r]"),
+    (".", r"[.,;:''\x22()\-]"),
+    ("!", "[!?]"),
+    ("#", r"[#*$%&@^~=+_\x5c/]"),
+    ("|", r"[|<>\x5b\x5d{}`]"),
+)
+_COUNTS = ", ".join(f"length(text) - length(regexp_replace(text, '{r}', '', 'g'))" for _, r in _CLASSES)
+
+
+def _js(p: str, q: str) -> str:
+    term = "CASE WHEN {a} > 0 THEN {a} * log2({a} / ((z[1] + z[2]) / 2)) ELSE 0 END"
+    both = term.format(a="z[1]") + " + " + term.format(a="z[2]")
+    return f"round(sqrt(greatest(0, list_sum([{both} for z in list_zip({p}, {q})]) / 2)), 6)"
+
+
+RULES = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, lang, coalesce(text, '') AS text FROM documents
+), parsed AS (
+  SELECT *, {_WORDS} AS words, [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines,
+         [{_COUNTS}] AS counts,
+         [x for x in regexp_split_to_array(lower(text), '[^\\p{{L}}]+') if x <> ''] AS letters
+  FROM d
+), windows AS (
+  SELECT id, i AS place, list_slice(words, i, i + 7) AS w FROM parsed, range(1, len(words) - 6) t(i)
+), repeated AS (
+  SELECT id, place FROM (SELECT *, count(*) OVER (PARTITION BY id, w) AS n FROM windows) WHERE n > 1
+), covered AS (SELECT id, count(DISTINCT place + k) AS n FROM repeated, range(0, 8) t(k) GROUP BY id),
+measured AS (
+  SELECT p.*, len(words) AS n_words, list_sum([length(x) for x in words]) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+         [x / greatest(length(text), 1) for x in list_concat(counts, [length(text) - list_sum(counts)])] AS classes
+  FROM parsed p LEFT JOIN covered c USING (id)
+), shares AS (
+  SELECT lang, k, sum(classes[k]) AS share, count(*) AS n FROM measured, range(1, {len(_CLASSES) + 2}) t(k)
+  WHERE n_words > 0 GROUP BY ALL
+), class_refs AS (
+  SELECT lang, list(share / n ORDER BY k) AS classes FROM shares WHERE lang IS NOT NULL GROUP BY lang
+  UNION ALL
+  SELECT NULL, list(share ORDER BY k) FROM (SELECT k, sum(share) / sum(n) AS share FROM shares GROUP BY k)
+), counted AS (
+  SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(letters) AS word FROM measured) GROUP BY ALL
+), both_counts AS (
+  SELECT * FROM counted WHERE lang IS NOT NULL
+  UNION ALL SELECT NULL, word, sum(n) FROM counted GROUP BY word
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r FROM both_counts WHERE length(word) <= 6
+), totals AS (SELECT lang, sum(n) AS total FROM both_counts GROUP BY lang
+), word_refs AS (
+  SELECT r.lang, list(word ORDER BY r) AS words, list(n / total ORDER BY r) AS shares
+  FROM ranked r JOIN totals t ON r.lang IS NOT DISTINCT FROM t.lang WHERE r <= 24 GROUP BY r.lang
+), refs AS (
+  SELECT c.lang, c.classes AS rc, w.words AS rw, list_concat(w.shares, [greatest(0, 1 - list_sum(w.shares))]) AS rs
+  FROM class_refs c JOIN word_refs w ON c.lang IS NOT DISTINCT FROM w.lang
+), compared AS (
+  SELECT m.*, rc, rs, [len([y for y in letters if y = x]) / greatest(len(letters), 1) for x in rw] AS ws
+  FROM measured m JOIN refs r ON r.lang IS NOT DISTINCT FROM
+       CASE WHEN m.lang IN (SELECT lang FROM refs WHERE lang IS NOT NULL) THEN m.lang END
+), far AS (
+  SELECT *, {_js("classes", "rc")} AS class_distance,
+         {_js("list_concat(ws, [greatest(0, 1 - list_sum(ws))])", "rs")} AS word_distance,
+         n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         sqrt(greatest(n_words, 1)) AS spread
+  FROM compared
+), judged AS (
+  SELECT *, class_distance / (0.16::DOUBLE + 0.7::DOUBLE / spread) AS c, word_distance / (0.15::DOUBLE + 1.6::DOUBLE / spread) AS w
+  FROM far
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND NOT (n_words >= 20 AND (c > 1 OR w > 1 OR c + w > 1.7)) AS kept, class_distance, word_distance
+FROM judged
+"""
+
+LINES = """
+WITH RECURSIVE occ AS (
+  SELECT doc_id, k - 1 AS line_no, lines[k] AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL), range(1, len(lines) + 1) t(k)
+  WHERE length(lines[k]) >= 20
+), firsts AS (
+  SELECT line, min(ROW(coalesce(doc_id, -9223372036854775808), line_no)) AS place, length(line) AS n FROM occ GROUP BY line
+), near AS (
+  SELECT a.line AS u, b.line AS v FROM firsts a JOIN firsts b ON b.n BETWEEN a.n AND a.n + 1 AND a.line <> b.line
+  WHERE (left(a.line, a.n // 2) = left(b.line, a.n // 2) OR right(a.line, a.n - a.n // 2) = right(b.line, a.n - a.n // 2))
+    AND levenshtein(a.line, b.line) <= 2  -- in bytes, at least the distance in characters
+), same AS (
+  SELECT u, v FROM near
+  WHERE levenshtein(u, v) <= 1
+     OR length(u) = length(v) AND (SELECT count(*) FROM range(1, length(u) + 1) t(i) WHERE u[i] <> v[i]) <= 1
+     OR length(u) + 1 = length(v) AND EXISTS (FROM range(1, length(v) + 1) t(i) WHERE left(v, i - 1) || substr(v, i + 1) = u)
+), edges AS (SELECT u, v FROM same UNION SELECT v, u FROM same
+), reach(line, other) AS (
+  SELECT u, v FROM edges
+  UNION
+  SELECT r.line, e.v FROM reach r JOIN edges e ON r.other = e.u
+), classes AS (
+  SELECT f.line, least(f.place, coalesce(min(g.place), f.place)) AS first
+  FROM firsts f LEFT JOIN reach r ON r.line = f.line LEFT JOIN firsts g ON g.line = r.other GROUP BY f.line, f.place
+)
+SELECT o.doc_id, CAST(o.line_no AS BIGINT) AS line_no, nullif(first[1], -9223372036854775808) AS class_doc_id,
+       CAST(first[2] AS BIGINT) AS class_line_no,
+       coalesce(o.doc_id, -9223372036854775808) = first[1] AND o.line_no = first[2] AS kept
+FROM occ o JOIN classes c USING (line)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_topk": TOP_K,
+    "op5_linededup": LINES,
+    "op6_sharding": SHARDS,
+    "op7_rules": RULES,
+    "op8_mixing": MIX,
+}

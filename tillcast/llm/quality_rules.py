@@ -162,13 +162,13 @@ def references(docs: DataFrame) -> DataFrame:
 
 
 def js_distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance (0 to 1) of two histograms given as arrays of shares."""
+    """Jensen-Shannon distance (0 to 1, six decimals) of two histograms given as arrays of shares."""
 
     def part(a: Column, m: Column) -> Column:
         return F.when(a > 0, a * F.log2(a / m)).otherwise(F.lit(0.0))
 
     terms = F.zip_with(p, q, lambda a, b: part(a, (a + b) / 2) + part(b, (a + b) / 2))
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, t: s + t) / 2))
+    return F.round(F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, t: s + t) / 2)), 6)
 
 
 def _word_shares(text: Column, words: Column) -> Column:
