@@ -47,9 +47,8 @@ def test_lags_and_rolling_match_pandas(spark):
 def test_ewm_matches_pandas(spark):
     vals = np.random.default_rng(2).uniform(0, 1000, 500)
     pdf = pd.DataFrame({"date": pd.date_range("2020-01-01", periods=500).date, "store_id": "s", "t": vals})
-    out = spark.createDataFrame(pdf).select(
-        "date", features.ewm_column("t", features.series_window(["store_id"]), 7).alias("e")).orderBy("date").toPandas()
-    assert np.allclose(out["e"], pd.Series(vals).ewm(span=7, adjust=False).mean(), rtol=1e-12)
+    out = features.with_ewm(spark.createDataFrame(pdf), "t", (7,)).orderBy("date").toPandas()
+    assert np.allclose(out["t_ewm_7"], pd.Series(vals).ewm(span=7, adjust=False).mean(), rtol=1e-12)
 
 
 def test_global_fill_crosses_series_like_pandas(spark):

@@ -119,12 +119,3 @@ def nth_weekday(year: Column, month: int, weekday: int, n: int) -> Column:
     first = F.make_date(year, F.lit(month), F.lit(1))
     offset = (F.lit(weekday) - F.weekday(first) + 7) % 7 + 7 * (n - 1)
     return F.date_add(first, offset.cast("int"))
-
-
-def calendar_of_years(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """Holidays of whole years (small fixed table, e.g. for forecasting ahead)."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.make_date(F.lit(first_year), F.lit(1), F.lit(1)),
-                             F.make_date(F.lit(last_year), F.lit(12), F.lit(31)))).alias("date")
-    )
-    return days.where(is_holiday("date")).select("date", holiday_name("date").alias("holiday"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.operators.ordered import exact_quantiles
 
 MONEY_UNIT = 10_000.0  # amounts are kept to 1e-4 currency units
 
@@ -106,23 +107,13 @@ def with_traffic(daily: DataFrame, traffic_sum: DataFrame) -> DataFrame:
     return daily.join(traffic_sum, ["date", "store_id"], "left")
 
 
-def fill_with_median(df: DataFrame, col: str, weight: str | None = None, distributed: bool = False) -> DataFrame:
+def fill_with_median(df: DataFrame, col: str, weight: str | None = None) -> DataFrame:
     """Replace NULLs by the global (optionally row-weighted) median.
 
-    Default: Spark's exact ``percentile`` as one scalar subquery; its partial
-    aggregate keeps one counter per distinct value (few for visit counts).
-    ``distributed=True`` uses ``ordered.exact_quantiles`` (value counts +
-    bucketed running totals), which never holds all distinct values in one
-    task — the choice for continuous, high-cardinality columns.
+    The median is exact and never gathers the values in one task (value
+    counts with bucketed running totals); it is read as a scalar subquery.
     """
-    if distributed:
-        from tillcast.operators.ordered import exact_quantiles
-
-        med = exact_quantiles(df, col, [0.5], weight).select("q_0").scalar()
-    elif weight is None:
-        med = df.agg(F.percentile(F.col(col), 0.5).alias("m")).scalar()
-    else:
-        med = df.agg(F.percentile(F.col(col), 0.5, F.col(weight)).alias("m")).scalar()
+    med = exact_quantiles(df, col, [0.5], weight).select("q_0").scalar()
     return df.withColumn(col, F.coalesce(F.col(col).cast("double"), med))
 
 
@@ -158,7 +149,7 @@ def store_daily(daily_sales: DataFrame, promo_summary: DataFrame, traffic_sum: D
 
 
 def build_store_daily(sales: DataFrame, promotions: DataFrame, traffic: DataFrame) -> DataFrame:
-    """A01 → A03/J01 → A04/J02/A06 → A05 in one lazy plan."""
+    """A01 → A03/J01 → A04/J02/A06 → A05; the store-day join is written once on the way."""
     return store_daily(daily_product_sales(sales), promotion_summary(promotions), traffic_summary(traffic))
 
 

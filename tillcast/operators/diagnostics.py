@@ -15,17 +15,11 @@ from pyspark.sql import functions as F
 
 from tillcast.config import FORECAST_BAND, HISTOGRAM_BINS, IQR_MULTIPLIER, TOP_FEATURES
 from tillcast.functions.stats import filliben_position, normal_ppf
+from tillcast.operators.ordered import grouped_quantiles, ranks
 
 KEYS = ("date", "store_id")
 
 
-def attach_actuals(predictions: DataFrame, actuals: DataFrame, target: str = "total_revenue",
-                   keys: Sequence[str] = KEYS) -> DataFrame:
-    """Inner join of predictions to actuals on the full key."""
-    a = actuals.select(*keys, F.col(target).alias("actual"))
-    return predictions.join(a, list(keys), "inner")
-
-
 def residuals(preds: DataFrame) -> DataFrame:
     """residual = actual − prediction, next to the prediction."""
     return preds.withColumn("residual", F.col("actual") - F.col("prediction"))
@@ -33,14 +27,14 @@ def residuals(preds: DataFrame) -> DataFrame:
 
 def residual_boxplot(res: DataFrame) -> DataFrame:
     """Quartiles, 1.5·IQR whiskers and outlier count per model."""
-    q = res.groupBy("model").agg(F.percentile("residual", [0.25, 0.5, 0.75]).alias("_q"))
-    q = q.select("model", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = grouped_quantiles(res, ["model"], "residual", [0.25, 0.5, 0.75])
+    q = q.withColumnsRenamed({"q_0": "q1", "q_1": "median", "q_2": "q3"})
     q = q.withColumn("lo_fence", F.col("q1") - IQR_MULTIPLIER * (F.col("q3") - F.col("q1"))).withColumn(
         "hi_fence", F.col("q3") + IQR_MULTIPLIER * (F.col("q3") - F.col("q1"))
     )
     r = F.col("residual")
     inside = (r >= F.col("lo_fence")) & (r <= F.col("hi_fence"))
-    return res.join(F.broadcast(q), "model").groupBy("model", "q1", "median", "q3").agg(
+    return res.join(q, "model").groupBy("model", "q1", "median", "q3").agg(
         F.min(F.when(inside, r)).alias("whisker_low"),
         F.max(F.when(inside, r)).alias("whisker_high"),
         F.count_if(~inside).alias("outliers"),
@@ -63,16 +57,12 @@ def residuals_over_time(res: DataFrame) -> DataFrame:
 def qq_points(res: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Normal probability-plot points per model (ordered residual vs Φ⁻¹ of Filliben medians).
 
-    The rank window holds one model's residuals; residual tables are at the
-    store-day grain of the evaluated split.
+    Ranks come from value ranges, so a model's residuals are never sorted in one task.
     """
-    w = Window.partitionBy("model").orderBy("residual", *keys)
-    i = F.row_number().over(w)
-    n = F.count(F.lit(1)).over(Window.partitionBy("model"))
-    ranked = res.select("model", "residual", i.alias("i"), n.alias("n"))
+    ranked = ranks(res.select("model", "residual", *keys), ["model"], "residual", keys)
     return ranked.select(
-        "model", "i", "residual",
-        normal_ppf(filliben_position(F.col("i").cast("double"), F.col("n").cast("double"))).alias("theoretical"),
+        "model", F.col("rank").cast("int").alias("i"), "residual",
+        normal_ppf(filliben_position(F.col("rank").cast("double"), F.col("n").cast("double"))).alias("theoretical"),
     )
 
 
@@ -87,7 +77,7 @@ def error_histogram(res: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     stats = stats.withColumn("width", F.when(width > 0, width).otherwise(F.lit(1.0)))
     idx = F.least(F.floor((F.col("err") - F.col("lo")) / F.col("width")), F.lit(bins - 1)).cast("int")
-    counts = e.join(F.broadcast(stats), "model").groupBy("model", idx.alias("bin")).agg(
+    counts = e.join(stats, "model").groupBy("model", idx.alias("bin")).agg(
         F.count(F.lit(1)).alias("count")
     )
     grid = stats.select("model", "lo", "width", "n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))

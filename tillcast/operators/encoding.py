@@ -9,16 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.config import TARGET_ENCODING_SMOOTHING
+from tillcast.operators.ordered import label_index
 
 
 def fit_label_encoder(df: DataFrame, col: str) -> DataFrame:
     """Sorted distinct labels → 0-based index (the table is one row per label)."""
-    labels = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return labels.select(col, (F.dense_rank().over(Window.orderBy(col)) - 1).alias(f"{col}_index"))
+    return label_index(df, col)
 
 
 def apply_label_encoder(df: DataFrame, encoder: DataFrame, col: str, strict: bool = True) -> DataFrame:

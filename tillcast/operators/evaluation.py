@@ -33,30 +33,26 @@ def naive_predictions(features: DataFrame, target: str = "total_revenue",
         "weekday_mean": (F.col(f"{t}_lag_7") + F.col(f"{t}_lag_14") + F.col(f"{t}_lag_21")) / 3.0,
     }
     extra = [c for c in ("split",) if c in features.columns]
-    parts = [
-        features.select(*keys, *extra, F.lit(name).alias("model"), F.col(t).alias("actual"),
-                        expr.cast("double").alias("prediction"))
-        for name, expr in models.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # one scan for all models
+    pairs = F.array(*[F.struct(F.lit(name).alias("model"), expr.cast("double").alias("prediction")) for name, expr in models.items()])
+    rows = features.select(*keys, *extra, F.col(t).alias("actual"), F.explode(pairs).alias("_p"))
+    return rows.select(*keys, *extra, "_p.model", "actual", "_p.prediction")
 
 
 def regression_metrics(preds: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """RMSE, MAE and R² per group, long form ``(by…, metric, value)``.
+    """RMSE, MAE and R² per group, long form ``(by…, metric, value)``, in one pass.
 
-    R² uses the group mean of the actuals (a per-group table joined back).
+    R² of a constant actual is 1 for exact predictions and 0 otherwise.
     """
     by = list(by)
-    means = preds.groupBy(*by).agg(F.avg("actual").alias("_ybar"))
-    j = preds.join(F.broadcast(means), by)
     e = F.col("actual") - F.col("prediction")
-    agg = j.groupBy(*by).agg(
+    sse = F.sum(e * e)
+    both = F.when(F.col("prediction").isNotNull(), F.col("actual"))
+    sst = F.var_pop(both) * F.count(both)
+    agg = preds.groupBy(*by).agg(
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.avg(F.abs(e)).alias("mae"),
-        (1 - F.sum(e * e) / F.sum((F.col("actual") - F.col("_ybar")) ** 2)).alias("r2"),
+        F.when(sst > 0, 1 - F.try_divide(sse, sst)).when(sse.isNotNull(), F.when(sse == 0, 1.0).otherwise(0.0)).alias("r2"),
     )
     return agg.select(*by, F.expr("stack(3, 'rmse', rmse, 'mae', mae, 'r2', r2) AS (metric, value)"))
 

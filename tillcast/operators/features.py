@@ -12,9 +12,9 @@ Ungrouped windows (a single series) are only applied to day-grain tables.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,27 +73,30 @@ def rolling_columns(
     return out
 
 
-def ewm_column(target: str, w, span: int, eps: float = 1e-18) -> Column:
-    """Exponentially weighted mean, ``adjust=False`` (seed = first value).
+def with_ewm(df: DataFrame, target: str, spans: Sequence[int] = EWM_SPANS, group_cols: Sequence[str] = ("store_id",),
+             date_col: str = "date") -> DataFrame:
+    """``{target}_ewm_{span}``, exponentially weighted means with the whole history (``adjust=False``).
 
-    y_t = (1-a)·y_{t-1} + a·x_t with a = 2/(span+1).  Weights older than K
-    rows are below ``eps`` relative, so folding the last K+1 values with a
-    higher-order ``aggregate`` (seeded by the oldest one) equals the full
-    recursion to double precision, stays in the JVM and needs no ordered
-    Python state.
+    y is the first value, then y += a·(x − y) with a = 2/(span+1).  A NULL
+    leaves y as it is while the weight of the past goes on fading; leading
+    NULLs give NULL.  The recursion runs once along each series (one group
+    per series, a row per day).
     """
-    a = 2.0 / (span + 1.0)
-    keep = 1.0 - a
-    k = int(math.ceil(math.log(eps) / math.log(keep)))
-    xs = F.collect_list(F.col(target)).over(w.rowsBetween(-k, 0))
-    return F.aggregate(
-        F.slice(xs, 2, k + 1), F.element_at(xs, 1), lambda acc, x: acc * F.lit(keep) + x * F.lit(a)
-    ).alias(f"{target}_ewm_{span}")
+    keys = list(group_cols)
+    names = [f"{target}_ewm_{s}" for s in spans]
+    series = df.select(*keys, date_col, F.col(target).cast("double").alias("_x")).distinct()
 
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values([date_col], kind="stable")
+        return frame.assign(**{n: frame["_x"].ewm(span=s, adjust=False).mean() for n, s in zip(names, spans)}).drop(columns="_x")
 
-def ewm_horizon(span: int, eps: float = 1e-18) -> int:
-    a = 2.0 / (span + 1.0)
-    return int(math.ceil(math.log(eps) / math.log(1.0 - a)))
+    kinds = dict(df.dtypes)
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in [*keys, date_col]] + [f"`{n}` double" for n in names])
+    means = series.groupBy(*keys).applyInPandas(run, schema) if keys else series.groupBy().applyInPandas(run, schema)
+    marked = means.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, date_col])],
+                          *[F.when(~F.isnan(n), F.col(n)).alias(n) for n in names])
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate([*keys, date_col])]
+    return df.join(marked, on, "left").select(*df.columns, *names)
 
 
 def time_series_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
@@ -111,7 +114,7 @@ def time_series_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) ->
 
 
 def advanced_columns(target: str, w, date_col: str = "date", has_discount: str | None = "has_discount") -> list[Column]:
-    """W09–W13, D12–D15 (trend, velocity, ratios and month positions).
+    """W10–W13, D12–D15 (trend, velocity, ratios and month positions).
 
     Velocity, acceleration and ratios are computed per series (the ungrouped
     original lets them run across series boundaries).
@@ -119,8 +122,7 @@ def advanced_columns(target: str, w, date_col: str = "date", has_discount: str |
     t = F.col(target)
     lag1, lag2 = F.lag(t, 1).over(w), F.lag(t, 2).over(w)
     trend = F.row_number().over(w) - 1
-    cols = [ewm_column(target, w, s) for s in EWM_SPANS]
-    cols += [
+    cols = [
         trend.alias("trend"),
         (trend * trend).alias("trend_squared"),
         (t - lag1).alias(f"{target}_velocity"),
@@ -136,12 +138,15 @@ def advanced_columns(target: str, w, date_col: str = "date", has_discount: str |
 
 
 def interaction_columns(categorical_cols: Sequence[str]) -> list[Column]:
-    """``a_b_interaction`` = a + "_" + b for every pair of categorical columns."""
+    """``a_b_interaction`` = a + "_" + b for every pair of categorical columns (a NULL part is written ``nan``)."""
+    def shown(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit("nan"))
+
     out = []
     for i, a in enumerate(categorical_cols):
         for b in categorical_cols[i + 1:]:
             out.append(
-                F.concat_ws("_", F.col(a).cast("string"), F.col(b).cast("string")).alias(f"{a}_{b}_interaction")
+                F.concat(shown(a), F.lit("_"), shown(b)).alias(f"{a}_{b}_interaction")
             )
     return out
 
@@ -149,11 +154,6 @@ def interaction_columns(categorical_cols: Sequence[str]) -> list[Column]:
 # ---------------------------------------------------------------------------
 # null handling
 # ---------------------------------------------------------------------------
-def fill_constant(df: DataFrame, cols: Sequence[str], value=0) -> DataFrame:
-    """N01."""
-    return df.fillna(value, subset=list(cols))
-
-
 def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """NULL → column mean; all means come from one scalar-subquery aggregate."""
     if not cols:

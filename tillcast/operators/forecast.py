@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.config import (
-    CONFIDENCE_LEVELS, FALLBACK_FEATURES, FORECAST_BAND, FORECAST_HORIZON, FORECAST_MAX_HORIZON, HISTORY_TAIL, LAGS,
+    CONFIDENCE_LEVELS, FALLBACK_FEATURES, FORECAST_BAND, FORECAST_HORIZON, HISTORY_TAIL, LAGS,
     MISSING_COLUMN_DEFAULTS, ROLLING_WINDOWS,
 )
 from tillcast.functions import dates
+from tillcast.operators.ordered import grouped_quantiles
 
 
 def tail_statistics(history: DataFrame, target: str = "total_revenue", date_col: str = "date",
@@ -55,18 +56,18 @@ def tail_statistics(history: DataFrame, target: str = "total_revenue", date_col:
 def future_dates(stats: DataFrame, horizon: int = FORECAST_HORIZON,
                  group_cols: Sequence[str] = ("store_id",)) -> DataFrame:
     """``horizon`` consecutive days after each series' last date."""
-    if not 1 <= horizon <= FORECAST_MAX_HORIZON:
-        raise ValueError(f"horizon must be in 1..{FORECAST_MAX_HORIZON}")
+    if horizon < 1:
+        raise ValueError("horizon must be at least 1")
     spine = F.sequence(F.date_add("last_date", 1), F.date_add("last_date", horizon))
     return stats.select(*group_cols, F.explode(spine).alias("date"), *[c for c in stats.columns
                                                                       if c not in group_cols])
 
 
 def store_number(store_id: str | Column) -> Column:
-    """Digits of a ``store_XXX`` code as an integer; 1 when the code has no such form."""
+    """Digits of a ``store_XXX`` code as an integer; 1 when the code has no such form, null when they exceed an int."""
     s = F.col(store_id) if isinstance(store_id, str) else store_id
     digits = F.regexp_extract(s, r"(\d+)", 1)
-    return F.when(s.contains("store_") & (digits != ""), digits.cast("int")).otherwise(F.lit(1))
+    return F.when(s.contains("store_") & (digits != ""), digits.try_cast("int")).otherwise(F.lit(1))
 
 
 def map_unknown(df: DataFrame, col: str, known: DataFrame) -> DataFrame:
@@ -131,12 +132,12 @@ def residual_intervals(preds: DataFrame, residuals: DataFrame, levels: Sequence[
                        col: str = "predicted_sales", group_cols: Sequence[str] = ("store_id",)) -> DataFrame:
     """Empirical intervals — prediction + residual quantiles per series and level."""
     qs = sorted({q for lv in levels for q in ((1 - lv) / 2, (1 + lv) / 2)})
-    rq = residuals.groupBy(*group_cols).agg(F.percentile("residual", qs).alias("_q"))
+    rq = grouped_quantiles(residuals, list(group_cols), "residual", qs)
     out = preds.join(rq, list(group_cols), "left")
     cols = {}
     for lv in levels:
         lo, hi = qs.index((1 - lv) / 2), qs.index((1 + lv) / 2)
         tag = int(round(lv * 100))
-        cols[f"lower_{tag}"] = F.col(col) + F.col("_q")[lo]
-        cols[f"upper_{tag}"] = F.col(col) + F.col("_q")[hi]
-    return out.withColumns(cols).drop("_q")
+        cols[f"lower_{tag}"] = F.col(col) + F.col(f"q_{lo}")
+        cols[f"upper_{tag}"] = F.col(col) + F.col(f"q_{hi}")
+    return out.withColumns(cols).drop(*[f"q_{i}" for i in range(len(qs))])

@@ -1,51 +1,98 @@
-"""Running totals and exact quantiles in a global order without a single-partition window.
+"""Running totals, ranks and exact quantiles per group in value order, without one task per group.
 
-Rows are cut into key-range buckets (boundaries from a bounded quantile
-sketch).  Each bucket's totals form a tiny per-bucket table whose running
-sum (one row per bucket) gives the offset to add to the in-bucket running
-sum.  Work stays spread over all buckets; only ``#buckets`` rows pass
-through an ordered window.
+Each group's rows are cut into value ranges (boundaries from a bounded
+quantile sketch per group).  Sums per range get running offsets (a few rows
+per group), and each range adds its own running sum.  A group that holds most
+of the rows is thus spread over many tasks, and everything stays in the plan:
+nothing is collected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Value ranges per group, as coarse steps of fine ranges.
+COARSE, FINE = 16, 16
 
-def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Adds ``cum_{c}`` = Σ c over rows with ``order_col`` ≤ the row's key (``order_col`` unique per row).
 
-    Rows are bucketed by approximate quantile boundaries of the key (a
-    bounded sketch), so every bucket holds a contiguous key range; bucket
-    totals get running offsets over ``buckets`` rows, and each bucket adds
-    its own in-bucket running sum.  The bucket expression is deterministic,
-    so recomputation after a failure reproduces the same buckets.
-    """
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    probs = [i / n for i in range(1, n)]
-    # the sketch's n-1 boundaries are the only values fetched to the driver
-    sketch = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000)).first()[0] or []
-    bounds = F.array(*[F.lit(float(b)) for b in sorted(set(sketch))]) if sketch else F.array().cast("array<double>")
+def _range_of(value: Column, bounds: Column) -> Column:
+    """Number of sorted ``bounds`` below ``value``, found in two steps."""
+    steps = F.filter(bounds, lambda b, i: (i % FINE == FINE - 1) & (b < value))
+    done = F.size(steps) * FINE
+    return done + F.size(F.filter(F.slice(bounds, done + 1, FINE), lambda b: b < value))
+
+
+def _ranged(df: DataFrame, group_cols: Sequence[str], order_col: str) -> DataFrame:
+    """``df`` with the range ``_b`` of its row's value in its group; null values come first."""
+    probs = [i / (COARSE * FINE) for i in range(1, COARSE * FINE)]
     key = F.col(order_col).cast("double")
-    r = df.withColumn("_b", F.size(F.filter(bounds, lambda b: b < key)))
-    totals = r.groupBy("_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sketch = F.array_distinct(F.array_sort(F.percentile_approx(key, probs, 2000)))
+    bounds = df.groupBy(*group_cols).agg(sketch.alias("_bounds"))
+    return _joined(df, bounds, group_cols).withColumn(
+        "_b", F.when(key.isNull() | F.col("_bounds").isNull(), 0).otherwise(_range_of(key, F.col("_bounds")))
+    ).drop("_bounds")
+
+
+def _joined(df: DataFrame, per_group: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """``df`` with the columns of a one-row-per-group table (null keys match)."""
+    if not group_cols:
+        return df.crossJoin(per_group)  # one row
+    right = per_group.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(group_cols)})
+    on = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group_cols)]
+    return df.join(right, on).drop(*[f"_g{i}" for i in range(len(group_cols))])
+
+
+def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str], group_cols: Sequence[str] = (),
+                   tie_cols: Sequence[str] = ()) -> DataFrame:
+    """Adds ``cum_{c}``: the sum of c over the group's rows up to the row, by (``order_col``, ``tie_cols``).
+
+    The order must be unique within a group.
+    """
+    groups = list(group_cols)
+    r = _ranged(df, groups, order_col)
+    totals = r.groupBy(*groups, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "_b", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols]
+        *groups, "_b", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols]
     )
-    inside = Window.partitionBy("_b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    # one row per bucket: bounded by the bucket count
-    j = r.join(F.broadcast(offsets), "_b")
-    return j.select(
-        *df.columns, *[(F.col(f"_o_{c}") + F.sum(c).over(inside)).alias(f"cum_{c}") for c in sum_cols]
+    inside = Window.partitionBy(*groups, "_b").orderBy(order_col, *tie_cols).rowsBetween(Window.unboundedPreceding, 0)
+    cum = r.select("*", *[F.sum(c).over(inside).alias(f"_i_{c}") for c in sum_cols])
+    return _joined(cum, offsets, [*groups, "_b"]).select(
+        *df.columns, *[(F.col(f"_o_{c}") + F.col(f"_i_{c}")).alias(f"cum_{c}") for c in sum_cols]
     )
 
 
+def ranks(df: DataFrame, group_cols: Sequence[str], order_col: str, tie_cols: Sequence[str]) -> DataFrame:
+    """Adds ``rank`` (from 1) of the row in its group by (``order_col``, ``tie_cols``) and the group's size ``n``."""
+    groups = list(group_cols)
+    one = df.withColumn("_one", F.lit(1).cast("long"))
+    ranked = running_totals(one, order_col, ["_one"], groups, tie_cols).withColumnRenamed("cum__one", "rank").drop("_one")
+    return _joined(ranked, df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")), groups)
+
+
+def label_index(labels: DataFrame, col: str) -> DataFrame:
+    """``col, {col}_index``: 0-based rank of each distinct label, for any number of labels.
+
+    Labels are range-partitioned and written once; each partition's index
+    starts at the number of labels before it.
+    """
+    from tillcast.session import written
+
+    ranged = labels.select(col).where(F.col(col).isNotNull()).distinct().repartitionByRange(col)
+    ranged = written(ranged.withColumn("_part", F.spark_partition_id()), "labels")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    inside = Window.partitionBy("_part").orderBy(col)
+    return ranged.withColumn("_r", F.row_number().over(inside)).join(offsets, "_part").select(
+        col, (F.col("_o") + F.col("_r") - 1).cast("int").alias(f"{col}_index"))
+
+
 def ks_statistic(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
-    """Two-sample Kolmogorov–Smirnov statistic D = max |F_a − F_b|.
+    """Two-sample Kolmogorov–Smirnov statistic D = max |F_a − F_b| (V19); NULL if a sample is empty.
 
     Samples are reduced to value counts, outer-joined on value, and the
     empirical CDFs come from :func:`running_totals`.
@@ -57,30 +104,35 @@ def ks_statistic(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     j = ca.join(cb, "v", "full").fillna(0, ["na", "nb"])
     tot = j.agg(F.struct(F.sum("na").alias("a"), F.sum("nb").alias("b")).alias("t")).scalar()
     cum = running_totals(j, "v", ["na", "nb"])
-    d = F.abs(F.col("cum_na") / tot["a"] - F.col("cum_nb") / tot["b"])
+    d = F.abs(F.try_divide("cum_na", tot["a"]) - F.try_divide("cum_nb", tot["b"]))
     return cum.agg(F.max(d).alias("ks"))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], weight: str | None = None) -> DataFrame:
-    """Exact linearly interpolated quantiles of ``col`` without gathering the values in one task.
+def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], col: str, probs: Sequence[float],
+                      weight: str | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles of ``col`` per group, one column ``q_{i}`` per probability.
 
     Values are reduced to (value, count) pairs — a hot value is one row —
     and their cumulative counts come from :func:`running_totals`.  The value
     at 0-based rank k is the smallest value whose cumulative count exceeds k;
     quantile p interpolates between ranks ⌊p(N−1)⌋ and ⌈p(N−1)⌉.  Rows with a
     NULL value are ignored; ``weight`` gives integer row weights.
-    Returns one row with a column ``q_{i}`` per probability.
     """
+    groups = list(group_cols)
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    vc = (df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v"))
-            .agg(F.sum(w).alias("n")).where(F.col("n") > 0))
-    cum = running_totals(vc, "v", ["n"])
-    total = vc.agg(F.sum("n")).scalar()
+    vc = (df.where(F.col(col).isNotNull()).groupBy(*groups, F.col(col).cast("double").alias("_v"))
+            .agg(F.sum(w).alias("_n")).where(F.col("_n") > 0))
+    cum = _joined(running_totals(vc, "_v", ["_n"], groups), vc.groupBy(*groups).agg(F.sum("_n").alias("_total")), groups)
     aggs = []
     for i, p in enumerate(probs):
-        pos = (total - 1) * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        v_lo = F.min(F.when(F.col("cum_n") > lo, F.col("v")))
-        v_hi = F.min(F.when(F.col("cum_n") > hi, F.col("v")))
-        aggs.append((v_lo + (v_hi - v_lo) * (pos - lo)).alias(f"q_{i}"))
-    return cum.agg(*aggs)
+        pos = (F.col("_total") - 1) * F.lit(float(p))
+        v_lo = F.min(F.when(F.col("cum__n") > F.floor(pos), F.col("_v")))
+        v_hi = F.min(F.when(F.col("cum__n") > F.ceil(pos), F.col("_v")))
+        share = F.max(pos - F.floor(pos))
+        aggs.append((v_lo + (v_hi - v_lo) * share).alias(f"q_{i}"))
+    return cum.groupBy(*groups).agg(*aggs)
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], weight: str | None = None) -> DataFrame:
+    """:func:`grouped_quantiles` of the whole table: one row (NULLs for an empty one)."""
+    return grouped_quantiles(df, (), col, probs, weight)

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillcast.config import (
-    DATA_TYPES, DRIFT_STD_MULTIPLIER, IQR_MULTIPLIER, ISSUE_PREVIEW, KS_THRESHOLD, REQUIRED_COLUMNS,
-    RMSE_ALERT, VALUE_RANGES, ZSCORE_LIMIT,
+    DATA_TYPES, DRIFT_STD_MULTIPLIER, IQR_MULTIPLIER, ISSUE_PREVIEW, REQUIRED_COLUMNS, VALUE_RANGES, ZSCORE_LIMIT,
 )
+from tillcast.operators.ordered import grouped_quantiles
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint")
 
@@ -50,13 +50,12 @@ def partition_checks(df: DataFrame, part_col: str, negative_cols: Sequence[str])
 
 def empty_partitions(expected: DataFrame, df: DataFrame, part_col: str) -> DataFrame:
     """Expected partition keys without any row (anti join)."""
-    return expected.select(part_col).distinct().join(df.select(part_col), part_col, "left_anti")
+    return expected.select(part_col).distinct().join(df.select(part_col).distinct(), part_col, "left_anti")
 
 
 def issue_rows(checks: DataFrame, part_col: str, negative_cols: Sequence[str]) -> DataFrame:
     """One issue row per (partition, failed check)."""
-    exprs = [F.when(F.col("rows") == 0, F.lit("empty"))]
-    exprs += [F.when(F.col(f"negative_{c}"), F.lit(f"negative_{c}")) for c in negative_cols]
+    exprs = [F.when(F.col(f"negative_{c}"), F.lit(f"negative_{c}")) for c in negative_cols]
     return checks.select(part_col, F.explode(F.array_compact(F.array(*exprs))).alias("issue"))
 
 
@@ -101,13 +100,14 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame) -> DataFrame:
     """Null count/percentage, distinct count and numeric moments, long form.
 
-    One aggregate over all columns; distinct counts are exact
-    (``count(DISTINCT)``, one shuffle per column set).
+    Moments and null counts are one aggregate.  Exact distinct counts come
+    from the value counts of (column, value) pairs, which combine on the map
+    side.  An empty table has no percentages.
     """
     num = set(_numeric(df))
     aggs = [F.count(F.lit(1)).alias("__n")]
     for c in df.columns:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"), F.count_distinct(F.col(c)).alias(f"{c}__distinct")]
+        aggs.append(F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"))
         if c in num:
             x = F.col(c).cast("double")
             aggs += [F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
@@ -116,52 +116,45 @@ def column_profile(df: DataFrame) -> DataFrame:
     items = []
     for c in df.columns:
         items += [f"'{c}', 'null_count', CAST(`{c}__nulls` AS DOUBLE)",
-                  f"'{c}', 'null_percentage', CAST(`{c}__nulls` * 100.0D / `__n` AS DOUBLE)",
-                  f"'{c}', 'unique_values', CAST(`{c}__distinct` AS DOUBLE)"]
+                  f"'{c}', 'null_percentage', try_divide(`{c}__nulls` * 100.0D, CAST(`__n` AS DOUBLE))"]
         if c in num:
             items += [f"'{c}', '{m}', `{c}__{m}`" for m in ("mean", "std", "min", "max")]
-    return row.selectExpr(f"stack({len(items)}, {', '.join(items)}) AS (column, metric, value)")
-
-
-def outlier_counts(df: DataFrame, method: str = "iqr", cols: Sequence[str] | None = None,
-                   distributed: bool = False) -> DataFrame:
+    stats = row.selectExpr(f"stack({len(items)}, {', '.join(items)}) AS (column, metric, value)")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in df.columns])
+    values = df.select(F.explode(pairs).alias("_p")).select("_p.*").distinct()
+    # columns without any value count 0
+    unique = values.groupBy("column").agg(F.count("v").cast("double").alias("value"))
+    names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")
+    unique = names.join(unique, "column", "left").select(
+        "column", F.lit("unique_values").alias("metric"), F.coalesce("value", F.lit(0.0)).alias("value"))
+    return stats.unionByName(unique)
+
+
+def outlier_counts(df: DataFrame, method: str = "iqr", cols: Sequence[str] | None = None) -> DataFrame:
     """Per numeric column, values outside 1.5·IQR fences or with |z| > 3.
 
-    Bounds are exact linear-interpolated quartiles (one ``percentile``
-    aggregate; ``distributed=True`` switches to bucketed value counts,
-    ``ordered.exact_quantiles``, for high-cardinality columns at scale) or one
-    mean/std aggregate, read back as scalar subqueries; the count is a second
-    pass with ``count_if``.
+    Columns are stacked to (column, value) rows; fences are exact quartiles
+    per column (``ordered.grouped_quantiles``), or mean and standard deviation.
+    A constant column has no z-score, so no outliers.
     """
     cols = list(cols) if cols is not None else _numeric(df)
+    if method not in ("iqr", "zscore"):
+        raise ValueError(method)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
+    long = df.select(F.explode(pairs).alias("_p")).select("_p.*")
     if method == "iqr":
-        from tillcast.operators.ordered import exact_quantiles
-
-        cond = {}
-        if not distributed:
-            allq = df.agg(F.struct(*[F.percentile(F.col(c).cast("double"), [0.25, 0.75]).alias(c)
-                                     for c in cols])).scalar()
-        for c in cols:
-            if distributed:
-                q = exact_quantiles(df, c, [0.25, 0.75]).select(F.struct("q_0", "q_1").alias("q")).scalar()
-                q1, q3 = q["q_0"], q["q_1"]
-            else:
-                q1, q3 = allq[c][0], allq[c][1]
-            iqr = q3 - q1
-            cond[c] = (F.col(c) < q1 - IQR_MULTIPLIER * iqr) | (F.col(c) > q3 + IQR_MULTIPLIER * iqr)
-    elif method == "zscore":
-        s = df.agg(F.struct(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(c)
-                              for c in cols])).scalar()
-        cond = {c: F.abs((F.col(c) - s[c]["m"]) / s[c]["s"]) > ZSCORE_LIMIT for c in cols}
+        iqr = F.col("q_1") - F.col("q_0")
+        bounds = grouped_quantiles(long, ["column"], "v", [0.25, 0.75]).select(
+            "column", (F.col("q_0") - IQR_MULTIPLIER * iqr).alias("lo"), (F.col("q_1") + IQR_MULTIPLIER * iqr).alias("hi"))
+        out = (F.col("v") < F.col("lo")) | (F.col("v") > F.col("hi"))
     else:
-        raise ValueError(method)
-    # flags are projected first: the bound subqueries may only appear in a projection
-    flags = df.select(*[cond[c].alias(c) for c in cols])
-    counts = flags.agg(*[F.count_if(F.col(c)).alias(c) for c in cols])
-    stack = ", ".join(f"'{c}', `{c}`" for c in cols)
-    return counts.selectExpr(f"stack({len(cols)}, {stack}) AS (column, outliers)").withColumn(
-        "method", F.lit(method)
-    )
+        bounds = long.groupBy("column").agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s"))
+        out = F.abs(F.try_divide(F.col("v") - F.col("m"), F.col("s"))) > ZSCORE_LIMIT
+    # one row per column of a fixed list, so the bounds may be broadcast
+    counts = long.join(F.broadcast(bounds), "column").groupBy("column").agg(F.count_if(out).alias("outliers"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(counts, "column", "left").select(
+        "column", F.coalesce("outliers", F.lit(0)).cast("long").alias("outliers"), F.lit(method).alias("method"))
 
 
 def range_breaches(df: DataFrame, ranges: Mapping[str, tuple[float, float]] = VALUE_RANGES) -> DataFrame:
@@ -236,11 +229,6 @@ def gaps(df: DataFrame, date_col: str = "date") -> DataFrame:
     )
 
 
-def duplicate_dates(df: DataFrame, date_col: str = "date") -> DataFrame:
-    """Rows sharing a date: with duplicates a zero-day step occurs (diff ≤ 1 is not a gap)."""
-    return df.groupBy(F.to_date(date_col).alias("date")).count().where(F.col("count") > 1)
-
-
 # ---------------------------------------------------------------------------
 # Drift and monitoring
 # ---------------------------------------------------------------------------
@@ -262,30 +250,6 @@ def distribution_shift(train_stats: DataFrame, current: DataFrame, k: float = DR
     return j.withColumn("shifted", F.abs(F.col("current_mean") - F.col("train_mean")) > k * F.col("train_std"))
 
 
-def ks_statistic(a: DataFrame, b: DataFrame, col: str, threshold: float = KS_THRESHOLD) -> DataFrame:
-    """Two-sample Kolmogorov–Smirnov statistic max|F_a − F_b| of one column.
-
-    Both samples are reduced to value counts first; the cumulative
-    distributions are windows over the distinct values only.
-    """
-    ca = a.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("na"))
-    cb = b.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("nb"))
-    j = ca.join(cb, "v", "full").fillna(0, ["na", "nb"])
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    tot = j.agg(F.struct(F.sum("na").alias("a"), F.sum("nb").alias("b")).alias("t")).scalar()
-    cdf = j.select(
-        (F.sum("na").over(w) / tot["a"] - F.sum("nb").over(w) / tot["b"]).alias("d")
-    )
-    return cdf.agg(F.max(F.abs("d")).alias("ks")).select(
-        F.lit(col).alias("column"), "ks", (F.col("ks") > threshold).alias("drift")
-    )
-
-
-def rmse_alerts(metrics: DataFrame, threshold: float = RMSE_ALERT) -> DataFrame:
-    """Models whose RMSE exceeds the alert level."""
-    return metrics.where((F.col("metric") == "rmse") & (F.col("value") > threshold))
-
-
 # ---------------------------------------------------------------------------
 # Combined report
 # ---------------------------------------------------------------------------

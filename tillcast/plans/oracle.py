@@ -13,7 +13,7 @@ from tillcast.plans.spec import wrap_sql
 SALES = """
 sales AS (
   SELECT CAST(l.l_shipdate AS DATE) AS date,
-         'store_' || lpad(CAST(s.s_nationkey AS VARCHAR), 3, '0') AS store_id,
+         printf('store_%03d', CAST(s.s_nationkey AS BIGINT)) AS store_id,
          CAST(l.l_partkey AS VARCHAR) AS product_id,
          p.p_brand AS category,
          CAST(l.l_quantity AS BIGINT) AS quantity_sold,
@@ -22,8 +22,8 @@ sales AS (
          l.l_extendedprice * (1 - l.l_discount) AS revenue,
          0.7 * l.l_extendedprice AS cost,
          l.l_extendedprice * (1 - l.l_discount) - 0.7 * l.l_extendedprice AS profit
-  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-                  JOIN part p ON l.l_partkey = p.p_partkey
+  FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+                  LEFT JOIN part p ON l.l_partkey = p.p_partkey
 )"""
 
 PROMOTIONS = """
@@ -36,10 +36,10 @@ promotions AS (
 TRAFFIC = f"""
 traffic AS (
   SELECT CAST(o.o_orderdate AS DATE) AS date,
-         'store_' || lpad(CAST(c.c_nationkey AS VARCHAR), 3, '0') AS store_id,
+         printf('store_%03d', CAST(c.c_nationkey AS BIGINT)) AS store_id,
          CAST(1 AS BIGINT) AS customer_traffic, 1.0 AS weather_impact,
          {holiday_sql("CAST(o.o_orderdate AS DATE)")} AS is_holiday
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 )"""
 
 DAILY = """

@@ -139,7 +139,8 @@ ADV_SPEC = (
 def q_advanced_features(spark, sf_dir):
     sd = store_daily_of(spark, sf_dir)
     w = features.series_window(["store_id"])
-    return sd.select("date", "store_id", *features.advanced_columns("total_revenue", w))
+    return features.with_ewm(sd, "total_revenue").select(
+        "date", "store_id", *[f"total_revenue_ewm_{s}" for s in EWM_SPANS], *features.advanced_columns("total_revenue", w))
 
 
 def _advanced_sql() -> str:
@@ -147,9 +148,8 @@ def _advanced_sql() -> str:
     ewm = []
     for s in EWM_SPANS:
         a = 2.0 / (s + 1.0)
-        k = features.ewm_horizon(s)
         ewm.append(
-            f"list_reduce(list(total_revenue) OVER ({w} ROWS BETWEEN {k} PRECEDING AND CURRENT ROW), "
+            f"list_reduce(list(total_revenue) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
             f"lambda acc, x: acc * CAST({1.0 - a!r} AS DOUBLE) + x * CAST({a!r} AS DOUBLE)) AS total_revenue_ewm_{s}"
         )
     ratios = []

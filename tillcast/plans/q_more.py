@@ -21,9 +21,9 @@ def _d(v: float) -> str:
 
 # --- forecast (U03, W14, W15, T01 features, T02, A07, P10) --------------------------------------
 HISTORY_SQL = """WITH h AS (
-  SELECT CAST(o.o_orderdate AS DATE) AS date, 'store_' || lpad(CAST(c.c_nationkey AS VARCHAR), 3, '0') AS store_id,
+  SELECT CAST(o.o_orderdate AS DATE) AS date, printf('store_%03d', CAST(c.c_nationkey AS BIGINT)) AS store_id,
          round(sum(o.o_totalprice) * 100.0) / 100.0 AS total_revenue
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2
 )"""
 
 
@@ -170,7 +170,7 @@ SELECT date, name AS promotion_type, discount AS discount_percent FROM d WHERE d
 sql("promotion_calendar", _promo_sql())
 
 EVENT_INTERVALS_SQL = f"""ev AS (
-  SELECT 'store_' || lpad(CAST(user_id % {T.EVENT_STORES} AS VARCHAR), 3, '0') AS store_id,
+  SELECT printf('store_%03d', CAST(user_id % (SELECT count(*) FROM nation) AS BIGINT)) AS store_id,
          CAST(CAST(ts AS DATE) - {T.EVENT_DAY_SHIFT} AS DATE) AS start_date,
          CASE WHEN value < 100 THEN 'closure' ELSE 'renovation' END AS event_type,
          CASE WHEN value < 100 THEN -1.0 ELSE -0.3 END AS impact,

@@ -82,7 +82,7 @@ def q_empty_store_days(spark, sf_dir):
     span = sales.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
     expected = sales.select("store_id").distinct().select("store_id", F.explode(F.sequence(lo, hi)).alias("date"))
-    return expected.join(sales, ["store_id", "date"], "left_anti")
+    return expected.join(sales.distinct(), ["store_id", "date"], "left_anti")
 
 
 sql(
@@ -140,7 +140,7 @@ sql(
 # --- V07–V09 ------------------------------------------------------------------------------
 @query("column_profile", "column:string, metric:string, value:double@2")
 def q_column_profile(spark, sf_dir):
-    return quality.column_profile(quality_input(spark, sf_dir))
+    return quality.column_profile(materialize(quality_input(spark, sf_dir)))
 
 
 def _profile_sql() -> str:
@@ -169,12 +169,12 @@ sql("column_profile", _profile_sql())
 # the bounds pass and the counting pass read the same joined input: checkpoint it once
 @query("outliers_iqr", "column:string, outliers:bigint, method:string")
 def q_outliers_iqr(spark, sf_dir):
-    return quality.outlier_counts(materialize(quality_input(spark, sf_dir)), "iqr", QI_NUMERIC)
+    return quality.outlier_counts(materialize(quality_input(spark, sf_dir).select(*QI_NUMERIC)), "iqr", QI_NUMERIC)
 
 
 @query("outliers_zscore", "column:string, outliers:bigint, method:string")
 def q_outliers_zscore(spark, sf_dir):
-    return quality.outlier_counts(materialize(quality_input(spark, sf_dir)), "zscore", QI_NUMERIC)
+    return quality.outlier_counts(materialize(quality_input(spark, sf_dir).select(*QI_NUMERIC)), "zscore", QI_NUMERIC)
 
 
 def _outliers_sql(method: str) -> str:
@@ -292,7 +292,7 @@ SELECT CAST(date - CAST(gap_days AS INTEGER) AS DATE) AS gap_after, date, gap_da
 # --- V18 ------------------------------------------------------------------------------------
 @query("validation_report", "section:string, column:string, metric:string, value:double@2")
 def q_validation_report(spark, sf_dir):
-    return quality.validation_report(store_daily_of(spark, sf_dir))
+    return quality.validation_report(materialize(store_daily_of(spark, sf_dir)))
 
 
 def _validation_sql() -> str:

@@ -103,8 +103,9 @@ def q_sales_with_traffic(spark, sf_dir):
     daily = cleaning.daily_product_sales(T.sales(spark, sf_dir))
     joined = cleaning.with_traffic(daily, cleaning.traffic_summary(T.customer_traffic(spark, sf_dir)))
     joined = joined.withColumn("traffic_was_missing", F.col("customer_traffic").isNull())
-    # the median pass and the fill read the same join: checkpoint it once
-    return cleaning.fill_with_median(materialize(joined), "customer_traffic")
+    # the median pass and the fill read the same join: write the used columns once
+    used = joined.select("date", "store_id", "product_id", "total_revenue", "customer_traffic", "traffic_was_missing")
+    return cleaning.fill_with_median(materialize(used), "customer_traffic")
 
 
 @query("dataset_profile", "dataset:string, rows:bigint, columns:int")

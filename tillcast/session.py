@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings we want on every session but never force over cluster-provided values.
 _DEFAULTS = {
@@ -48,7 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="tillcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
@@ -56,17 +58,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/tables/{name}"
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
 
+    Used where one expensive plan feeds several passes: lineage is cut, the
+    table survives lost executors, later reads prune columns, and it goes
+    when the session's JVM ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return spark.read.schema(df.schema).parquet(path)
 
-def materialize(df):
-    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
 
-    Used where one expensive plan feeds several passes (a reliable
-    checkpoint survives executor loss; ``localCheckpoint`` would not).
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame) -> DataFrame:
+    """:func:`written` under a general name."""
+    return written(df, "intermediate")

@@ -38,18 +38,29 @@ def read_history_csv(spark: SparkSession, path: str) -> DataFrame:
                      F.col("total_revenue").cast("double").alias("total_revenue"))
 
 
+def _write_partitions(df: DataFrame, path: str, keys: list[str], mode: str) -> None:
+    """Write by partition keys; overwriting replaces only the partitions that ``df`` holds.
+
+    The rebalance hint gathers each partition's rows into few files, and
+    splits a partition that is large.
+    """
+    (df.hint("rebalance", *keys).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*keys).parquet(path))
+
+
 def write_partitioned_by_day(df: DataFrame, path: str, date_col: str = "date", mode: str = "overwrite") -> None:
-    """Hive-style year=/month=/day= layout."""
-    (df.withColumn("year", F.year(date_col)).withColumn("month", F.month(date_col)).withColumn("day", F.dayofmonth(date_col))
-       .write.mode(mode).partitionBy("year", "month", "day").parquet(path))
+    """Hive-style year=/month=/day= layout; days that ``df`` does not hold stay as they are."""
+    days = (df.withColumn("year", F.year(date_col)).withColumn("month", F.month(date_col))
+              .withColumn("day", F.dayofmonth(date_col)))
+    _write_partitions(days, path, ["year", "month", "day"], mode)
 
 
 def write_weekly_snapshot(df: DataFrame, path: str, date_col: str = "date", mode: str = "overwrite") -> None:
     """Sunday rows only, partitioned by ISO year and ISO week (no January collisions)."""
     sundays = df.where(F.weekday(date_col) == 6)
-    (sundays.withColumn("year", F.expr(f"extract(YEAROFWEEK FROM {date_col})"))
-            .withColumn("week", F.weekofyear(date_col))
-            .write.mode(mode).partitionBy("year", "week").parquet(path))
+    weeks = sundays.withColumn("year", F.expr(f"extract(YEAROFWEEK FROM {date_col})")).withColumn(
+        "week", F.weekofyear(date_col))
+    _write_partitions(weeks, path, ["year", "week"], mode)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:

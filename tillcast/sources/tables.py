@@ -19,8 +19,6 @@ TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
 )
 
-# Number of stores the event stream's users are spread over (one per nation).
-EVENT_STORES = 25
 # Shift that moves the event stream (2024) onto the sales calendar (2000).
 EVENT_DAY_SHIFT = 8766
 
@@ -30,19 +28,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def store_key(col: str | Column) -> Column:
-    """``store_007`` style identifiers from an integer key."""
+    """``store_007`` style identifiers from an integer key (longer keys stay whole, null stays null)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.concat(F.lit("store_"), F.lpad(c.cast("string"), 3, "0"))
+    return F.when(c.isNotNull(), F.format_string("store_%03d", c.cast("bigint")))
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """date × store × product sales lines (store = supplier nation, category = brand)."""
+    """date × store × product sales lines (store = supplier nation, category = brand).
+
+    Lines of an unknown supplier or part stay, with a null store, or null category and price.
+    """
     li = read(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"
     )
     sup = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     part = read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
-    j = li.join(sup, li.l_suppkey == sup.s_suppkey).join(part, li.l_partkey == part.p_partkey)
+    j = li.join(sup, li.l_suppkey == sup.s_suppkey, "left").join(part, li.l_partkey == part.p_partkey, "left")
     revenue = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     cost = F.lit(0.7) * F.col("l_extendedprice")
     return j.select(
@@ -71,10 +72,10 @@ def promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One visit per order at the customer's nation store."""
+    """One visit per order at the customer's nation store (null for an unknown customer)."""
     o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = o.join(c, o.o_custkey == c.c_custkey)
+    j = o.join(c, o.o_custkey == c.c_custkey, "left")
     d = F.to_date("o_orderdate")
     return j.select(
         d.alias("date"),
@@ -88,9 +89,10 @@ def customer_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def store_event_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store events from the ``error`` stream: closures (1 day) and renovations (7–21 days)."""
     ev = read(spark, sf_dir, "events").where(F.col("event_type") == "error")
+    stores = read(spark, sf_dir, "nation").agg(F.count(F.lit(1))).scalar()  # one store per nation
     closure = F.col("value") < 100
     return ev.select(
-        store_key(F.col("user_id") % EVENT_STORES).alias("store_id"),
+        store_key(F.try_mod(F.col("user_id"), stores)).alias("store_id"),
         F.date_sub(F.to_date("ts"), EVENT_DAY_SHIFT).alias("start_date"),
         F.when(closure, "closure").otherwise("renovation").alias("event_type"),
         F.when(closure, -1.0).otherwise(-0.3).alias("impact"),
@@ -112,10 +114,10 @@ def orders_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_store_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Revenue per (day, customer-nation store) from orders: many parallel series."""
+    """Revenue per (day, customer-nation store) from orders: many parallel series (unknown customers: a null store)."""
     o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = o.join(c, o.o_custkey == c.c_custkey)
+    j = o.join(c, o.o_custkey == c.c_custkey, "left")
     return j.groupBy(
         F.to_date("o_orderdate").alias("date"), store_key("c_nationkey").alias("store_id")
     ).agg((F.round(F.sum("o_totalprice") * 100.0, 0) / 100.0).alias("total_revenue"))
