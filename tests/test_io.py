@@ -1,10 +1,8 @@
 import datetime as dt
-import os
 import tempfile
 
 from pyspark.sql import functions as F
 
-from tillcast.plans import training
 from tillcast.sources import files, tables as T
 
 SMALL = "/root/testdata/sf0.001"
@@ -35,26 +33,29 @@ def test_history_csv_and_export(spark):
     assert sorted(float(r.total_revenue) for r in back.collect()) == [10.12, 11.5]  # half-to-even
 
 
-def test_model_persistence_and_search(spark):
-    from tillcast.operators import split as S
-    from tillcast.plans.registry import store_daily_of
-
-    sd = store_daily_of(spark, SMALL).fillna(0, ["is_holiday"])  # model inputs must be complete
-    lab = S.chronological_split(sd, target="total_revenue")
-    m = training.fit(lab, {"maxIter": 3, "maxDepth": 2, "seed": 42})
-    path = os.path.join(tempfile.mkdtemp(prefix="tillcast-model-"), "m")
-    training.save(m, path)
-    again = training.load(path)
-    a = training.score(m, lab, "a").agg(F.sum("prediction")).first()[0]
-    b = training.score(again, lab, "a").agg(F.sum("prediction")).first()[0]
-    assert abs(a - b) < 1e-9
-    fc = training.forecast_with_model(again, sd, horizon=5)
-    assert fc.count() == 5 * sd.select("store_id").distinct().count()
-    assert fc.where("lower_bound > predicted_sales OR upper_bound < predicted_sales").count() == 0
-    space = {"maxIter": (2, 3), "maxDepth": (2, 3), "stepSize": (0.05, 0.3), "subsamplingRate": (0.8, 1.0),
-             "featureSubset": (0.6, 1.0), "minInfoGain": (0.0, 0.1)}
-    best, trials = training.random_search(lab, space, trials=2)
-    assert trials.count() == 2 and best["maxIter"] in (2, 3)
+def test_daily_writes_keep_earlier_days(spark):
+    root = tempfile.mkdtemp(prefix="tillcast-days-")
+    days = [spark.createDataFrame([(dt.date(2021, 1, d), float(v))], "date date, x double") for d, v in ((1, 1), (2, 2), (2, 3))]
+    for day in days:
+        files.write_partitioned_by_day(day, root)
+    assert sorted((r.date.day, r.x) for r in spark.read.parquet(root).collect()) == [(1, 1.0), (2, 3.0)]
+
+
+def test_store_keys_stay_whole(spark):
+    df = spark.createDataFrame([(7,), (1234,), (1235,), (None,)], "k int")
+    assert [r.s for r in df.select(T.store_key("k").alias("s")).collect()] == ["store_007", "store_1234", "store_1235", None]
+
+
+def test_unmatched_dimensions_stay(spark):
+    """A line of an unknown supplier and part, and an order of an unknown customer, are not lost."""
+    root = tempfile.mkdtemp(prefix="tillcast-dims-")
+    for name in ("lineitem", "supplier", "part", "orders", "customer"):
+        src = T.read(spark, SMALL, name)
+        key = {"supplier": "s_suppkey", "part": "p_partkey", "customer": "c_custkey"}.get(name)
+        (src.where(F.col(key) > 5) if key else src).write.parquet(f"{root}/{name}.parquet")
+    assert T.sales(spark, root).count() == T.read(spark, SMALL, "lineitem").count()
+    assert T.customer_traffic(spark, root).count() == T.read(spark, SMALL, "orders").count()
+    assert T.sales(spark, root).where("store_id is null").count() > 0
 
 
 def test_folds_and_intervals(spark):

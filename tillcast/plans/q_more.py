@@ -296,7 +296,8 @@ FROM daily, g GROUP BY category""",
 )
 
 
-# --- MLlib models (M01–M05, M07, M08, M10, M11, O03, R09): rows-only checks ---------------------
+# --- MLlib models (M01–M05, M07, M08, M10, M11, O03, R09, T01) ---------------------------------
+# Trained trees are beyond SQL; what follows from their predictions is checked in tests/test_training.py.
 def _trained(spark, sf_dir):
     from tillcast.plans import q_evaluation, training
     from tillcast.session import materialize
@@ -307,11 +308,36 @@ def _trained(spark, sf_dir):
 
 @query("gbt_test_metrics", "split:string, model:string, metric:string, value:double")
 def q_gbt_test_metrics(spark, sf_dir):
-    return _trained(spark, sf_dir)[2]
+    return _trained(spark, sf_dir).tables["metrics"]
+
+
+@query("gbt_test_predictions", "date:date, store_id:string, split:string, model:string, actual:double, prediction:double")
+def q_gbt_test_predictions(spark, sf_dir):
+    return _trained(spark, sf_dir).tables["predictions"]
 
 
 @query("gbt_top_features", "model:string, feature:string, importance:double, rank:int")
 def q_gbt_top_features(spark, sf_dir):
     from tillcast.operators import diagnostics
 
-    return diagnostics.top_features(_trained(spark, sf_dir)[4])
+    return diagnostics.top_features(_trained(spark, sf_dir).tables["importance"])
+
+
+def _model_forecast(spark, sf_dir):
+    from tillcast.plans import training
+
+    return training.model_forecast(_trained(spark, sf_dir), store_daily_of(spark, sf_dir))
+
+
+@query("model_forecast", "date:date, store_id:string, model:string, predicted_sales:double, lower_bound:double, upper_bound:double")
+def q_model_forecast(spark, sf_dir):
+    return _model_forecast(spark, sf_dir)
+
+
+@query(
+    "model_forecast_summary",
+    "store_id:string, model:string, total_predicted_sales:double@2, average_daily_sales:double@2, max_daily_sales:double, "
+    "min_daily_sales:double",
+)
+def q_model_forecast_summary(spark, sf_dir):
+    return forecast.forecast_summary(_model_forecast(spark, sf_dir), group_cols=("store_id", "model"))

@@ -3,7 +3,7 @@
 Two boosted-tree regressors stand in for the two gradient-boosting
 libraries: model A is depth-wise (depth 6, rate 0.1), model B is a shallower,
 slower-learning variant (depth 5 ≈ 31 leaves, rate 0.05).  Early stopping
-uses MLlib's ``validationIndicatorCol`` on the chronological validation rows.
+looks for the best round on the chronological validation rows, with patience.
 MLlib gives the same capability, not the same numbers as other libraries.
 
 Data-parallel: every fit is an MLlib job over the partitioned feature table;
@@ -13,8 +13,12 @@ vector (one number per feature).
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from datetime import datetime
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -22,9 +26,9 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.config import MODEL_A, MODEL_B, SEARCH_SPACE_A, SEARCH_TRIALS
+from tillcast.config import EARLY_STOP_ROUNDS, MODEL_A, MODEL_B, SEARCH_SPACE_A, SEARCH_SPACE_B, SEARCH_TRIALS
 from tillcast.operators import evaluation
-from tillcast.session import ensure_checkpoint_dir
+from tillcast.session import ensure_checkpoint_dir, written
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint")
 
@@ -43,18 +47,43 @@ def gbt_pipeline(feature_cols: Sequence[str], target: str = "total_revenue", par
         StringIndexer(inputCol="store_id", outputCol="store_id_index", stringOrderType="alphabetAsc",
                       handleInvalid="error"),
         VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="keep"),
-        GBTRegressor(featuresCol="features", labelCol=target, validationIndicatorCol="_is_validation",
-                     checkpointInterval=10, **p),
+        GBTRegressor(featuresCol="features", labelCol=target, checkpointInterval=10, **p),
     ]
     return Pipeline(stages=stages)
 
 
-def fit(labeled: DataFrame, params: Mapping | None = None, target: str = "total_revenue") -> PipelineModel:
-    """Fit on train rows, early-stop on validation rows."""
+def best_round(losses: Sequence[float], patience: int = EARLY_STOP_ROUNDS) -> int:
+    """Round (from 1) with the lowest loss before ``patience`` rounds pass without a gain."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit(labeled: DataFrame, params: Mapping | None = None, target: str = "total_revenue",
+        patience: int = EARLY_STOP_ROUNDS) -> PipelineModel:
+    """Boost on the train rows, and keep the rounds up to the best one on the validation rows.
+
+    All rounds are fitted once; the loss after each round is measured on the
+    validation rows (``evaluateEachIteration``, one pass); boosting is
+    repeated up to the best round only if that is not the last one (the same
+    seed gives the same trees).  Without validation rows all rounds stay.
+    """
     ensure_checkpoint_dir(labeled.sparkSession)
-    data = labeled.where(F.col("split").isin("train", "validation")).withColumn(
-        "_is_validation", F.col("split") == "validation")
-    return gbt_pipeline(feature_columns(labeled, target), target, params).fit(data)
+    p = dict(MODEL_A if params is None else params)
+    cols = feature_columns(labeled, target)
+    train, held = (labeled.where(F.col("split") == s) for s in ("train", "validation"))
+    model = gbt_pipeline(cols, target, p).fit(train)
+    if held.isEmpty():
+        return model
+    prepared = PipelineModel(model.stages[:-1]).transform(held)
+    rounds = best_round(model.stages[-1].evaluateEachIteration(prepared, "squared"), patience)
+    if rounds == model.stages[-1].getNumTrees:
+        return model
+    return gbt_pipeline(cols, target, p | {"maxIter": rounds}).fit(train)
 
 
 def score(model: PipelineModel, df: DataFrame, name: str, target: str = "total_revenue") -> DataFrame:
@@ -71,31 +100,42 @@ def importance(spark: SparkSession, model: PipelineModel, feature_cols: Sequence
                                  "model string, feature string, importance double")
 
 
+def _drawn(space: Mapping, rng: random.Random, seed: int) -> dict:
+    """One random parameter set from a search space of either model."""
+    p: dict = {"seed": seed}
+    for name, (low, high) in space.items():
+        if name == "stepSize":
+            p[name] = 10 ** rng.uniform(math.log10(low), math.log10(high))
+        elif name == "numLeaves":  # MLlib bounds depth, not leaves
+            p["maxDepth"] = max(1, math.ceil(math.log2(rng.randint(low, high))))
+        elif name == "featureSubset":
+            p["featureSubsetStrategy"] = str(round(rng.uniform(low, high), 2))
+        elif isinstance(low, int):
+            p[name] = rng.randint(low, high)
+        else:
+            p[name] = rng.uniform(low, high)
+    return p
+
+
 def random_search(labeled: DataFrame, space: Mapping = SEARCH_SPACE_A, trials: int = SEARCH_TRIALS,
                   seed: int = 42, target: str = "total_revenue") -> tuple[dict, DataFrame]:
-    """Seeded random search minimising validation RMSE (trials × one MLlib fit each).
+    """Seeded random search of either model's space by validation RMSE (trials × one fit with early stopping).
 
-    Returns the best parameters and a (trial, params, rmse) table.
+    Returns the best parameters and a (trial, params, rounds, rmse) table.
     """
     rng = random.Random(seed)
     spark = labeled.sparkSession
     rows, best = [], (float("inf"), None)
     val = labeled.where(F.col("split") == "validation")
     for t in range(trials):
-        p = {
-            "maxIter": rng.randint(*space["maxIter"]), "maxDepth": rng.randint(*space["maxDepth"]),
-            "stepSize": 10 ** rng.uniform(*[__import__("math").log10(x) for x in space["stepSize"]]),
-            "subsamplingRate": rng.uniform(*space["subsamplingRate"]),
-            "featureSubsetStrategy": str(round(rng.uniform(*space["featureSubset"]), 2)),
-            "minInfoGain": rng.uniform(*space["minInfoGain"]), "seed": seed,
-        }
+        p = _drawn(space, rng, seed)
         m = fit(labeled, p, target)
         rmse = evaluation.regression_metrics(score(m, val, "trial", target)).where(
             F.col("metric") == "rmse").select("value").first()[0]
-        rows.append((t, str(p), float(rmse)))
+        rows.append((t, str(p), m.stages[-1].getNumTrees, float(rmse)))
         if rmse < best[0]:
             best = (rmse, p)
-    return best[1], spark.createDataFrame(rows, "trial int, params string, rmse double")
+    return best[1], spark.createDataFrame(rows, "trial int, params string, rounds int, rmse double")
 
 
 def select_features(labeled: DataFrame, threshold: float = 0.001, target: str = "total_revenue") -> DataFrame:
@@ -111,24 +151,46 @@ def select_features(labeled: DataFrame, threshold: float = 0.001, target: str =
     return imp.where(F.col("importance") >= threshold)
 
 
-def train_all(spark: SparkSession, labeled: DataFrame, target: str = "total_revenue"):
-    """Both models, their test predictions, weighted ensemble, metrics and importances (M11 run table)."""
+@dataclass
+class Bundle:
+    """What a training run leaves behind: fitted pipelines, ensemble weights, feature list, and its tables."""
+
+    models: dict[str, PipelineModel]
+    weights: dict[str, float]
+    features: list[str]
+    tables: dict[str, DataFrame]
+
+
+def train_all(spark: SparkSession, labeled: DataFrame, target: str = "total_revenue", search_trials: int = 0) -> Bundle:
+    """Both models, searched first where ``search_trials`` is positive, and their weighted ensemble.
+
+    Tables: ``predictions`` (test rows of every model), ``metrics``,
+    ``weights``, ``importance``, ``trials``.
+    """
     cols = feature_columns(labeled, target)
-    models = {"model_a": fit(labeled, MODEL_A, target), "model_b": fit(labeled, MODEL_B, target)}
+    chosen, trials = {"model_a": MODEL_A, "model_b": MODEL_B}, []
+    if search_trials:
+        for name, space in (("model_a", SEARCH_SPACE_A), ("model_b", SEARCH_SPACE_B)):
+            chosen[name], tried = random_search(labeled, space, search_trials, target=target)
+            trials.append(tried.withColumn("model", F.lit(name)))
+    models = {name: fit(labeled, p, target) for name, p in chosen.items()}
     scored = labeled.where(F.col("split").isin("validation", "test"))
-    preds = None
-    for name, m in models.items():
-        p = score(m, scored, name, target)
-        preds = p if preds is None else preds.unionByName(p)
+    preds = written(reduce(DataFrame.unionByName, [score(m, scored, name, target) for name, m in models.items()]), "scored")
     metrics = evaluation.regression_metrics(preds, ["split", "model"])
     weights = evaluation.ensemble_weights(metrics.where(F.col("split") == "validation"))
+    weights = written(weights, "weights")
     ens = evaluation.ensemble_predictions(preds.where(F.col("split") == "test"), weights)
     metrics = metrics.unionByName(evaluation.regression_metrics(ens, ["split", "model"]))
-    imps = None
-    for name, m in models.items():
-        i = importance(spark, m, cols, name)
-        imps = i if imps is None else imps.unionByName(i)
-    return models, preds.unionByName(ens), metrics, weights, imps
+    tables = {
+        "predictions": preds.where(F.col("split") == "test").unionByName(ens),
+        "metrics": metrics,
+        "weights": weights,
+        "importance": reduce(DataFrame.unionByName, [importance(spark, m, cols, name) for name, m in models.items()]),
+    }
+    if trials:
+        tables["trials"] = reduce(DataFrame.unionByName, trials)
+    # one row per model
+    return Bundle(models, {r.model: r.weight for r in weights.collect()}, cols, tables)
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -141,11 +203,81 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def forecast_with_model(model: PipelineModel, history: DataFrame, horizon: int = 30,
-                        target: str = "total_revenue") -> DataFrame:
-    """Score the forecast frame of every store with a fitted pipeline, then add the ±band."""
+def save_bundle(spark: SparkSession, bundle: Bundle, path: str) -> None:
+    """Models, ensemble weights and feature list under one folder."""
+    for name, model in bundle.models.items():
+        save(model, f"{path}/models/{name}")
+    rows = [(name, float(bundle.weights[name])) for name in bundle.models]
+    spark.createDataFrame(rows, "model string, weight double").write.mode("overwrite").parquet(f"{path}/weights")
+    features = list(enumerate(bundle.features))
+    spark.createDataFrame(features, "position int, feature string").write.mode("overwrite").parquet(f"{path}/features")
+
+
+def load_bundle(spark: SparkSession, path: str) -> Bundle:
+    """The inverse of :func:`save_bundle` (without tables)."""
+    weights = {r.model: r.weight for r in spark.read.parquet(f"{path}/weights").collect()}
+    features = [r.feature for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]
+    return Bundle({name: load(f"{path}/models/{name}") for name in weights}, weights, features, {})
+
+
+# ---------------------------------------------------------------------------
+# run table
+# ---------------------------------------------------------------------------
+RUN_SCHEMA = ("run_id string, started timestamp, status string, train_rows bigint, validation_rows bigint, test_rows bigint, "
+              "features int, model string, metric string, value double")
+
+
+def run_rows(spark: SparkSession, labeled: DataFrame, bundle: Bundle, run_id: str, started: datetime,
+             status: str = "FINISHED") -> DataFrame:
+    """One row per test metric of a run, with the run's id, start, status, split sizes and number of features."""
+    sizes = labeled.groupBy().agg(*[F.count_if(F.col("split") == s).alias(f"{s}_rows") for s in ("train", "validation", "test")])
+    run = sizes.select(
+        F.lit(run_id).alias("run_id"), F.lit(started).alias("started"), F.lit(status).alias("status"), "*",
+        F.lit(len(bundle.features)).alias("features"))
+    test = bundle.tables["metrics"].where(F.col("split") == "test").select("model", "metric", "value")
+    return run.crossJoin(test)  # one row per run
+
+
+def append_run(rows: DataFrame, path: str) -> None:
+    rows.write.mode("append").parquet(path)
+
+
+def best_run(runs: DataFrame, metric: str = "rmse", model: str = "ensemble") -> DataFrame:
+    """Finished run with the lowest value of a model's metric (highest for r2; ties: the later run)."""
+    m = runs.where((F.col("status") == "FINISHED") & (F.col("metric") == metric) & (F.col("model") == model))
+    order = F.desc("value") if metric == "r2" else F.asc("value")
+    return m.orderBy(order, F.desc("started"), "run_id").limit(1).select("run_id", "started", "value")
+
+
+def latest_run(runs: DataFrame) -> DataFrame:
+    """The finished run that started last."""
+    done = runs.where(F.col("status") == "FINISHED").select("run_id", "started").distinct()
+    return done.orderBy(F.desc("started"), "run_id").limit(1)
+
+
+# ---------------------------------------------------------------------------
+# forecast job
+# ---------------------------------------------------------------------------
+def model_forecast(bundle: Bundle, history: DataFrame, horizon: int = 30, target: str = "total_revenue") -> DataFrame:
+    """``date, store_id, model, predicted_sales, lower_bound, upper_bound`` for every store and coming day.
+
+    Stores that training never saw are scored as the first known one and
+    keep their name.  Inputs are aligned to the trained features (absent
+    ones 0).  Every model of the bundle and the weighted ensemble get rows.
+    """
     from tillcast.operators import forecast
 
-    frame = forecast.forecast_frame(history, horizon, target).withColumn(target, F.lit(None).cast("double"))
-    scored = model.transform(frame).select("date", "store_id", F.col("prediction").alias("predicted_sales"))
-    return forecast.with_band(scored)
+    spark = history.sparkSession
+    first = next(iter(bundle.models.values()))
+    known = spark.createDataFrame([(x,) for x in first.stages[0].labels], "store_id string")
+    frame = forecast.forecast_frame(history, horizon, target)
+    named = forecast.map_unknown(frame.withColumn("_store", F.col("store_id")), "store_id", known)
+    inputs = [c for c in bundle.features if c != "store_id_index"]
+    aligned = forecast.align_features(named, ["date", "_store", "store_id", *inputs])
+    parts = [m.transform(aligned).select("date", F.col("_store").alias("store_id"), F.lit(name).alias("model"),
+                                         F.lit(None).cast("double").alias("actual"), "prediction")
+             for name, m in bundle.models.items()]
+    preds = reduce(DataFrame.unionByName, parts)
+    weights = spark.createDataFrame(list(bundle.weights.items()), "model string, weight double")
+    preds = preds.unionByName(evaluation.ensemble_predictions(preds, weights))
+    return forecast.with_band(preds.select("date", "store_id", "model", F.col("prediction").alias("predicted_sales")))
