@@ -57,12 +57,68 @@ def test_store_number_and_unknown_store(spark):
     assert got.first().store_id == "store_001"
 
 
-def test_promotion_calendar_black_friday(spark):
-    d = spark.createDataFrame([(D(2021, 6, 1),), (D(2021, 12, 31),)], "date date")
-    cal = rules.promotion_calendar(d)
-    bf = sorted(r.date for r in cal.where(F.col("promotion_type") == "Black Friday").collect())
-    assert bf[0] == D(2021, 11, 26) and len(bf) == 5
-    assert cal.where(F.col("date") > D(2021, 12, 31)).count() == 0
+def test_demand_factors_and_promotion_days(spark):
+    days = [D(2021, 6, 7) + dt.timedelta(days=i) for i in range(14)]  # two weeks from a Monday
+    df = spark.createDataFrame([(d, 20.0 if d.weekday() == 5 else 10.0) for d in days] + [(None, 5.0)], "date date, revenue double")
+    got = {r.date: r for r in rules.demand_factors(df).collect()}
+    mean = (12 * 10 + 2 * 20) / 14
+    assert len(got) == 14 and abs(got[days[5]].dow_factor - 20 / mean) < 1e-12 and got[days[0]].month_factor == 1.0
+    promos = spark.createDataFrame([(dt.datetime(2021, 1, 1, 16), "m", 0.1), (dt.datetime(2021, 1, 1), "m", 0.2)],
+                                   "date timestamp, promotion_type string, discount_percent double")
+    assert [tuple(r) for r in rules.promotion_days(promos).collect()] == [(D(2021, 1, 1), "m", 0.2)]
+
+
+def test_edge_cases_do_not_raise(spark):
+    from tillcast.operators import evaluation, features
+    from tillcast.operators.ordered import ks_statistic, label_index
+
+    constant = spark.createDataFrame([(5.0, "a")] * 4, "x double, s string")
+    assert quality.outlier_counts(constant, "zscore", ["x"]).first().outliers == 0
+    empty = constant.limit(0)
+    profile = {(r.column, r.metric): r.value for r in quality.column_profile(empty).collect()}
+    assert profile["x", "null_count"] == 0 and profile["x", "null_percentage"] is None and profile["s", "unique_values"] == 0
+    assert quality.outlier_counts(empty, "iqr", ["x"]).first().outliers == 0
+    assert ks_statistic(constant, empty, "x").first().ks is None
+    preds = spark.createDataFrame([("m", 5.0, 5.0), ("m", 5.0, 5.0), ("n", 5.0, 4.0), ("n", 5.0, 5.0)],
+                                  "model string, actual double, prediction double")
+    r2 = {r.model: r.value for r in evaluation.regression_metrics(preds).where("metric = 'r2'").collect()}
+    assert r2 == {"m": 1.0, "n": 0.0}
+    long = spark.createDataFrame([("store_99999999999",)], "store_id string")
+    assert long.select(forecast.store_number("store_id").alias("n")).first().n is None
+    pair = spark.createDataFrame([("a", None)], "p string, q string").select(*features.interaction_columns(["p", "q"]))
+    assert pair.first()[0] == "a_nan"
+    labels = spark.createDataFrame([(f"s{i % 50:03d}",) for i in range(300)] + [(None,)], "s string")
+    assert sorted((r.s, r.s_index) for r in label_index(labels, "s").collect()) == [(f"s{i:03d}", i) for i in range(50)]
+
+
+def test_ewm_with_gaps(spark):
+    import pandas as pd
+
+    rows = [(D(2021, 1, i + 1), s, v) for s, vs in (("a", [1.0, None, 9.0]), ("b", [None, 2.0, 4.0])) for i, v in enumerate(vs)]
+    from tillcast.operators import features
+
+    got = features.with_ewm(spark.createDataFrame(rows, "date date, store_id string, x double"), "x", (7,)).collect()
+    want = {(d, s): v for s in "ab" for (d, _, _), v in zip([r for r in rows if r[1] == s],
+            pd.Series([r[2] for r in rows if r[1] == s]).ewm(span=7, adjust=False).mean())}
+    for r in got:
+        w = want[r.date, r.store_id]
+        assert (r.x_ewm_7 is None and pd.isna(w)) or abs(r.x_ewm_7 - w) < 1e-12
+
+
+def test_long_horizon_and_grouped_ranks(spark):
+    from tillcast.operators.ordered import grouped_quantiles, ranks
+
+    hist = spark.createDataFrame([(D(2021, 1, 1), "s", 1.0)], "date date, store_id string, total_revenue double")
+    assert forecast.forecast_frame(hist, horizon=120).count() == 120
+    df = spark.createDataFrame([(None if i % 7 == 0 else f"g{i % 3}", float(i * 37 % 101), i) for i in range(900)], "g string, v double, k int")
+    got = {r.k: (r.rank, r.n) for r in ranks(df, ["g"], "v", ["k"]).collect()}
+    rows = df.collect()
+    for g in (None, "g0", "g1", "g2"):
+        mine = sorted((r.v, r.k) for r in rows if r.g == g)
+        assert [got[k] for _, k in mine] == [(i + 1, len(mine)) for i in range(len(mine))]
+    q = {r.g: (r.q_0, r.q_1) for r in grouped_quantiles(df, ["g"], "v", [0.1, 0.5]).collect()}
+    ref = {r.g: tuple(r.q) for r in df.groupBy("g").agg(F.percentile("v", [0.1, 0.5]).alias("q")).collect()}
+    assert q.keys() == ref.keys() and all(abs(a - b) < 1e-9 for g in ref for a, b in zip(q[g], ref[g]))
 
 
 def test_distributed_quantiles_equal_builtin(spark):

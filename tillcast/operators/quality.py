@@ -17,6 +17,7 @@ from tillcast.config import (
     DATA_TYPES, DRIFT_STD_MULTIPLIER, IQR_MULTIPLIER, ISSUE_PREVIEW, REQUIRED_COLUMNS, VALUE_RANGES, ZSCORE_LIMIT,
 )
 from tillcast.operators.ordered import grouped_quantiles
+from tillcast.session import written
 
 NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint")
 
@@ -48,6 +49,40 @@ def partition_checks(df: DataFrame, part_col: str, negative_cols: Sequence[str])
     return df.groupBy(part_col).agg(*aggs)
 
 
+def file_checks(spark: SparkSession, path: str, required: Sequence[str], negative_cols: Sequence[str]) -> DataFrame:
+    """V01–V03 per file under ``path``: ``file, rows, missing, negative, issues``.
+
+    Files come from a listing, so empty ones are found.  A required column
+    is missing in a file if it holds rows but no value of it (a column that
+    the file lacks reads as NULL).  One scan of the listed columns.
+    """
+    listed = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+        .load(path).select(F.regexp_replace("path", "^file:/+", "/").alias("file"))
+    )
+    table = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(path)
+    present = [c for c in required if c in table.columns]
+    negative = [c for c in negative_cols if c in table.columns]
+    name = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/")
+    per = table.groupBy(name.alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.array_compact(F.array(*[F.when(F.count(F.lit(1)) == 0, F.lit(None).cast("string")),
+                                  *[F.when(F.count(c) == 0, F.lit(c)) for c in present],
+                                  *[F.lit(c) for c in required if c not in table.columns]])).alias("missing"),
+        F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(F.bool_or(F.col(c) < 0), F.lit(c)) for c in negative])).alias("negative"),
+    )
+    none = F.array().cast("array<string>")
+    out = listed.join(per, "file", "left").select(
+        "file", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("missing", none).alias("missing"),
+        F.coalesce("negative", none).alias("negative"))
+    issues = F.concat(
+        F.when(F.col("rows") == 0, F.array(F.lit("empty"))).otherwise(none),
+        F.transform("missing", lambda c: F.concat(F.lit("missing_"), c)),
+        F.transform("negative", lambda c: F.concat(F.lit("negative_"), c)),
+    )
+    return out.withColumn("issues", issues)
+
+
 def empty_partitions(expected: DataFrame, df: DataFrame, part_col: str) -> DataFrame:
     """Expected partition keys without any row (anti join)."""
     return expected.select(part_col).distinct().join(df.select(part_col).distinct(), part_col, "left_anti")
@@ -169,9 +204,12 @@ def range_breaches(df: DataFrame, ranges: Mapping[str, tuple[float, float]] = VA
     return row.selectExpr(f"stack({len(items)}, {', '.join(items)}) AS (column, check, observed, bound, breached)")
 
 
-def contract_rules(ranges: Mapping[str, tuple[float, float]] = VALUE_RANGES) -> dict[str, Column]:
-    """Row-level rules (nullable, ≥ min, ≤ max) as boolean columns."""
+def contract_rules(ranges: Mapping[str, tuple[float, float]] = VALUE_RANGES,
+                   types: Mapping[str, str] | None = None) -> dict[str, Column]:
+    """Row-level rules (nullable, of the given type, ≥ min, ≤ max) as boolean columns."""
     rules = {}
+    for c, t in (types or {}).items():
+        rules[f"{c}_type"] = F.col(c).isNull() | F.col(c).cast("string").try_cast(t).isNotNull()
     for c, (lo, hi) in ranges.items():
         rules[f"{c}_ge_min"] = F.col(c).isNull() | (F.col(c) >= lo)
         rules[f"{c}_le_max"] = F.col(c).isNull() | (F.col(c) <= hi)
@@ -253,9 +291,14 @@ def distribution_shift(train_stats: DataFrame, current: DataFrame, k: float = DR
 # ---------------------------------------------------------------------------
 # Combined report
 # ---------------------------------------------------------------------------
-def validation_report(df: DataFrame, date_col: str = "date") -> DataFrame:
-    """One long table (section, column, metric, value) from V05–V16."""
+def validation_report(df: DataFrame, date_col: str = "date", group_col: str = "store_id") -> DataFrame:
+    """One long table (section, column, metric, value) from V05–V16; the input is written once for all parts.
+
+    Dates are given as days since 1970-01-01; group_gaps has a row per
+    series with gaps.
+    """
     spark = df.sparkSession
+    df = written(df, "validated")
     parts = [
         df.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
             F.lit("dataset").alias("section"), F.lit("*").alias("column"), F.lit("rows").alias("metric"), "value"
@@ -270,13 +313,28 @@ def validation_report(df: DataFrame, date_col: str = "date") -> DataFrame:
         column_profile(df).select(F.lit("quality").alias("section"), "column", "metric", "value"),
         outlier_counts(df).select(F.lit("quality").alias("section"), "column", F.lit("outliers"),
                                   F.col("outliers").cast("double")),
+        outlier_counts(df, "zscore").select(F.lit("quality").alias("section"), "column", F.lit("zscore_outliers"),
+                                            F.col("outliers").cast("double")),
     ]
+    if any(c in df.columns for c in VALUE_RANGES):
+        parts.append(range_breaches(df).select(F.lit("ranges"), "column", "check", F.col("breached").cast("double")))
+    rules = contract_rules({c: r for c, r in VALUE_RANGES.items() if c in df.columns},
+                           {c: t for c, t in DATA_TYPES.items() if c in df.columns})
+    if rules:
+        parts.append(contract_summary(df, rules).select(F.lit("contract"), "rule", F.lit("failed"), F.col("failed").cast("double")))
     if date_col in df.columns:
         dr = date_range(df, date_col)
-        parts.append(dr.select(F.lit("time_series"), F.lit(date_col), F.lit("days"), F.col("days").cast("double")))
+        days = f"stack(3, 'start', unix_date(start), 'end', unix_date(end), 'days', days) AS (metric, value)"
+        parts.append(dr.selectExpr(days).select(F.lit("time_series"), F.lit(date_col), "metric", F.col("value").cast("double")))
         g = gaps(df, date_col)
         parts.append(g.agg(F.count(F.lit(1)).cast("double")).select(F.lit("time_series"), F.lit(date_col),
                                                                      F.lit("gap_count"), "*"))
+        if group_col in df.columns:
+            per = gap_report(df, [group_col], date_col)
+            parts.append(per.select(F.lit("group_gaps"), F.col(group_col).cast("string"), F.lit("gap_count"),
+                                    F.col("gap_count").cast("double")))
+            parts.append(per.select(F.lit("group_gaps"), F.col(group_col).cast("string"), F.lit("max_gap_days"),
+                                    F.col("max_gap_days").cast("double")))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p.toDF(*out.columns))

@@ -1,61 +1,21 @@
-"""Calendar rule tables and demand/pricing factors.
-
-Rule tables are small fixed lists expanded per year with ``explode``; the
-factors are column expressions, so enrichment of a large sales table is a
-projection plus (for store events) one left join on (store, date).
-"""
+"""Promotions, store events and demand factors as the tables show them."""
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.functions.holidays import is_holiday, nth_weekday
-
-# ---------------------------------------------------------------------------
-# fixed values: yearly sales events (name, month, day, duration days, discount)
-#   Black Friday's date is the day after the 4th Thursday of November.
-# ---------------------------------------------------------------------------
-PROMOTION_RULES = (
-    ("Black Friday", 11, 4, 5, 0.25),
-    ("Cyber Monday", 11, 4, 2, 0.20),
-    ("Christmas Sale", 12, 15, 10, 0.15),
-    ("New Year Sale", 1, 1, 7, 0.20),
-    ("Presidents Day", 2, 15, 3, 0.15),
-    ("Memorial Day", 5, 25, 3, 0.15),
-    ("July 4th Sale", 7, 1, 5, 0.15),
-    ("Labor Day", 9, 1, 3, 0.15),
-    ("Back to School", 8, 1, 14, 0.10),
-)
-# fixed values: day-of-week demand factors, Monday … Sunday
-DOW_FACTORS = (0.9, 0.85, 0.85, 0.9, 1.1, 1.3, 1.2)
-# fixed values: store size factors, holiday traffic factor, promotion uplift multiplier
-SIZE_FACTORS = {"large": 1.0, "medium": 0.7, "small": 0.5}
-HOLIDAY_TRAFFIC = 1.3
-PROMO_UPLIFT = 3.0
-SEASONALITY_TYPES = ("holiday", "summer", "winter", "back_to_school", "fitness", "spring", "all_year")
-
-
-def promotion_calendar(dates: DataFrame, date_col: str = "date") -> DataFrame:
-    """One row per (promotion, day) for every year spanned by ``dates``, clipped to the span."""
-    span = dates.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    years = span.select("lo", "hi", F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("year"))
-    rules = F.array(*[
-        F.struct(F.lit(n).alias("name"), F.lit(m).alias("month"), F.lit(d).alias("day"),
-                 F.lit(k).alias("days"), F.lit(x).alias("discount"))
-        for n, m, d, k, x in PROMOTION_RULES
-    ])
-    r = years.select("lo", "hi", "year", F.explode(rules).alias("r")).select("lo", "hi", "year", "r.*")
-    start = F.when(F.col("name") == "Black Friday", F.date_add(nth_weekday(F.col("year"), 11, 3, 4), 1)).otherwise(
-        F.make_date(F.col("year"), F.col("month"), F.col("day"))
+from tillcast.functions.holidays import is_holiday
+from tillcast.operators.cleaning import round_money
+
+
+def promotion_days(promotions: DataFrame) -> DataFrame:
+    """Per day and type with a promotion: the largest discount."""
+    return (
+        promotions.groupBy(F.to_date("date").alias("date"), "promotion_type")
+        .agg(F.max("discount_percent").alias("discount_percent"))
+        .where(F.col("date").isNotNull())
     )
-    r = r.withColumn("start", start).where((F.col("start") >= F.col("lo")) & (F.col("start") <= F.col("hi")))
-    days = r.select("name", "discount", "start", "hi",
-                    F.explode(F.sequence(F.col("start"), F.date_add("start", F.col("days") - 1))).alias("date"))
-    return days.where(F.col("date") <= F.col("hi")).select(
-        "date", F.col("name").alias("promotion_type"), F.col("discount").alias("discount_percent"))
 
 
 def expand_intervals(intervals: DataFrame) -> DataFrame:
@@ -71,76 +31,24 @@ def store_event_factor(store_days: DataFrame, event_days: DataFrame) -> DataFram
     return out.withColumn("event_factor", F.coalesce(1 + F.col("impact"), F.lit(1.0))).drop("impact")
 
 
-def dow_factor(date_col: str | Column) -> Column:
-    """Demand factor of the weekday (Monday first)."""
-    d = F.col(date_col) if isinstance(date_col, str) else date_col
-    return F.element_at(F.array(*[F.lit(x) for x in DOW_FACTORS]), F.weekday(d) + 1)
-
-
-def seasonality_factor(date_col: str | Column, kind: str) -> Column:
-    """Seasonal demand factor for one product seasonality type."""
-    d = F.col(date_col) if isinstance(date_col, str) else date_col
-    n, m = F.dayofyear(d), F.month(d)
-    two_pi = 2 * math.pi
-    if kind == "holiday":
-        return (F.when(m.isin(11, 12), 1.5 + 0.3 * F.sin(F.lit(two_pi) * (n - 300) / 60))
-                .when(is_holiday(d), 1.3).otherwise(1.0))
-    if kind == "summer":
-        return 1.0 + 0.4 * F.sin(F.lit(two_pi) * (n - 80) / 365)
-    if kind == "winter":
-        return 1.0 + 0.3 * F.sin(F.lit(two_pi) * (n + 90) / 365)
-    if kind == "back_to_school":
-        return F.when(m.isin(8, 9), 1.4).otherwise(0.9)
-    if kind == "fitness":
-        return F.when(m == 1, 1.5).when(m.isin(5, 6), 1.3).otherwise(1.0)
-    if kind == "spring":
-        return 1.0 + 0.3 * F.sin(F.lit(two_pi) * (n - 20) / 365)
-    return F.lit(1.0)
-
-
-def demand_factors(dates: DataFrame, date_col: str = "date") -> DataFrame:
-    """Per distinct day, weekday factor, holiday factor and every seasonality factor."""
-    days = dates.select(F.col(date_col).alias("date")).distinct()
-    return days.select(
-        "date", dow_factor("date").alias("dow_factor"),
-        F.when(is_holiday("date"), HOLIDAY_TRAFFIC).otherwise(1.0).alias("holiday_factor"),
-        *[seasonality_factor("date", k).alias(f"season_{k}") for k in SEASONALITY_TYPES],
-    )
-
-
-def size_factor(size: str | Column) -> Column:
-    """Store size factor."""
-    s = F.col(size) if isinstance(size, str) else size
-    expr = None
-    for k, v in SIZE_FACTORS.items():
-        expr = F.when(s == k, v) if expr is None else expr.when(s == k, v)
-    return expr
+def demand_factors(sales: DataFrame) -> DataFrame:
+    """Per day, how revenue on its weekday, in its month and on holidays compares with the average day.
 
+    Measured on daily totals (windows over one row per day); NULL where
+    there is no revenue to compare with.
+    """
+    daily = sales.groupBy("date").agg(round_money(F.sum("revenue")).alias("_r")).where(F.col("date").isNotNull())
+    overall = F.avg("_r").over(Window.partitionBy(F.lit(0)))
 
-def price_factor(price: str | Column) -> Column:
-    """Higher price → lower volume, 1 / (1 + price/100)."""
-    p = F.col(price) if isinstance(price, str) else price
-    return 1.0 / (1.0 + p / 100.0)
+    def factor(key: Column) -> Column:
+        return F.try_divide(F.avg("_r").over(Window.partitionBy(key)), overall)
 
-
-def promotion_uplift(discount: str | Column) -> Column:
-    """Demand uplift 1 + 3·discount."""
-    x = F.col(discount) if isinstance(discount, str) else discount
-    return 1.0 + PROMO_UPLIFT * x
-
-
-def line_amounts(qty: str, price: str, discount: str, margin: str) -> list[Column]:
-    """Net price, revenue, cost and profit of a sales line."""
-    q, p, d, m = F.col(qty), F.col(price), F.col(discount), F.col(margin)
-    net = p * (1 - d)
-    revenue = q * net
-    cost = q * p * (1 - m)
-    return [net.alias("net_price"), revenue.alias("revenue"), cost.alias("cost"), (revenue - cost).alias("profit")]
-
-
-def days_of_supply(inventory: str, qty: str) -> Column:
-    """Inventory / max(1, quantity)."""
-    return (F.col(inventory) / F.greatest(F.lit(1), F.col(qty))).alias("days_of_supply")
+    return daily.select(
+        "date",
+        factor(F.weekday("date")).alias("dow_factor"),
+        factor(F.month("date")).alias("month_factor"),
+        F.when(is_holiday("date"), factor(is_holiday("date"))).otherwise(1.0).alias("holiday_factor"),
+    )
 
 
 def clamp(c: Column, lo: float | None = None, hi: float | None = None) -> Column:

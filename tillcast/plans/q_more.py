@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from tillcast.config import FORECAST_BAND, FORECAST_HORIZON, HISTORY_TAIL, LAGS, ROLLING_WINDOWS
 from tillcast.functions.holidays import holiday_sql
 from tillcast.operators import cleaning, encoding, forecast, rules, split
 from tillcast.plans import sqlgen as G
-from tillcast.plans.oracle import BASE, DAILY, SALES, sql, with_ctes
+from tillcast.plans.oracle import BASE, DAILY, PROMOTIONS, SALES, sql, with_ctes
 from tillcast.plans.registry import query, store_daily_of
 from tillcast.sources import tables as T
 
@@ -140,34 +138,15 @@ sql(
 )
 
 
-# --- rule tables (C01, C02, J04, D21, D22) -------------------------------------------------------
+# --- promotions, store events, demand factors (C02, J04, D21, D22) -------------------------------
 @query("promotion_calendar", "date:date, promotion_type:string, discount_percent:double")
 def q_promotion_calendar(spark, sf_dir):
-    return rules.promotion_calendar(T.sales(spark, sf_dir).select("date"))
-
-
-def _promo_sql() -> str:
-    vals = ", ".join(f"('{n}', {m}, {d}, {k}, {_d(x)})" for n, m, d, k, x in rules.PROMOTION_RULES)
-    nov1 = "make_date(CAST(y.year AS BIGINT), 11, 1)"
-    bf = f"CAST({nov1} + CAST(((3 - (isodow({nov1}) - 1) + 7) % 7 + 21 + 1) AS INTEGER) AS DATE)"
-    return with_ctes(SALES) + f""",
-span AS (SELECT min(date) AS lo, max(date) AS hi FROM sales),
-y AS (SELECT lo, hi, unnest(generate_series(year(lo), year(hi))) AS year FROM span),
-rules(name, month, day, days, discount) AS (VALUES {vals}),
-starts AS (
-  SELECT name, days, discount, hi,
-         CASE WHEN name = 'Black Friday' THEN {bf} ELSE make_date(CAST(y.year AS BIGINT), month, day) END AS start, lo
-  FROM y, rules
-),
-d AS (
-  SELECT name, discount, hi,
-         CAST(unnest(generate_series(start, start + (days - 1), INTERVAL 1 DAY)) AS DATE) AS date
-  FROM starts WHERE start >= lo AND start <= hi
-)
-SELECT date, name AS promotion_type, discount AS discount_percent FROM d WHERE date <= hi"""
+    return rules.promotion_days(T.promotions(spark, sf_dir))
 
 
-sql("promotion_calendar", _promo_sql())
+sql("promotion_calendar", with_ctes(PROMOTIONS) + """
+SELECT CAST(date AS DATE) AS date, promotion_type, max(discount_percent) AS discount_percent
+FROM promotions WHERE date IS NOT NULL GROUP BY 1, 2""")
 
 EVENT_INTERVALS_SQL = f"""ev AS (
   SELECT printf('store_%03d', CAST(user_id % (SELECT count(*) FROM nation) AS BIGINT)) AS store_id,
@@ -207,38 +186,21 @@ FROM store_daily s LEFT JOIN e ON s.store_id = e.store_id AND s.date = e.date"""
 )
 
 
-@query(
+@query("demand_factors", "date:date, dow_factor:double, month_factor:double, holiday_factor:double")
+def q_demand_factors(spark, sf_dir):
+    return rules.demand_factors(T.sales(spark, sf_dir).select("date", "revenue"))
+
+
+sql(
     "demand_factors",
-    "date:date, dow_factor:double, holiday_factor:double, "
-    + ", ".join(f"season_{k}:double" for k in rules.SEASONALITY_TYPES),
+    with_ctes(SALES) + f""",
+d AS (SELECT date, round(sum(revenue) * 10000.0) / 10000.0 AS r, {holiday_sql('date')} AS h
+      FROM sales WHERE date IS NOT NULL GROUP BY date)
+SELECT date, avg(r) OVER (PARTITION BY isodow(date)) / avg(r) OVER () AS dow_factor,
+       avg(r) OVER (PARTITION BY month(date)) / avg(r) OVER () AS month_factor,
+       CASE WHEN h THEN avg(r) OVER (PARTITION BY h) / avg(r) OVER () ELSE 1.0 END AS holiday_factor
+FROM d""",
 )
-def q_demand_factors(spark, sf_dir):
-    return rules.demand_factors(T.sales(spark, sf_dir))
-
-
-def _factors_sql() -> str:
-    tp = _d(2 * math.pi)
-    n, m = "dayofyear(date)", "month(date)"
-    dow = "[" + ", ".join(_d(x) for x in rules.DOW_FACTORS) + "]"
-    season = {
-        "holiday": f"CASE WHEN {m} IN (11, 12) THEN {_d(1.5)} + {_d(0.3)} * sin({tp} * ({n} - 300) / 60) "
-                   f"WHEN {holiday_sql('date')} THEN 1.3 ELSE 1.0 END",
-        "summer": f"{_d(1.0)} + {_d(0.4)} * sin({tp} * ({n} - 80) / 365)",
-        "winter": f"{_d(1.0)} + {_d(0.3)} * sin({tp} * ({n} + 90) / 365)",
-        "back_to_school": f"CASE WHEN {m} IN (8, 9) THEN 1.4 ELSE 0.9 END",
-        "fitness": f"CASE WHEN {m} = 1 THEN 1.5 WHEN {m} IN (5, 6) THEN 1.3 ELSE 1.0 END",
-        "spring": f"{_d(1.0)} + {_d(0.3)} * sin({tp} * ({n} - 20) / 365)",
-        "all_year": "1.0",
-    }
-    cols = ", ".join(f"{season[k]} AS season_{k}" for k in rules.SEASONALITY_TYPES)
-    return with_ctes(SALES) + f""",
-days AS (SELECT DISTINCT date FROM sales)
-SELECT date, {dow}[isodow(date)] AS dow_factor,
-       CASE WHEN {holiday_sql('date')} THEN {rules.HOLIDAY_TRAFFIC} ELSE 1.0 END AS holiday_factor, {cols}
-FROM days"""
-
-
-sql("demand_factors", _factors_sql())
 
 
 # --- encoders (N05, N06, N07, A08, A09) --------------------------------------------------------

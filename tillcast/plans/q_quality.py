@@ -217,37 +217,36 @@ FROM store_daily""",
 
 
 # --- V13 ------------------------------------------------------------------------------------
+# the configured range, and one on quantities that real store-days do leave
+CONTRACT_RANGES = VALUE_RANGES | {"quantity_sold": (1.0, 60.0)}
+CONTRACT_TYPES = {"date": "date", "total_revenue": "double", "store_id": "string"}
+_RULES_SQL = {
+    f"{c}_type": f"{c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS {t}) IS NULL"
+    for c, t in (("date", "DATE"), ("total_revenue", "DOUBLE"), ("store_id", "VARCHAR"))
+} | {
+    "total_revenue_ge_min": f"total_revenue < {_lo!r}",
+    "total_revenue_le_max": f"total_revenue > {_hi!r}",
+    "quantity_sold_ge_min": "quantity_sold < 1.0",
+    "quantity_sold_le_max": "quantity_sold > 60.0",
+}
+
+
 @query("contract_summary", "rule:string, failed:bigint, passed:bigint")
 def q_contract_summary(spark, sf_dir):
-    return quality.contract_summary(store_daily_of(spark, sf_dir), quality.contract_rules())
+    return quality.contract_summary(store_daily_of(spark, sf_dir), quality.contract_rules(CONTRACT_RANGES, CONTRACT_TYPES))
 
 
 @query("contract_failures", "date:date, store_id:string, total_revenue:double, failed_rule:string")
 def q_contract_failures(spark, sf_dir):
-    failed = quality.contract_failures(store_daily_of(spark, sf_dir), quality.contract_rules())
+    failed = quality.contract_failures(store_daily_of(spark, sf_dir), quality.contract_rules(CONTRACT_RANGES, CONTRACT_TYPES))
     return failed.select("date", "store_id", "total_revenue", "failed_rule")
 
 
-sql(
-    "contract_summary",
-    BASE
-    + f"""
-SELECT 'total_revenue_ge_min' AS rule, count_if(NOT (total_revenue IS NULL OR total_revenue >= {_lo!r})) AS failed,
-       count(*) - count_if(NOT (total_revenue IS NULL OR total_revenue >= {_lo!r})) AS passed FROM store_daily
-UNION ALL
-SELECT 'total_revenue_le_max', count_if(NOT (total_revenue IS NULL OR total_revenue <= {_hi!r})),
-       count(*) - count_if(NOT (total_revenue IS NULL OR total_revenue <= {_hi!r})) FROM store_daily""",
-)
-sql(
-    "contract_failures",
-    BASE
-    + f"""
-SELECT date, store_id, total_revenue, 'total_revenue_ge_min' AS failed_rule FROM store_daily
-WHERE NOT (total_revenue IS NULL OR total_revenue >= {_lo!r})
-UNION ALL
-SELECT date, store_id, total_revenue, 'total_revenue_le_max' FROM store_daily
-WHERE NOT (total_revenue IS NULL OR total_revenue <= {_hi!r})""",
-)
+sql("contract_summary", BASE + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{n}' AS rule, count_if({c}) AS failed, count(*) - count_if({c}) AS passed FROM store_daily"
+    for n, c in _RULES_SQL.items()))
+sql("contract_failures", BASE + "\n" + "\nUNION ALL ".join(
+    f"SELECT date, store_id, total_revenue, '{n}' AS failed_rule FROM store_daily WHERE {c}" for n, c in _RULES_SQL.items()))
 
 
 # --- V14–V16 ------------------------------------------------------------------------------
@@ -292,7 +291,7 @@ SELECT CAST(date - CAST(gap_days AS INTEGER) AS DATE) AS gap_after, date, gap_da
 # --- V18 ------------------------------------------------------------------------------------
 @query("validation_report", "section:string, column:string, metric:string, value:double@2")
 def q_validation_report(spark, sf_dir):
-    return quality.validation_report(materialize(store_daily_of(spark, sf_dir)))
+    return quality.validation_report(store_daily_of(spark, sf_dir))
 
 
 def _validation_sql() -> str:
@@ -324,12 +323,27 @@ def _validation_sql() -> str:
                       for m, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))]
     for c in num:
         x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT 'quality', '{c}', 'zscore_outliers', CAST(count_if(abs((s.{c} - m) / nullif(sd, 0)) > {ZSCORE_LIMIT}) AS DOUBLE) "
+            f"FROM store_daily s, (SELECT avg({x}) AS m, stddev_samp({x}) AS sd FROM store_daily)"
+        )
         parts.append(
             f"SELECT 'quality', '{c}', 'outliers', CAST(count_if({c} < q1 - {IQR_MULTIPLIER} * (q3 - q1) OR "
             f"{c} > q3 + {IQR_MULTIPLIER} * (q3 - q1)) AS DOUBLE) FROM store_daily, "
             f"(SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.75) AS q3 FROM store_daily)"
         )
     parts += [
+        "SELECT 'time_series', 'date', 'start', CAST(datediff('day', DATE '1970-01-01', min(date)) AS DOUBLE) FROM store_daily",
+        "SELECT 'time_series', 'date', 'end', CAST(datediff('day', DATE '1970-01-01', max(date)) AS DOUBLE) FROM store_daily",
+        f"SELECT 'ranges', 'total_revenue', 'below_minimum', CAST(min(total_revenue) < {_lo!r} AS DOUBLE) FROM store_daily",
+        f"SELECT 'ranges', 'total_revenue', 'above_maximum', CAST(max(total_revenue) > {_hi!r} AS DOUBLE) FROM store_daily",
+        f"SELECT 'contract', 'total_revenue_ge_min', 'failed', CAST(count_if(total_revenue < {_lo!r}) AS DOUBLE) FROM store_daily",
+        f"SELECT 'contract', 'total_revenue_le_max', 'failed', CAST(count_if(total_revenue > {_hi!r}) AS DOUBLE) FROM store_daily",
+        *[f"SELECT 'contract', '{c}_type', 'failed', CAST(count_if({c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS {t}) IS NULL) "
+          "AS DOUBLE) FROM store_daily" for c, t in (("date", "DATE"), ("total_revenue", "DOUBLE"), ("store_id", "VARCHAR"))],
+        *[f"SELECT 'group_gaps', store_id, '{m}', CAST({f} AS DOUBLE) FROM (SELECT store_id, datediff('day', lag(date) OVER "
+          "(PARTITION BY store_id ORDER BY date), date) AS g FROM store_daily) WHERE g > 1 GROUP BY store_id"
+          for m, f in (("gap_count", "count(*)"), ("max_gap_days", "max(g)"))],
         "SELECT 'time_series', 'date', 'days', CAST(datediff('day', min(date), max(date)) AS DOUBLE) FROM store_daily",
         "SELECT 'time_series', 'date', 'gap_count', CAST(count(*) AS DOUBLE) FROM "
         "(SELECT datediff('day', lag(date) OVER (ORDER BY date), date) AS g FROM (SELECT DISTINCT date FROM store_daily)) "
