@@ -5,8 +5,9 @@ from tillcast.plans.spec import parse
 
 def test_every_twin_has_a_query_and_only_models_lack_twins():
     qs, sqls = E.queries(), E.oracle_sql()
-    assert set(sqls) <= set(qs)
-    assert set(qs) - set(sqls) == {"gbt_test_metrics", "gbt_top_features"}
+    assert set(sqls) <= set(qs) and set(REGISTRY) <= set(qs)
+    assert set(REGISTRY) - set(sqls) == {
+        "gbt_test_metrics", "gbt_test_predictions", "gbt_top_features", "model_forecast", "model_forecast_summary"}
 
 
 def test_specs_parse_and_twins_select_spec_columns():

@@ -90,6 +90,28 @@ def test_bundle_round_trip_and_forecast(spark, bundle, store_days):
     assert (wide["ensemble"] - sum(wide[m] * w for m, w in again.weights.items())).abs().max() < 1e-3
 
 
+def test_feature_selection_and_scaling(spark, labeled):
+    from tillcast.operators import encoding, features
+
+    picked = training.select_features(labeled.select("date", "store_id", "total_revenue", "quantity_sold", "profit", "split"))
+    names = {r.feature: r.importance for r in picked.collect()}
+    assert names and min(names.values()) >= 0.001 and set(names) <= {"store_id_index", "quantity_sold", "profit"}
+    scaler = encoding.fit_scaler(labeled, ["profit"])
+    m = scaler.first()
+    back = encoding.inverse_scale(encoding.apply_scaler(labeled, scaler, ["profit"]), "profit", m["mean"], m["std"])
+    a, b = (sorted(r.profit for r in df.select("profit").collect()) for df in (labeled, back))
+    assert max(abs(x - y) for x, y in zip(a, b)) < 1e-6
+    gaps = spark.createDataFrame([(1.0, 5), (None, 7), (3.0, None)], "x double, y int")
+    assert sorted((r.x, r.y) for r in features.fill_mean(gaps, ["x", "y"]).collect()) == [(1.0, 5), (2.0, 7), (3.0, 6)]
+    encoder = encoding.fit_label_encoder(labeled, "store_id")
+    coded = encoding.apply_label_encoder(labeled, encoder, "store_id")
+    assert coded.where("store_id_index is null").isEmpty()
+    unseen = labeled.limit(1).withColumn("store_id", F.lit("store_x"))
+    with pytest.raises(Exception, match="unseen label"):
+        encoding.apply_label_encoder(unseen, encoder, "store_id").collect()
+    assert encoding.apply_label_encoder(unseen, encoder, "store_id", strict=False).first().store_id_index is None
+
+
 def test_run_table(spark, labeled, bundle):
     path = tempfile.mkdtemp(prefix="tillcast-runs-")
     first = training.run_rows(spark, labeled, bundle, "a", dt.datetime(2024, 1, 1))

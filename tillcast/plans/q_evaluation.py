@@ -237,6 +237,20 @@ SELECT model, rmse, mae, r2, b.best_model, model = b.best_model AS is_best FROM
 )
 
 
+# --- J03: predictions as a forecast job leaves them, joined to what came -----------------------------
+@query("predictions_with_actuals", "date:date, store_id:string, model:string, prediction:double, actual:double")
+def q_predictions_with_actuals(spark, sf_dir):
+    preds = predictions(spark, sf_dir).where(F.col("split") == "test").select("date", "store_id", "model", "prediction")
+    return diagnostics.attach_actuals(preds, store_daily_of(spark, sf_dir))
+
+
+sql(
+    "predictions_with_actuals",
+    EVAL_SQL + "\nSELECT p.date, p.store_id, p.model, p.prediction, s.total_revenue AS actual FROM test_naive p "
+    "JOIN store_daily s ON p.date = s.date AND p.store_id = s.store_id",
+)
+
+
 # --- diagnostics (R01–R06, R08) --------------------------------------------------------------------
 def _res(spark, sf_dir):
     return diagnostics.residuals(evaluated(spark, sf_dir)[2])

@@ -258,6 +258,43 @@ FROM daily, g GROUP BY category""",
 )
 
 
+@query("target_encoded_sales", "date:date, store_id:string, product_id:string, category:string, category_target_encoded:double@2")
+def q_target_encoded_sales(spark, sf_dir):
+    daily = cleaning.daily_product_sales(T.sales(spark, sf_dir))
+    encoder = encoding.fit_target_encoder(daily, "total_revenue", "category")
+    return encoding.apply_target_encoder(daily, encoder, "category")
+
+
+sql(
+    "target_encoded_sales",
+    with_ctes(SALES, DAILY) + """,
+g AS (SELECT avg(total_revenue) AS gm FROM daily),
+e AS (SELECT category, (sum(total_revenue) + gm) / (count(*) + 1.0) AS v FROM daily, g GROUP BY category, gm)
+SELECT date, store_id, product_id, d.category, e.v AS category_target_encoded FROM daily d JOIN e ON d.category = e.category""",
+)
+
+
+@query("scaled_store_days", "date:date, store_id:string, " + ", ".join(f"{c}:double@2" for c in SCALE_COLS))
+def q_scaled_store_days(spark, sf_dir):
+    days = store_daily_of(spark, sf_dir)
+    train = split.chronological_split(days, target="total_revenue").where(F.col("split") == "train")
+    return encoding.apply_scaler(days, encoding.fit_scaler(train, SCALE_COLS), SCALE_COLS)
+
+
+def _scaled_sql() -> str:
+    from tillcast.plans.q_evaluation import TRAIN_FRAC  # same split arithmetic
+
+    stats = ", ".join(f"avg({c}) AS {c}_m, coalesce(nullif(stddev_pop({c}), 0), 1.0) AS {c}_s" for c in SCALE_COLS)
+    cols = ", ".join(f"(d.{c} - {c}_m) / {c}_s AS {c}" for c in SCALE_COLS)
+    return BASE + f""",
+pos AS (SELECT *, row_number() OVER (ORDER BY date, store_id) - 1 AS position, count(*) OVER () AS _n FROM store_daily),
+m AS (SELECT {stats} FROM pos WHERE position < floor(_n * {_d(TRAIN_FRAC)}) AND total_revenue IS NOT NULL)
+SELECT date, store_id, {cols} FROM store_daily d, m"""
+
+
+sql("scaled_store_days", _scaled_sql())
+
+
 # --- MLlib models (M01–M05, M07, M08, M10, M11, O03, R09, T01) ---------------------------------
 # Trained trees are beyond SQL; what follows from their predictions is checked in tests/test_training.py.
 def _trained(spark, sf_dir):
