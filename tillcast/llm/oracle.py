@@ -80,8 +80,9 @@ _CLASSES = (
     (" ", r"[ \t\n\x0b\x0c\r]"),
     (".", r"[.,;:''\x22()\-]"),
     ("!", "[!?]"),
-    ("#", r"[#*$%&@^~=+_\x5c/]"),
-    ("|", r"[|<>\x5b\x5d{}`]"),
+    ("+", r"[@^~=+_\x5c/\x5b\x5d{}`]"),
+    ("#", "[#*$%&]"),
+    ("|", "[|<>]"),
 )
 _COUNTS = ", ".join(f"length(text) - length(regexp_replace(text, '{r}', '', 'g'))" for _, r in _CLASSES)
 

@@ -19,7 +19,6 @@ MAX_JOINT, MIN_WORDS = 1.7, 20
 #: Words that two equal windows must have in common to count as repeated.
 WINDOW = 8
 
-SYMBOLS = "#*$%&|<>"
 _CLASS_OF = (
     ("a", "abcdefghijklmnopqrstuvwxyz"),
     ("A", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
@@ -27,10 +26,12 @@ _CLASS_OF = (
     (" ", WORD_SPACE),
     (".", ".,;:'\"-()"),
     ("!", "!?"),
-    ("#", "#*$%&@^~=+_\\/"),
-    ("|", "|<>[]{}`"),
+    ("+", "@^~=+_\\/[]{}`"),
+    ("#", "#*$%&"),
+    ("|", "|<>"),
 )
 N_CLASSES = len(_CLASS_OF) + 1
+_START, _END = "\x02", "\x01"
 
 
 def _occurrences(text: Column, part: Column) -> Column:
@@ -38,68 +39,99 @@ def _occurrences(text: Column, part: Column) -> Column:
 
 
 def class_counts(text: Column) -> Column:
-    """Characters of a text by class: a-z, A-Z, digits, white space, punctuation, ! and ?, symbols, bars and
-    brackets, others."""
+    """Characters of a text by class of ``_CLASS_OF`` and, last, all of them."""
     mapped = F.translate(text, "".join(m for _, m in _CLASS_OF), "".join(c * len(m) for c, m in _CLASS_OF))
     # the working letters are single bytes, so counting them needs no decoding
-    return F.transform(F.array(mapped), lambda t: F.array(*[_occurrences(t, F.lit(c)) for c, _ in _CLASS_OF], F.length(t).cast("long")))[0]
+    return _let(mapped, lambda t: F.array(*[_occurrences(t, F.lit(c)) for c, _ in _CLASS_OF], F.length(t).cast("long")))
 
 
-def _class_shares(text: Column) -> Column:
-    def shares(c: Column) -> Column:
+def _shares(counts: Column) -> Column:
+    """Shares of the classes, and of all other characters, from ``class_counts``."""
+
+    def run(c: Column) -> Column:
         total = F.greatest(F.element_at(c, -1), F.lit(1))
         known = F.slice(c, 1, N_CLASSES - 1)
         rest = F.element_at(c, -1) - F.aggregate(known, F.lit(0).cast("long"), lambda a, b: a + b)
         return F.transform(F.concat(known, F.array(rest)), lambda n: n / total)
 
-    return F.transform(F.array(class_counts(text)), shares)[0]
+    return _let(counts, run)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _marked(text: Column) -> Column:
+    """Lower-case letter runs, each between a start and an end mark (runs of none at the ends of the text included)."""
+    return F.concat(F.lit(_START), F.regexp_replace(F.lower(text), r"[^\p{L}]+", _END + _START), F.lit(_END))
 
 
-def _spaced(text: Column) -> Column:
-    """Lower-case letter runs, each between two blanks of its own."""
-    return F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}]+", "  "), F.lit(" "))
+def _window_hashes(words: Column) -> Column:
+    """Hash of every ``WINDOW``-word window: hashes of words are joined to pairs, to fours, to eights."""
 
+    def doubled(width: int):
+        def run(h: Column) -> Column:
+            n = F.size(h) - width
+            return F.zip_with(F.slice(h, F.lit(1), n), F.slice(h, F.lit(width + 1), n), lambda a, b: F.xxhash64(a, b))
 
-def repeated_words(words: Column) -> Column:
-    """Words inside ``WINDOW``-word windows that occur twice or more in the text, the first occurrence included."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    starts = F.sequence(F.lit(1), F.size(words) - (WINDOW - 1))
-    windows = F.transform(
-        F.array(hashes),
-        lambda h: F.transform(starts, lambda i: F.struct(F.xxhash64(*[h[i - 1 + k] for k in range(WINDOW)]).alias("h"), i.alias("at"))),
-    )[0]
+        return run
+
+    out = F.transform(words, lambda w: F.xxhash64(w))
+    for width in (1, 2, 4):
+        out = _let(out, doubled(width))
+    return out
+
+
+def with_repeated_words(df: DataFrame, words: str) -> DataFrame:
+    """Adds ``n_repeat_words``: words inside ``WINDOW``-word windows found twice or more in the text, the first included.
+
+    Texts without an equal pair of windows are done after one distinct; in
+    the others windows are sorted by hash and place, those with an equal
+    neighbour are repeated, and the words from their places on are counted
+    once each.
+    """
 
-    def covered(s: Column) -> Column:
-        twice = F.filter(s, lambda x, i: (x.h == F.get(s, i - 1).h) | (x.h == F.get(s, i + 1).h))
-        places = F.array_sort(F.transform(twice, lambda x: x.at))
-        return F.transform(
-            F.array(places),
-            lambda p: F.aggregate(
-                p,
-                F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).alias("last")),
-                lambda a, at: F.struct((a.n + F.least(F.lit(WINDOW), at - a.last)).alias("n"), at.alias("last")),
-                lambda a: a.n,
-            ),
-        )[0]
+    def covered(h: Column) -> Column:
+        at = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("at"))))
+        return _let(at, places)
 
-    found = F.transform(F.array(F.array_sort(windows)), covered)[0]
-    return F.when(F.size(words) < WINDOW + 1, F.lit(0).cast("long")).otherwise(F.coalesce(found, F.lit(0).cast("long")))
+    def places(s: Column) -> Column:
+        twice = F.filter(s, lambda x, i: (x["h"] == F.get(s, i - 1)["h"]) | (x["h"] == F.get(s, i + 1)["h"]))
+        return _let(F.sort_array(F.transform(twice, lambda x: x["at"])), spans)
+
+    def spans(p: Column) -> Column:
+        steps = F.zip_with(F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p)), lambda a, b: F.least(F.lit(WINDOW), b - a))
+        return F.aggregate(steps, F.lit(WINDOW).cast("long"), lambda n, k: n + k)
+
+    windows = F.when(F.size(words) > WINDOW, _window_hashes(F.col(words)))
+    # the distinct stands outside of lambda functions, where it is compiled for numbers
+    found = df.withColumn("_windows", windows).withColumn("_repeats", F.size(F.array_distinct("_windows")) < F.size("_windows"))
+    n = F.when(F.col("_repeats"), covered(F.col("_windows"))).otherwise(F.lit(0).cast("long"))
+    return found.withColumn("n_repeat_words", n).drop("_windows", "_repeats")
 
 
 def base_measures(df: DataFrame, text: Column) -> DataFrame:
-    """``df`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed`` of the whole text."""
+    """``df`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed`` of the whole text.
+
+    ``class_counts`` is added too.
+    """
     whole = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(WORD_SPACE)) != "")
+    class_of = {c: k for k, (c, _) in enumerate(_CLASS_OF)}
+
+    def of(c: str) -> Column:
+        return F.get("class_counts", F.lit(class_of[c]))
+
+    parsed = df.withColumns({"_words": word_array(whole), "_lines": lines, "class_counts": class_counts(whole)})
     return (
-        df.withColumn("_words", word_array(whole))
-        .withColumn("_lines", lines)
+        with_repeated_words(parsed, "_words")
         .withColumns(
             {
                 "n_words": F.size("_words").cast("long"),
-                "word_chars": F.length(F.translate(whole, WORD_SPACE, "")).cast("long"),
-                "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"),
+                "word_chars": F.element_at("class_counts", -1) - of(" "),
+                "n_symbols": of("#") + of("|"),
                 "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-                "n_repeat_words": repeated_words(F.col("_words")),
             }
         )
         .withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
@@ -119,12 +151,12 @@ def references(docs: DataFrame) -> DataFrame:
     src = docs.select(F.col("lang").cast("string").alias("lang"), whole.alias("text"))
     sums = (
         src.filter(F.btrim(F.col("text"), F.lit(WORD_SPACE)) != "")
-        .select("lang", F.posexplode(_class_shares(F.col("text"))).alias("k", "share"))
+        .select("lang", F.posexplode(_shares(class_counts(F.col("text")))).alias("k", "share"))
         .groupBy("lang", "k")
         .agg(F.sum("share").alias("share"), F.count("*").alias("n"))
     )
     words = (
-        src.select("lang", F.explode(F.split(_spaced(F.col("text")), " +")).alias("word"))
+        src.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
         .filter("word <> ''")
         .select("lang", F.when(F.length("word") <= LONGEST_COMMON, F.col("word")).alias("word"))
         .groupBy("lang", "word")
@@ -173,18 +205,19 @@ def js_distance(p: Column, q: Column) -> Column:
 
 def _word_shares(text: Column, words: Column) -> Column:
     """Shares of the given words, and of all others, among the letter runs of a text."""
-    spaced = F.transform(F.array(_spaced(text)), lambda s: F.struct(s.alias("s"), (F.size(F.split(F.btrim(s), " +"))).alias("n")))
-    counts = F.transform(
-        spaced, lambda x: F.transform(words, lambda w: _occurrences(x.s, F.concat(F.lit(" "), w, F.lit(" "))) / F.greatest(x.n, F.lit(1)))
-    )[0]
-    return _with_rest(counts)
+
+    def shares(s: Column) -> Column:
+        n = _occurrences(s, F.lit(_START)) - _occurrences(s, F.lit(_START + _END))
+        return _let(
+            F.greatest(n, F.lit(1)),
+            lambda n: F.transform(words, lambda w: _occurrences(s, F.concat(F.lit(_START), w, F.lit(_END))) / n),
+        )
+
+    return _with_rest(_let(_marked(text), shares))
 
 
 def _with_rest(shares: Column) -> Column:
-    return F.transform(
-        F.array(shares),
-        lambda s: F.concat(s, F.array(F.greatest(F.lit(0.0), 1 - F.aggregate(s, F.lit(0.0), lambda a, b: a + b)))),
-    )[0]
+    return _let(shares, lambda s: F.concat(s, F.array(F.greatest(F.lit(0.0), 1 - F.aggregate(s, F.lit(0.0), lambda a, b: a + b)))))
 
 
 def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
@@ -209,7 +242,7 @@ def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     )
     measured = base_measures(src, F.col("text")).withColumns(
         {
-            "class_distance": js_distance(_class_shares(F.col("text")), F.col("rc")),
+            "class_distance": js_distance(_shares(F.col("class_counts")), F.col("rc")),
             "word_distance": js_distance(_word_shares(F.col("text"), F.col("rw")), _with_rest(F.col("rs"))),
         }
     )
