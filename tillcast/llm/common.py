@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.session import ensure_checkpoint_dir
+from tillcast.session import written
+
+__all__ = ["FOLDS", "HELD_OUT", "WORD_SPACE", "WORD_SPACE_RE", "held_out", "packed", "read_table", "word_array", "word_count", "written"]
 
 #: White space that separates words: space and U+0009..U+000D.
 WORD_SPACE = " \t\n\x0b\x0c\r"
@@ -39,17 +39,3 @@ def word_array(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     return F.size(word_array(text)).cast("long")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back (cuts lineage, survives lost executors).
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; the
-    table goes when the session's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return spark.read.schema(df.schema).parquet(path)
