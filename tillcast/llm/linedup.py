@@ -130,13 +130,17 @@ def _identity(df: DataFrame) -> DataFrame:
 
 
 def _texts_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """``h1, h2, line`` for the distinct lines ``needed`` (h1, h2, doc_id, line_no)."""
+    """``h1, h2, line`` for the distinct lines ``needed`` (h1, h2, doc_id, line_no).
+
+    What is needed grows with the corpus, so here and in ``similar`` it is
+    merged, not broadcast: the plan is the same at every size.
+    """
     by_doc = needed.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted")).withColumnRenamed("doc_id", "w_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.join(by_doc, F.col("doc_id").eqNullSafe(F.col("w_id")))
+    found = texts.join(by_doc.hint("merge"), F.col("doc_id").eqNullSafe(F.col("w_id")))
     wanted = F.transform(F.col("wanted"), lambda k: F.get(F.col("lines"), k))
     lines = found.withColumn("lines", F.split("text", "\n")).select(F.explode(wanted).alias("line")).filter("line is not null")
-    return _identity(lines.select("line")).join(needed.select("h1", "h2"), ["h1", "h2"], "left_semi").distinct()
+    return _identity(lines.select("line")).join(needed.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_semi").distinct()
 
 
 def similar(docs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
@@ -172,7 +176,7 @@ def similar(docs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
     if has_hot:
         warm = written(entries.join(hot, "key", "left_semi"), "hot-lines")
         needed = needed.union(warm.select("h1", "h2"))
-    places = lines.select("h1", "h2", "doc_id", "line_no").join(needed.distinct(), ["h1", "h2"], "left_semi")
+    places = lines.select("h1", "h2", "doc_id", "line_no").join(needed.distinct().hint("merge"), ["h1", "h2"], "left_semi")
     texts = written(_texts_of(docs, written(places, "needed-lines")), "line-texts")
     if has_hot:
         pairs = pairs.union(_hot_pairs(warm, texts))
@@ -298,7 +302,7 @@ def dedupe(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = MAX_EDITS)
     rows = packed(docs).select(
         "row", F.col("row.doc_id").cast("long").alias("k_id"), F.xxhash64(F.col("row.text").cast("string")).alias("k_hash")
     )
-    joined = rows.join(written(gone, "gone-lines"), F.col("k_id").eqNullSafe(F.col("g_id")) & (F.col("k_hash") == F.col("g_hash")), "left")
+    joined = rows.join(written(gone, "gone-lines").hint("merge"), F.col("k_id").eqNullSafe(F.col("g_id")) & (F.col("k_hash") == F.col("g_hash")), "left")
     lines = F.split(F.col("row.text").cast("string"), "\n")
     kept = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col("gone"), s["i"]))
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
