@@ -31,7 +31,7 @@ POPULATION, GENERATIONS = 4, 6
 OPEN_BELOW = 0.995
 NO_BIN = -1
 #: Words that a task remembers, and characters whose new words it encodes together.
-_CACHE_WORDS, _GROUP_CHARS = 600_000, 500_000
+_CACHE_WORDS, _GROUP_CHARS = 700_000, 500_000
 
 
 # ---------------------------------------------------------------------------
@@ -56,6 +56,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.parts: dict[str, bytes] = {"": b""}
+        self.old_parts: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {"": b""}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -76,11 +77,13 @@ class WordEncoder:
     def _learn(self, unseen: set[str]) -> dict[str, bytes]:
         """Ids of parts that are not remembered; they are remembered from now on."""
         if len(self.parts) + len(unseen) > _CACHE_WORDS:
-            self.parts = {"": b""}
+            self.old_parts, self.parts = self.parts, {"": b""}
         if len(self.cores) > _CACHE_WORDS:
             self.cores = {"": b""}
+        again = self.old_parts.keys() & unseen
+        fresh = {p: self.old_parts[p] for p in again}
         latin, other = [], []
-        for part in unseen:
+        for part in unseen - again:
             m = self._LATIN.match(part)
             if m:
                 latin.append((part, m[1].lower(), m[2]))
@@ -89,7 +92,7 @@ class WordEncoder:
         self._learn_cores([c for c in dict.fromkeys(c for _, c, _ in latin) if c not in self.cores])
         tails = [t for t in dict.fromkeys(t for _, _, t in latin) if t not in self.cores]
         self.cores.update(zip(tails, self._encode(tails) if tails else []))
-        fresh = {p: self.cores[c] + self.cores[t] for p, c, t in latin}
+        fresh.update((p, self.cores[c] + self.cores[t]) for p, c, t in latin)
         if other:
             fresh.update(zip(other, self._encode(other)))
         self.parts.update(fresh)
