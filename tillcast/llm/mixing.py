@@ -11,7 +11,7 @@ WEIGHTS = (5, 2, 1)
 #: Words of the mix as a share of all words, and how often a source (and a document) may be repeated.
 TOTAL_SHARE, MAX_REPEATS = 1.5, 2
 #: Documents that one slice of a source's shuffled order holds, about; slices of the finish-time axis.
-SLICE_ROWS, TIME_SLICES = 5_000, 4096
+SLICE_ROWS, TIME_SLICES = 1_000, 4096
 _ORDER_BITS = 40
 
 
