@@ -32,7 +32,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents, placed in sequences of 4096 tokens."""
+    """Pieces of documents with their token ids, placed in sequences of 4096 tokens."""
     small_batches(spark)
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), 4096)
 

@@ -117,6 +117,27 @@ def test_pack_round_trip(docs_of, read_rows):
     assert len({r.sequence_id for r in got}) <= -(-total // 4096) + 1
 
 
+def test_pack_yields_token_ids(docs_of):
+    """Sequences are made of ids, from which texts come back; repeated rows stay apart."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    texts = [t for t in ODD if t] + ["long words " * 300, "same", "same"]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(7000, "copy of one " * 50, "en", "s")] * 4
+    got = packing.pack(docs_of(rows), path, 128).collect()
+    tokenizer = Tokenizer.from_file(path)
+    documents, sequences = defaultdict(list), defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.copy, r.piece)):
+        assert r.length == len(r.ids) and zlib.crc32(np.array(r.ids, dtype="<u4").tobytes()) == r.ids_crc32
+        documents[r.doc_id, r.copy] += r.ids
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == len(sequences[r.sequence_id])
+        sequences[r.sequence_id] += r.ids
+    want = Counter((i, *tokenizer.encode(t, add_special_tokens=False).ids, 1) for i, t, *_ in rows)
+    assert Counter((i, *ids) for (i, _), ids in documents.items()) == want
+    assert max(map(len, sequences.values())) <= 128
+
+
 def check_layout(got, capacity):
     by = defaultdict(list)
     for r in got:

@@ -32,6 +32,10 @@ OPEN_BELOW = 0.995
 NO_BIN = -1
 #: Words that a task remembers, and characters whose new words it encodes together.
 _CACHE_WORDS, _GROUP_CHARS = 700_000, 500_000
+#: Pieces in one Arrow batch out; with their ids, each holds up to four bytes a token.
+_BATCH_PIECES = 512
+#: What the query and the checks compare; the ids themselves are the operator's output.
+DIGEST = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 # ---------------------------------------------------------------------------
@@ -121,12 +125,13 @@ _encoders: dict[str, WordEncoder] = {}
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFrame:
-    """One row per piece: ``uid, doc_id, piece, start, length, ids_crc32``.
+    """One row per piece: ``uid, copy, doc_id, piece, start, length, ids_crc32, ids``.
 
     A document is its token ids and then ``END_ID``; only documents longer
     than ``capacity`` are cut, into full pieces and a last shorter one.  Null
-    texts count as empty (one piece of length 1).  ``uid`` tells repeated rows
-    apart.
+    texts count as empty (one piece of length 1).  ``ids`` are the piece's
+    token ids.  ``uid`` tells pieces apart, and ``copy`` (the uid of a row's
+    first piece) rows, repeated ones too.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,22 +139,36 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFr
         end = np.array([END_ID], dtype="<u4").tobytes()
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            out = []
+            out, held = [], []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids_of(batch.column("text").to_pylist())):
                 ids += end
+                copy = uid
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
-                    out.append((uid, doc_id, k, k * capacity, len(part) // 4, crc32(part)))
+                    out.append((uid, copy, doc_id, k, k * capacity, len(part) // 4, crc32(part)))
+                    held.append(part)
                     uid += 1
-            cols = list(zip(*out)) or [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds)],
-                names=["uid", "doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+                    if len(held) >= _BATCH_PIECES:
+                        yield _batch(out, held)
+                        out, held = [], []
+            yield _batch(out, held)
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return src.mapInArrow(run, "uid long, doc_id long, piece int, start long, length long, ids_crc32 long")
+    return src.mapInArrow(
+        run, "uid long, copy long, doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>"
+    )
+
+
+def _batch(rows: list[tuple], parts: list[bytes]) -> pa.RecordBatch:
+    """Rows of ``pieces`` with their ids, which are joined into one list column without a Python number each."""
+    cols = list(zip(*rows)) or [()] * 7
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+    cuts = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype("<i4")
+    ids = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
+    return pa.RecordBatch.from_arrays(
+        [*(pa.array(c, k) for c, k in zip(cols, kinds)), ids],
+        names=["uid", "copy", "doc_id", "piece", "start", "length", "ids_crc32", "ids"],
+    )
 
 
 # ---------------------------------------------------------------------------
@@ -329,8 +348,10 @@ def _solve(items: DataFrame, capacity: int) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` per piece of every document.
+    """``copy, doc_id, piece, start, length, ids_crc32, sequence_id, offset, ids`` per piece of every document.
 
+    The ``ids`` of a sequence's pieces, by ``offset``, are the training
+    sequence; ``copy`` tells repeated rows apart, which share their doc_id.
     Pieces of ``capacity`` tokens are sequences by themselves.  The others are
     dealt to problems of about ``PROBLEM_SIZE`` pieces each (by row, so equal
     documents spread), solved on ``ISLANDS`` islands; bins under
@@ -378,5 +399,5 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFram
         "*", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     rest = cut.filter(F.col("length") < capacity).join(offsets, "uid")
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    names = ["copy", *DIGEST, "ids"]
     return full.select(*names).unionByName(rest.select(*names))

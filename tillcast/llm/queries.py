@@ -39,7 +39,8 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 4096)
+    found = packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 4096)
+    return found.select(*packing.DIGEST)
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +91,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
-    return corpus_pipeline.run(spark, sf_dir)
+    return corpus_pipeline.run(spark, sf_dir).select(*packing.DIGEST)
 
 
 QUERIES = {
