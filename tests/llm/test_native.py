@@ -163,6 +163,26 @@ def test_shards_of_one_id_and_of_a_huge_document(spark):
     assert sharding.shards(spark.createDataFrame([], "doc_id long, bytes long"), F.col("bytes"), 100).count() == 0
 
 
+def test_shards_are_written(docs_of):
+    """Whole rows land in their shard's files, also rows of one id and size that differ in text."""
+    rows = [(i, "x" * (i % 40) + "é", "en", "s") for i in range(200)] + [(None, f"text {k:02d}", "en", f"s{k % 3}") for k in range(50)]
+    docs = docs_of(rows)
+    out = sharding.write_shards(docs, F.octet_length("text"), 100).withColumn("file", F.input_file_name())
+    got = out.collect()
+    assert out.select("row.*").dtypes == docs.dtypes
+    assert Counter(tuple(r.row) for r in got) == Counter(map(tuple, docs.collect()))
+    fill, files = defaultdict(int), defaultdict(set)
+    for r in got:
+        assert r.bytes == len(r.row.text.encode()) and r.place == f"s{r.shard}-{r.part}" and f"place={r.place}/" in r.file
+        fill[r.shard, r.part] += r.bytes
+        files[r.file].add((r.shard, r.part))
+    assert max(fill.values()) <= 100 and {(r.shard, r.part): r.shard_bytes for r in got} == dict(fill)
+    assert len(files) == len(fill) and all(len(x) == 1 for x in files.values())
+    whole = sharding.write_shards(docs, limit=400).collect()
+    assert all(r.shard_bytes <= 400 and r.bytes > len(r.row.text.encode()) for r in whole) and len(whole) == len(rows)
+    assert sharding.write_shards(docs.limit(0)).count() == 0
+
+
 # --------------------------------------------------------------------------- rules
 def measures_by_hand(text):
     words = SPACE.findall(text or "")

@@ -63,7 +63,8 @@ def op5_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return sharding.shards(docs, F.octet_length("text"))
+    found = sharding.write_shards(docs, F.octet_length("text"))
+    return found.select("doc_id", "bytes", "shard", "part", "shard_bytes", "shard_rows")
 
 
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
