@@ -221,6 +221,13 @@ def test_rule_verdicts(spark, read_rows):
     assert quality_rules.judge(docs.limit(0)).count() == 0
 
 
+def test_every_language_has_its_reference(docs_of):
+    """Languages of one document each: every one is its own reference, however many there are."""
+    texts = [" ".join(["abcdefgh"[k % 8] * (1 + k % 5) + "1" * (k % 7)] * 10 + [f"w{j}" for j in range(12)]) for k in range(1010)]
+    got = quality_rules.judge(docs_of([(k, t, f"l{k:04d}", "s") for k, t in enumerate(texts)])).collect()
+    assert len(got) == 1010 and all(r.class_distance == 0 and r.word_distance == 0 for r in got)
+
+
 def test_jensen_shannon(spark):
     p, q = [0.5, 0.5, 0.0], [0.25, 0.25, 0.5]
     m = [(a + b) / 2 for a, b in zip(p, q)]

@@ -9,8 +9,6 @@ from tillcast.llm.common import WORD_SPACE, word_array, written
 
 #: Common words kept per language, and the longest word that counts as a candidate.
 COMMON_WORDS, LONGEST_COMMON = 24, 6
-#: Languages with a reference of their own (the most frequent ones); others use the reference of all documents.
-MAX_LANGUAGES = 1000
 #: Limits of the two distances: base + slack / sqrt(words), since short texts stray further from any reference; and of
 #: the sum of both distances as shares of their limits.  Texts with fewer words than the minimum are not compared.
 CLASS_BASE, CLASS_SLACK = 0.16, 0.7
@@ -144,8 +142,8 @@ def references(docs: DataFrame) -> DataFrame:
 
     classes: mean class shares of its documents; words and shares: its
     ``COMMON_WORDS`` most frequent words of at most ``LONGEST_COMMON`` letters
-    and their shares of all its words.  Counted over all documents; at most
-    ``MAX_LANGUAGES`` + 1 rows.
+    and their shares of all its words.  Counted over all documents, for every
+    language with a document that is not blank.
     """
     whole = F.coalesce(F.col("text"), F.lit(""))
     src = docs.select(F.col("lang").cast("string").alias("lang"), whole.alias("text"))
@@ -163,16 +161,11 @@ def references(docs: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"))
     )
     sums, words = written(sums, "class-sums"), written(words, "word-counts")
-    top = sums.filter("k = 0 and lang is not null").orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).select("lang")
-
-    def own(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(top), "lang", "left_semi")
-
-    classes = own(sums).unionByName(sums.withColumn("lang", F.lit(None).cast("string"))).groupBy("lang", "k").agg(
+    classes = sums.filter("lang is not null").unionByName(sums.withColumn("lang", F.lit(None).cast("string"))).groupBy("lang", "k").agg(
         (F.sum("share") / F.sum("n")).alias("share")
     )
     classes = classes.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "share"))).share.alias("classes"))
-    counts = own(words).unionByName(words.withColumn("lang", F.lit(None).cast("string")).groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    counts = words.filter("lang is not null").unionByName(words.withColumn("lang", F.lit(None).cast("string")).groupBy("lang", "word").agg(F.sum("n").alias("n")))
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     common = (
@@ -231,12 +224,12 @@ def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     an empty table gives no rows; other columns are ignored.
     """
     refs = written(references(docs), "references") if refs is None else refs
-    # bounded by MAX_LANGUAGES + 1 rows, so both may be broadcast
+    # one row per language: joined by its size, since a table may have any number of them
     named = refs.filter("lang is not null").withColumnsRenamed({"lang": "r_lang", "classes": "rc", "words": "rw", "shares": "rs"})
     anyone = refs.filter("lang is null").select(F.col("classes").alias("ac"), F.col("words").alias("aw"), F.col("shares").alias("as_"))
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
     src = (
-        src.join(F.broadcast(named), F.col("lang") == F.col("r_lang"), "left")
+        src.join(named, F.col("lang") == F.col("r_lang"), "left")
         .join(F.broadcast(anyone), F.lit(True), "left")
         .withColumns({"rc": F.coalesce("rc", "ac"), "rw": F.coalesce("rw", "aw"), "rs": F.coalesce("rs", "as_")})
     )
