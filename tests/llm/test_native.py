@@ -291,3 +291,15 @@ def test_mix_rows(docs_of):
     assert out.dtypes == docs.dtypes
     assert Counter((r.doc_id, r.source) for r in out.collect()) == +want
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_mix_tells_texts_of_one_key_apart(docs_of):
+    """Rows that share id, source and size: their order is that of the texts, whatever the partitions, and each is taken."""
+    rows = [(None, f"word{k:03d} two", "en", "a") for k in range(60)] + [(7, "same text", "en", "b")] * 30
+    docs = docs_of(rows)
+    want = Counter(r.text for r in mixing.mix(docs).collect())
+    assert sum(want.values()) == sum(r.times for r in mixing.queue(docs, word_count(F.col("text"))).collect())
+    assert max(n for t, n in want.items() if t != "same text") <= 2
+    for n in (3, 8):
+        again = mixing.mix(docs.orderBy(F.rand(n)).repartition(n)).collect()
+        assert Counter(r.text for r in again) == want

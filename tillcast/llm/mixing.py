@@ -151,9 +151,20 @@ def mix(docs: DataFrame) -> DataFrame:
     taken = rows.join(served.filter("copies = 1"), on).select("row", "times")
     repeated = served.filter("copies > 1")
     if not repeated.isEmpty():
-        keys = repeated.select("doc_id", "source", "size").distinct()
-        numbered = rows.join(keys, on, "left_semi").withColumn(
-            "n", F.row_number().over(Window.partitionBy("k_id", "k_source", "k_size").orderBy(F.lit(0)))
+        # times never rises with copy, so how many copies are served at least t times tells what each row gets
+        reach = repeated.groupBy("doc_id", "source", "size").agg(
+            F.array(*[F.count(F.when(F.col("times") >= t, 1)) for t in range(1, MAX_REPEATS + 1)]).alias("reach")
         )
-        taken = taken.union(numbered.join(repeated, on & (F.col("n") == F.col("copy"))).select("row", "times"))
+        whole = F.to_json("row")
+        same = rows.join(reach, on, "left_semi").groupBy(
+            "k_id", "k_source", "k_size", F.xxhash64(whole).alias("h1"), F.hash(whole).alias("h2")
+        )
+        same = written(same.agg(F.first("row").alias("row"), F.count("*").alias("n")), "repeated-rows")
+        # numbers only, without texts: equal rows in the order of their hash take the copies one behind the other
+        upto = Window.partitionBy("k_id", "k_source", "k_size").orderBy("h1", "h2").rowsBetween(Window.unboundedPreceding, 0)
+        dealt = same.select("k_id", "k_source", "k_size", "h1", "h2", "n", (F.sum("n").over(upto) - F.col("n")).alias("start"))
+        times = F.expr("aggregate(reach, 0L, (s, c) -> s + greatest(0L, least(n, c - start)))")
+        dealt = dealt.join(reach, on).select("doc_id", "source", "size", "h1", "h2", times.cast("int").alias("times")).filter("times > 0")
+        dealt = dealt.withColumnsRenamed({"h1": "d1", "h2": "d2"})
+        taken = taken.union(same.join(dealt, on & (F.col("h1") == F.col("d1")) & (F.col("h2") == F.col("d2"))).select("row", "times"))
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
