@@ -1,4 +1,4 @@
-"""SimHash near-duplicates found by multi-index hashing."""
+"""SimHash near-duplicates found by Hamming balls that meet half way."""
 
 from __future__ import annotations
 
@@ -69,15 +69,14 @@ def _balls(radius: int) -> list[int]:
 def links(distinct: DataFrame, max_distance: int = 2) -> DataFrame:
     """Edges ``(u, v)`` between distinct fingerprints ``fp`` that connect all pairs within ``max_distance`` bits.
 
-    Each fingerprint is entered into the tables of its two segments: once
-    under itself and once under every value in the Hamming ball of radius 1
-    around one segment, the other segment unchanged.  Two fingerprints differ
-    in at most two bits exactly if they meet under such a key: bits in one
-    segment are flipped half by each, bits in both by one of them each.  A key
-    is reached by at most 65 fingerprints, so a table entry stays small
-    however many near copies there are.  The members of an entry lie within
-    two bits of one another; each is linked to the smallest one, after the
-    complete distance is verified.  Supported: 0, 1 or 2 bits.
+    Each fingerprint is entered under itself and under every value one bit
+    away.  Two fingerprints differ in at most two bits exactly if they meet
+    under such a value, half way.  A value is reached by at most 65
+    fingerprints, so an entry stays small however many near copies there are.
+    The members of an entry are within two bits of one another by
+    construction (the filter on the distance only states it); each is linked
+    to the smallest one.  This is not multi-index hashing, which keeps tables
+    by segment and serves any distance.  Supported: 0, 1 or 2 bits.
     """
     if max_distance not in (0, 1, 2):
         raise ValueError("max_distance must be 0, 1 or 2")
