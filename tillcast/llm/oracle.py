@@ -185,10 +185,76 @@ SELECT o.doc_id, CAST(o.line_no AS BIGINT) AS line_no, nullif(first[1], -9223372
 FROM occ o JOIN classes c USING (line)
 """
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+PHRASES = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), worded AS (
+  SELECT lang, [x for x in regexp_split_to_array(piece, '[\\x20\\x09]+') if x <> ''] AS w FROM pieces
+), totals AS (SELECT lang, sum(len(w)) AS n FROM worded GROUP BY lang
+), counts AS (
+  SELECT lang, list_slice(w, i, i + k - 1) AS g, k, count(*) AS f
+  FROM worded, range(1, 6) a(k), range(1, len(w) - k + 2) b(i) GROUP BY ALL HAVING count(*) >= 100
+), covered AS (
+  SELECT DISTINCT c.lang, c.g FROM counts c JOIN (
+    SELECT lang, f, k, list_slice(g, i, i + m - 1) AS part FROM counts, range(2, 5) a(m), range(1, k - m + 2) b(i) WHERE m < k
+  ) x ON x.lang = c.lang AND x.part = c.g WHERE 100 * x.f >= 100 * c.f
+), cuts AS (
+  SELECT c.lang, c.g, c.f AS a, n, c1.f AS l, c2.f AS r, cut,
+         (1000 * c.f::HUGEINT * n::HUGEINT) // (c1.f::HUGEINT * c2.f::HUGEINT) AS score
+  FROM counts c JOIN totals t USING (lang), range(1, c.k) x(cut)
+  JOIN counts c1 ON c1.lang = c.lang AND c1.g = list_slice(c.g, 1, cut)
+  JOIN counts c2 ON c2.lang = c.lang AND c2.g = list_slice(c.g, cut + 1, c.k)
+  WHERE NOT EXISTS (SELECT 1 FROM covered v WHERE v.lang = c.lang AND v.g = c.g)
+), lowest AS (
+  SELECT *, array_to_string(g, ' ') AS phrase FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+AUDIT = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWERED}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+), groups AS (SELECT DISTINCT lang, source FROM d
+), occurring AS (SELECT id, lang, source, unnest(terms) AS term FROM d
+), kept AS (SELECT lang, term, count(*) AS total FROM occurring GROUP BY ALL HAVING count(DISTINCT id) >= 3
+), counted AS (SELECT lang, source, term, count(*) AS c FROM occurring GROUP BY ALL
+), cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, k.total
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counted c USING (lang, source, term)
+), shares AS (
+  SELECT lang, source, term, c,
+         CAST(1 + (1000000000::HUGEINT * (c + 1)) // (sum(c) OVER w + count(*) OVER w)::HUGEINT AS BIGINT) AS p,
+         CAST(1 + (1000000000::HUGEINT * (total + 1)) // (sum(total) OVER w + count(*) OVER w)::HUGEINT AS BIGINT) AS q
+  FROM cells WINDOW w AS (PARTITION BY lang, source)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), all_pairs AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM shares WHERE c > 0 AND p > q
+), both_parts AS (SELECT * FROM all_pairs UNION ALL SELECT * FROM terms)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts
+) WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLES: dict[str, str] = {
     "op2_topk": TOP_K,
     "op5_linededup": LINES,
     "op6_sharding": SHARDS,
     "op7_rules": RULES,
     "op8_mixing": MIX,
+    "op11_collocations": PHRASES,
+    "op13_divergence": AUDIT,
 }

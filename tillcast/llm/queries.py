@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm import html_text, langid, linedup, mixing, packing, quality_pu, quality_rules, sharding, simhash, topk
+from tillcast.llm import bpe, collocations, divergence, html_text, langid, linedup, mixing, packing, quality_pu, quality_rules, sharding, simhash, topk
 from tillcast.llm.common import held_out, read_table, word_count
 from tillcast.llm.oracle import ORACLES
 
@@ -89,6 +89,25 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    found = collocations.collocations(read_table(spark, sf_dir, "documents"), min_count=100, longest=5)
+    return collocations.best(found, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    path = tokenizer_path("byte_bpe_50k.json")
+    found = bpe.encode(read_table(spark, sf_dir, "documents"), path)
+    decoded = F.sha2(bpe.decode(F.col("ids"), path).cast("binary"), 256)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), decoded.alias("decoded_sha256"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return divergence.audit(read_table(spark, sf_dir, "documents"), min_docs=3, top_terms=200)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,7 +118,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality, op2_topk, op3_packing, op4_language, op5_linededup, op6_sharding, op7_rules, op8_mixing, op9_simhash,
-        op10_html, pipeline,
+        op10_html, op11_collocations, op12_bpe, op13_divergence, pipeline,
     )
 }
 
