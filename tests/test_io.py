@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import tempfile
 
 from pyspark.sql import functions as F
@@ -78,15 +79,55 @@ def test_clamp(spark):
     assert (r.a, r.b) == (1.2, 0.5)
 
 
-def test_file_checks(spark):
-    from tillcast.config import SALES_REQUIRED
-    from tillcast.operators import quality
+def _file_issues(spark, root, expected, negative, **options):
+    from tillcast.sources import ingest
+
+    report = ingest.file_report(spark, root, expected, negative, **options)
+    return {r.file.split("/")[-2]: (r.rows, sorted((i.issue, i.column) for i in r.issues)) for r in report.collect()}, report
+
+
+def test_file_report_survives_bad_files(spark):
+    """A missing column, another type, no rows, all NULLs, a broken file: a row each, and nothing stops."""
+    from tillcast.sources import ingest
 
     root = tempfile.mkdtemp(prefix="tillcast-files-")
-    good = T.sales(spark, SMALL).limit(20).select(*SALES_REQUIRED)
-    good.coalesce(1).write.parquet(f"{root}/a")
-    good.drop("revenue").coalesce(1).write.parquet(f"{root}/b")
-    good.where("false").coalesce(1).write.parquet(f"{root}/c")
-    good.withColumn("quantity_sold", -F.col("quantity_sold")).coalesce(1).write.parquet(f"{root}/d")
-    got = {r.file.split("/")[-2]: (r.rows, r.issues) for r in quality.file_checks(spark, root, SALES_REQUIRED, ["revenue", "quantity_sold"]).collect()}
-    assert got == {"a": (20, []), "b": (20, ["missing_revenue"]), "c": (0, ["empty"]), "d": (20, ["negative_quantity_sold"])}
+    good = T.sales(spark, SMALL).limit(20).select("date", "store_id", "product_id", "quantity_sold", "revenue").coalesce(1)
+    good.write.parquet(f"{root}/sales/good")
+    good.drop("revenue").write.parquet(f"{root}/sales/lacks")
+    good.where("false").drop("revenue").write.parquet(f"{root}/sales/empty")
+    good.withColumn("quantity_sold", F.col("quantity_sold").cast("string")).write.parquet(f"{root}/sales/text")
+    good.withColumn("revenue", F.lit(None).cast("double")).write.parquet(f"{root}/sales/nulls")
+    good.withColumn("quantity_sold", -F.col("quantity_sold")).write.parquet(f"{root}/sales/negative")
+    nan = F.when(F.col("product_id") > "5", float("nan")).otherwise(-1.0)  # NaN: no statistics, so values are read
+    good.withColumn("revenue", nan).write.parquet(f"{root}/sales/nan")
+    good.write.partitionBy("store_id").parquet(f"{root}/byfolder/keys")
+    os.makedirs(f"{root}/sales/broken")
+    with open(f"{root}/sales/broken/x.parquet", "wb") as file:
+        file.write(b"PAR1 no parquet PAR1")
+    expected = {"date": "date", "store_id": ["string"], "product_id": None, "quantity_sold": "bigint", "revenue": "double"}
+    got, report = _file_issues(spark, f"{root}/sales", expected, ["revenue", "quantity_sold", "store_id", "absent"])
+    assert got == {
+        "good": (20, []), "lacks": (20, [("missing", "revenue")]), "empty": (0, [("empty", None), ("missing", "revenue")]),
+        "text": (20, [("type", "quantity_sold")]), "nulls": (20, []), "negative": (20, [("negative", "quantity_sold")]),
+        "nan": (20, [("negative", "revenue")]), "broken": (None, [("unreadable", None)]),
+    }
+    details = {r.issue: r.detail for r in ingest.issue_rows(report).collect()}
+    assert details["type"] == "string, expected bigint"
+    keyed, _ = _file_issues(spark, f"{root}/byfolder", expected, [])
+    assert keyed and all(issues == [] for _, issues in keyed.values())  # the folder names the store
+    both = ingest.dataset_files(ingest.file_report(spark, root, expected), root).collect()
+    counts = {r.dataset: (r.files, r.rows) for r in both}
+    assert counts["sales"] == (8, 120) and counts["byfolder"][1] == 20
+    assert {r.dataset: r.column_names for r in both}["byfolder"] == ["date", "product_id", "quantity_sold", "revenue"]
+
+
+def test_file_report_through_spark_alone(spark, monkeypatch):
+    """Files of a store that pyarrow does not know come through Spark, with the same report."""
+    from tillcast.sources import ingest
+
+    root = tempfile.mkdtemp(prefix="tillcast-store-")
+    spark.range(3).select(F.col("id") - 1).toDF("x").coalesce(1).write.parquet(f"{root}/a")
+    direct, _ = _file_issues(spark, root, {"x": "bigint", "y": None}, ["x"])
+    monkeypatch.setattr(ingest, "_opens", lambda path: False)
+    through, _ = _file_issues(spark, root, {"x": "bigint", "y": None}, ["x"])
+    assert direct == through == {"a": (3, [("missing", "y"), ("negative", "x")])}

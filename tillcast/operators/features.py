@@ -4,22 +4,21 @@ All lag and rolling expressions of one series key use the same
 ``Window.partitionBy(group).orderBy(date)`` spec and are added in a single
 ``select``; Catalyst then plans one Exchange + one Sort for all of them.
 
-Parallelism of a grouped window equals the number of series; rows per series
-are bounded by the number of days (the input is pre-aggregated to
-series × day), so a hot store still means one series of a few thousand rows.
-Ungrouped windows (a single series) are only applied to day-grain tables.
+Where a series is longer than a block, the same expressions run in blocks of
+rows with a halo (``series.windowed``), so neither a hot series nor a table
+without a series key becomes one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.config import EWM_SPANS, LAGS, RATIO_WINDOWS, ROLLING_FUNCS, ROLLING_WINDOWS, FeatureConfig
 from tillcast.functions import dates
+from tillcast.operators import series
 
 
 def series_window(group_cols: Sequence[str], date_col: str = "date"):
@@ -77,40 +76,26 @@ def with_ewm(df: DataFrame, target: str, spans: Sequence[int] = EWM_SPANS, group
              date_col: str = "date") -> DataFrame:
     """``{target}_ewm_{span}``, exponentially weighted means with the whole history (``adjust=False``).
 
-    y is the first value, then y += a·(x − y) with a = 2/(span+1).  A NULL
-    leaves y as it is while the weight of the past goes on fading; leading
-    NULLs give NULL.  The recursion runs once along each series (one group
-    per series, a row per day).
+    NULLs and rows of equal date: see :func:`series.ewm`, which scans affine
+    maps in blocks, so a hot or unkeyed series is spread over many tasks.
     """
-    keys = list(group_cols)
-    names = [f"{target}_ewm_{s}" for s in spans]
-    series = df.select(*keys, date_col, F.col(target).cast("double").alias("_x")).distinct()
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values([date_col], kind="stable")
-        return frame.assign(**{n: frame["_x"].ewm(span=s, adjust=False).mean() for n, s in zip(names, spans)}).drop(columns="_x")
-
-    kinds = dict(df.dtypes)
-    schema = ", ".join([f"`{k}` {kinds[k]}" for k in [*keys, date_col]] + [f"`{n}` double" for n in names])
-    means = series.groupBy(*keys).applyInPandas(run, schema) if keys else series.groupBy().applyInPandas(run, schema)
-    marked = means.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, date_col])],
-                          *[F.when(~F.isnan(n), F.col(n)).alias(n) for n in names])
-    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate([*keys, date_col])]
-    return df.join(marked, on, "left").select(*df.columns, *names)
-
-
-def time_series_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
-    """Calendar + lag + rolling + cyclical features in one projection."""
-    w = series_window(cfg.group_cols, cfg.date_col)
+    return series.ewm(df, target, spans, list(group_cols), [date_col])
+
+
+def time_series_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), block_rows: int = series.BLOCK_ROWS) -> DataFrame:
+    """Calendar + lag + rolling + cyclical features; series of any length (see :func:`series.windowed`)."""
     base = [c for c in df.columns if c not in ("is_holiday",)]
-    cal = dates.date_feature_columns(cfg.date_col)
-    return df.select(
-        *base,
-        *cal,
-        *lag_columns(cfg.target, w, cfg.lags),
-        *rolling_columns(cfg.target, w, cfg.windows, cfg.funcs, cfg.min_periods, cfg.shift),
-        *dates.cyclical_columns(cfg.date_col),
-    )
+
+    def build(w, _place: Column) -> list[Column]:
+        return [
+            *lag_columns(cfg.target, w, cfg.lags),
+            *rolling_columns(cfg.target, w, cfg.windows, cfg.funcs, cfg.min_periods, cfg.shift),
+        ]
+
+    halo = max([*cfg.lags, *(k - 1 + cfg.shift for k in cfg.windows)], default=0)
+    done = series.windowed(df, list(cfg.group_cols), [cfg.date_col], build, halo, block_rows)
+    made = [c for c in done.columns if c not in df.columns]
+    return done.select(*base, *dates.date_feature_columns(cfg.date_col), *made, *dates.cyclical_columns(cfg.date_col))
 
 
 def advanced_columns(target: str, w, date_col: str = "date", has_discount: str | None = "has_discount") -> list[Column]:
@@ -223,9 +208,9 @@ def handle_missing_values(df: DataFrame, group_cols: Sequence[str], target: str
         # one-row aggregate (bounded): fill only columns that contain NULLs
         counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in num]).first().asDict()
         num = [c for c in num if counts[c] > 0]
-    series = [c for c in num if "_lag_" in c or "_rolling_" in c]
-    other = [c for c in num if c not in series and c != target]
-    out = fill_forward_backward(df, series, group_cols, date_col, scope)
+    moving = [c for c in num if "_lag_" in c or "_rolling_" in c]
+    other = [c for c in num if c not in moving and c != target]
+    out = fill_forward_backward(df, moving, group_cols, date_col, scope)
     return fill_mean(out, other)
 
 

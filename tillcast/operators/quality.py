@@ -49,40 +49,6 @@ def partition_checks(df: DataFrame, part_col: str, negative_cols: Sequence[str])
     return df.groupBy(part_col).agg(*aggs)
 
 
-def file_checks(spark: SparkSession, path: str, required: Sequence[str], negative_cols: Sequence[str]) -> DataFrame:
-    """V01–V03 per file under ``path``: ``file, rows, missing, negative, issues``.
-
-    Files come from a listing, so empty ones are found.  A required column
-    is missing in a file if it holds rows but no value of it (a column that
-    the file lacks reads as NULL).  One scan of the listed columns.
-    """
-    listed = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-        .load(path).select(F.regexp_replace("path", "^file:/+", "/").alias("file"))
-    )
-    table = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(path)
-    present = [c for c in required if c in table.columns]
-    negative = [c for c in negative_cols if c in table.columns]
-    name = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/")
-    per = table.groupBy(name.alias("file")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.array_compact(F.array(*[F.when(F.count(F.lit(1)) == 0, F.lit(None).cast("string")),
-                                  *[F.when(F.count(c) == 0, F.lit(c)) for c in present],
-                                  *[F.lit(c) for c in required if c not in table.columns]])).alias("missing"),
-        F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(F.bool_or(F.col(c) < 0), F.lit(c)) for c in negative])).alias("negative"),
-    )
-    none = F.array().cast("array<string>")
-    out = listed.join(per, "file", "left").select(
-        "file", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("missing", none).alias("missing"),
-        F.coalesce("negative", none).alias("negative"))
-    issues = F.concat(
-        F.when(F.col("rows") == 0, F.array(F.lit("empty"))).otherwise(none),
-        F.transform("missing", lambda c: F.concat(F.lit("missing_"), c)),
-        F.transform("negative", lambda c: F.concat(F.lit("negative_"), c)),
-    )
-    return out.withColumn("issues", issues)
-
-
 def empty_partitions(expected: DataFrame, df: DataFrame, part_col: str) -> DataFrame:
     """Expected partition keys without any row (anti join)."""
     return expected.select(part_col).distinct().join(df.select(part_col).distinct(), part_col, "left_anti")

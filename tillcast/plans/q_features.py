@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tillcast.config import EWM_SPANS, FeatureConfig
 from tillcast.functions import dates
 from tillcast.functions.holidays import holiday_calendar, holiday_name_sql, holiday_sql
-from tillcast.operators import cleaning, features
+from tillcast.operators import cleaning, features, series
 from tillcast.plans import sqlgen as G
 from tillcast.plans.oracle import BASE, DAILY, SALES, sql, with_ctes
 from tillcast.plans.registry import query, store_daily_of
@@ -212,6 +214,79 @@ SELECT * REPLACE ({fills}) FROM f"""
 sql("series_features", _series_sql())
 
 
+# --- W01–W09 along series of any length: single order lines of time, cut into blocks --
+#: Rows of a block; small, so that the driver's tables are cut too.
+SERIES_BLOCK = 4096
+ORDER_LAGS, ORDER_WINDOWS = (1, 7, 30), (7, 30)
+
+
+def _order_values(spark, sf_dir):
+    """Every order with its nation; the value of pending orders is unknown (NULL)."""
+    orders = T.read(spark, sf_dir, "orders").join(
+        T.read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey", "left")
+    return orders.select("o_orderkey", F.col("o_orderdate").alias("ordered"), F.col("c_nationkey").alias("nation"),
+                         F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("value"))
+
+
+_ORDER_VALUES = """WITH v AS (
+  SELECT o_orderkey, o_orderdate AS ordered, c_nationkey AS nation, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS value
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+)"""
+
+
+@query("order_value_features", "o_orderkey:bigint, place:bigint, " + ", ".join(
+    [f"value_lag_{k}:double" for k in ORDER_LAGS]
+    + [f"value_rolling_{k}_{f}:double" + "@2" * (f == "std") for k in ORDER_WINDOWS for f in ("mean", "std", "min", "max", "median")]))
+def q_order_value_features(spark, sf_dir):
+    """All orders as one series without a key: lags and rolling statistics in blocks with a halo."""
+    def build(w, place):
+        return [place.alias("place"), *features.lag_columns("value", w, ORDER_LAGS), *features.rolling_columns("value", w, ORDER_WINDOWS)]
+
+    return series.windowed(_order_values(spark, sf_dir), [], ["ordered", "o_orderkey"], build, max(ORDER_LAGS), SERIES_BLOCK)
+
+
+def _order_features_sql() -> str:
+    order = "ORDER BY ordered, o_orderkey"
+    cols = [f"lag(value, {k}) OVER ({order}) AS value_lag_{k}" for k in ORDER_LAGS]
+    for k in ORDER_WINDOWS:
+        over = f"OVER ({order} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+        cols.append(f"{G.window_mean('value', over)} AS value_rolling_{k}_mean")
+        cols += [f"{f}(value) {over} AS value_rolling_{k}_{n}" for f, n in
+                 (("stddev_samp", "std"), ("min", "min"), ("max", "max"), ("median", "median"))]
+    return f"{_ORDER_VALUES}\nSELECT o_orderkey, row_number() OVER ({order}) - 1 AS place, {', '.join(cols)} FROM v"
+
+
+sql("order_value_features", _order_features_sql())
+
+
+@query("order_value_ewm", "o_orderkey:bigint, " + ", ".join(f"value_ewm_{s}:double@2" for s in EWM_SPANS))
+def q_order_value_ewm(spark, sf_dir):
+    """Exponentially weighted order value of each nation, with gaps, as a scan of affine maps."""
+    return series.ewm(_order_values(spark, sf_dir), "value", EWM_SPANS, ["nation"], ["ordered", "o_orderkey"], 64)
+
+
+def _order_ewm_sql() -> str:
+    cols = []
+    for s in EWM_SPANS:
+        a = f"CAST({2.0 / (s + 1.0)!r} AS DOUBLE)"
+        w = f"pow(1 - {a}, e.g)"
+        cols.append(f"list_reduce(past, lambda y, e: {{'x': ({w} * y.x + {a} * e.x) / ({w} + {a}), 'g': e.g}}).x AS value_ewm_{s}")
+    return f"""{_ORDER_VALUES}, p AS (
+  SELECT *, row_number() OVER (PARTITION BY nation ORDER BY ordered, o_orderkey) AS pos FROM v
+), seen AS (
+  SELECT *, pos - max(CASE WHEN value IS NOT NULL THEN pos END) OVER (
+           PARTITION BY nation ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap FROM p
+), l AS (
+  SELECT o_orderkey, list({{'x': value, 'g': CAST(coalesce(gap, 0) AS DOUBLE)}}) FILTER (value IS NOT NULL) OVER (
+           PARTITION BY nation ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS past
+  FROM seen
+)
+SELECT o_orderkey, {', '.join(cols)} FROM l"""
+
+
+sql("order_value_ewm", _order_ewm_sql())
+
+
 # --- D16 -----------------------------------------------------------------------------
 @query("interaction_features", "date:date, product_id:string, store_id_category_interaction:string")
 def q_interaction_features(spark, sf_dir):

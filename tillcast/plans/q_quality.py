@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tillcast.config import IQR_MULTIPLIER, VALUE_RANGES, ZSCORE_LIMIT
 from tillcast.operators import cleaning, quality
 from tillcast.plans.oracle import BASE, DAILY, PROMOTIONS, SALES, TRAFFIC, TRAFFIC_SUMMARY, sql, with_ctes
 from tillcast.plans.registry import query, store_daily_of
-from tillcast.session import materialize
-from tillcast.sources import tables as T
+from tillcast.session import ensure_checkpoint_dir, materialize
+from tillcast.sources import ingest, tables as T
 
 # The cleaning input as it arrives: product lines with store traffic attached
 # (traffic is missing for many store-days, so the profile sees real NULLs).
@@ -48,6 +50,48 @@ sql(
 )
 
 
+# --- V01–V03 file by file -----------------------------------------------------------------
+#: Months whose files lack revenue, and whose files hold quantities as text.
+WITHOUT_REVENUE, TEXT_QUANTITY = 2, 3
+
+
+@query("ingest_file_checks", "month:string, rows:bigint, issues:string")
+def q_ingest_file_checks(spark, sf_dir):
+    """All sales as month files, some with another schema and one without rows, checked from their footers."""
+    cols = ["date", "store_id", "product_id", "quantity_sold", "revenue", "profit"]
+    sales = T.sales(spark, sf_dir).select(*cols, F.date_format("date", "yyyy-MM").alias("month"))
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/month-files-{uuid.uuid4().hex}"
+    number = F.month("date")
+    for part in (
+        sales.where(~number.isin(WITHOUT_REVENUE, TEXT_QUANTITY) | number.isNull()),
+        sales.where(number == WITHOUT_REVENUE).drop("revenue"),
+        sales.where(number == TEXT_QUANTITY).withColumn("quantity_sold", F.col("quantity_sold").cast("string")),
+    ):
+        part.hint("rebalance", "month").write.mode("append").partitionBy("month").parquet(root)
+    sales.where("false").drop("month", "revenue").coalesce(1).write.parquet(f"{root}/month=none")
+    expected = {"date": "date", "store_id": "string", "product_id": "string", "quantity_sold": "bigint", "revenue": "double"}
+    report = ingest.file_report(spark, root, expected, ["revenue", "quantity_sold", "profit"])
+    named = report.withColumn("month", F.regexp_extract("file", "month=([^/]+)/", 1))
+    found = F.transform("issues", lambda x: F.concat_ws(":", x["issue"], x["column"]))
+    return named.groupBy("month").agg(
+        F.sum("rows").alias("rows"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(found)))), ",").alias("issues"))
+
+
+sql(
+    "ingest_file_checks",
+    with_ctes(SALES)
+    + f""",
+m AS (SELECT strftime(date, '%Y-%m') AS month, month(date) AS number, count(*) AS rows, bool_or(revenue < 0) AS r,
+             bool_or(quantity_sold < 0) AS q, bool_or(profit < 0) AS p FROM sales GROUP BY 1, 2)
+SELECT month, rows, array_to_string(list_sort([x FOR x IN [
+         CASE WHEN number = {WITHOUT_REVENUE} THEN 'missing:revenue' WHEN r THEN 'negative:revenue' END,
+         CASE WHEN number = {TEXT_QUANTITY} THEN 'type:quantity_sold' WHEN q THEN 'negative:quantity_sold' END,
+         CASE WHEN p THEN 'negative:profit' END] IF x IS NOT NULL]), ',') AS issues
+FROM m UNION ALL SELECT 'none', 0, 'empty,missing:revenue'""",
+)
+
+
 # --- V04: issue summary ------------------------------------------------------------------
 @query("partition_issue_report", "rows_checked:bigint, issue_count:bigint, first_issues:string")
 def q_partition_issue_report(spark, sf_dir):
