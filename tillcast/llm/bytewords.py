@@ -16,6 +16,8 @@ GROUP_BYTES = 8 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = True
 
 
 @dataclass
@@ -35,8 +37,12 @@ def byte_classes(gaps: bytes, breaks: bytes = b"") -> np.ndarray:
     return table
 
 
-def cut(texts: pa.Array, classes: np.ndarray) -> Words:
-    """Words of all ``texts`` (no nulls), A-Z in lower case; bytes above 0x7F must have one class, so no character is cut."""
+def cut(texts: pa.Array, classes: np.ndarray, lower: bool = True, parts: bool = False) -> Words:
+    """Words of all ``texts`` (no nulls), A-Z in lower case unless told otherwise; bytes above 0x7F must have one class, so no character is cut.
+
+    With ``parts``, words are also cut between a Latin letter and an ASCII
+    character that is no letter and no apostrophe, whichever comes first.
+    """
     texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
@@ -45,13 +51,19 @@ def cut(texts: pa.Array, classes: np.ndarray) -> Words:
     inside = kind == WORD
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
+    if parts:
+        letter = _LETTER[data]
+        latin = letter.copy()
+        latin[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        other = inside & (data < 0x80) & ~letter & (data != 0x27)
+        begins[1:] |= (latin[:-1] & other[1:]) | (other[:-1] & letter[1:])
     heads = offsets[:-1][offsets[:-1] < len(data)]
     begins[heads] = inside[heads]
     at = np.flatnonzero(begins)
     row = np.searchsorted(offsets, at, side="right") - 1
     split = np.cumsum(kind == BREAK, dtype=np.int32)[at] if len(at) else np.zeros(0, np.int32)
     run = np.cumsum(np.r_[False, (row[1:] != row[:-1]) | (split[1:] != split[:-1])]) if len(at) else split
-    spelled = _LOWER[data[inside]]
+    spelled = _LOWER[data[inside]] if lower else data[inside]
     starts = np.cumsum(inside, dtype=np.int64)[at] - 1 if len(at) else np.zeros(0, np.int64)
     ends = np.r_[starts, len(spelled)].astype(np.int64)
     words = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(spelled.tobytes())])

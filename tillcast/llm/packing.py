@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.llm import bytewords
 from tillcast.llm.common import written
 
 END_ID = 1
@@ -30,8 +31,10 @@ POPULATION, GENERATIONS = 4, 6
 #: Bins filled below this share go to a merged problem.
 OPEN_BELOW = 0.995
 NO_BIN = -1
-#: Words that a task remembers, and characters whose new words it encodes together.
-_CACHE_WORDS, _GROUP_CHARS = 700_000, 500_000
+#: Words that a task remembers.
+_CACHE_WORDS = 700_000
+#: What the look-up of whole words cuts at; the tokenizer itself drops all other white space.
+_BLANKS = bytewords.byte_classes(b" \n")
 #: Pieces in one Arrow batch out; with their ids, each holds up to four bytes a token.
 _BATCH_PIECES = 512
 #: What the query and the checks compare; the ids themselves are the operator's output.
@@ -59,6 +62,7 @@ class WordEncoder:
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.special = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts: dict[str, bytes] = {"": b""}
         self.old_parts: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {"": b""}
@@ -86,8 +90,11 @@ class WordEncoder:
             self.cores = {"": b""}
         again = self.old_parts.keys() & unseen
         fresh = {p: self.old_parts[p] for p in again}
+        lone = [p for p in unseen - again if p.isascii() and p.isalpha() and p.islower()]
+        self._learn_cores([p for p in lone if p not in self.cores])
+        fresh.update(zip(lone, map(self.cores.__getitem__, lone)))
         latin, other = [], []
-        for part in unseen - again:
+        for part in unseen - fresh.keys():
             m = self._LATIN.match(part)
             if m:
                 latin.append((part, m[1].lower(), m[2]))
@@ -102,23 +109,33 @@ class WordEncoder:
         self.parts.update(fresh)
         return fresh
 
-    def ids_of(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of every text; unseen parts of a group of texts are encoded together."""
-        at = 0
-        while at < len(texts):
-            group, held = [], 0
-            while at < len(texts) and held < _GROUP_CHARS:
-                group.append(texts[at].replace("\n", " ").split(" "))
-                held += len(texts[at])
-                at += 1
-            known = self.parts
-            looked = [list(map(known.get, words)) for words in group]
-            gaps = [(k, [i for i, p in enumerate(parts) if p is None]) for k, parts in enumerate(looked) if None in parts]
-            fresh = self._learn({group[k][i] for k, empty in gaps for i in empty})
-            for k, empty in gaps:
-                for i in empty:
-                    looked[k][i] = fresh[group[k][i]]
-            yield from map(b"".join, looked)
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a column in a row, ``END_ID`` after each text, and where each text begins (and the end).
+
+        Words are cut and numbered on the column's bytes; each different one is
+        looked up once, and its ids are taken by its number.  The tokenizer
+        takes letters in lower case and apart from what follows them, so words
+        are cut there too, unless the column spells out a special token.
+        """
+        octets = texts.buffers()[2]
+        plain = octets is None or not any(x in octets.to_pybytes() for x in self.special)
+        words = bytewords.cut(texts, _BLANKS, lower=plain, parts=plain)
+        spelled = words.spelling.to_pylist()
+        found = list(map(self.parts.get, spelled))
+        if None in found:
+            fresh = self._learn({w for w, x in zip(spelled, found) if x is None})
+            found = [fresh[w] if x is None else x for w, x in zip(spelled, found)]
+        known = np.frombuffer(b"".join(found), dtype="<u4")
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        begin = np.cumsum(size) - size
+        n = size[words.code]
+        before = np.cumsum(n) - n
+        of_text = np.bincount(words.row, weights=n, minlength=len(texts)).astype(np.int64) + 1
+        starts = np.r_[0, np.cumsum(of_text)]
+        out = np.full(starts[-1], END_ID, dtype="<u4")
+        token = np.arange(n.sum())
+        out[token + np.repeat(words.row, n)] = known[token + np.repeat(begin[words.code] - before, n)]
+        return out, starts
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -136,22 +153,35 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(tokenizer_path) or _encoders.setdefault(tokenizer_path, WordEncoder(tokenizer_path))
-        end = np.array([END_ID], dtype="<u4").tobytes()
         uid = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            out, held = [], []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids_of(batch.column("text").to_pylist())):
-                ids += end
-                copy = uid
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    out.append((uid, copy, doc_id, k, k * capacity, len(part) // 4, crc32(part)))
-                    held.append(part)
-                    uid += 1
-                    if len(held) >= _BATCH_PIECES:
-                        yield _batch(out, held)
-                        out, held = [], []
-            yield _batch(out, held)
+        for batch in bytewords.grouped(batches):
+            ids, starts = encoder.ids_of(batch.column("text"))
+            whole = np.diff(starts)
+            n = -(-whole // capacity)
+            row = np.repeat(np.arange(len(n)), n)
+            first = np.repeat(np.cumsum(n) - n, n)
+            place = np.arange(len(row)) - first
+            length = np.minimum(capacity, whole[row] - place * capacity)
+            cuts = np.r_[0, np.cumsum(length)]
+            octets = memoryview(ids).cast("B")
+            checks = [crc32(octets[a:b]) for a, b in zip((4 * cuts[:-1]).tolist(), (4 * cuts[1:]).tolist())]
+            lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids.view("<i4")))
+            out = pa.RecordBatch.from_arrays(
+                [
+                    pa.array(uid + np.arange(len(row))),
+                    pa.array(uid + first),
+                    batch.column("doc_id").take(pa.array(row)),
+                    pa.array(place.astype(np.int32)),
+                    pa.array(place * capacity),
+                    pa.array(length),
+                    pa.array(checks, pa.int64()),
+                    lists,
+                ],
+                names=["uid", "copy", "doc_id", "piece", "start", "length", "ids_crc32", "ids"],
+            )
+            uid += len(row)
+            for at in range(0, len(row), _BATCH_PIECES):
+                yield out.slice(at, _BATCH_PIECES)
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return src.mapInArrow(
@@ -159,18 +189,6 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFr
     )
 
 
-def _batch(rows: list[tuple], parts: list[bytes]) -> pa.RecordBatch:
-    """Rows of ``pieces`` with their ids, which are joined into one list column without a Python number each."""
-    cols = list(zip(*rows)) or [()] * 7
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-    cuts = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype("<i4")
-    ids = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
-    return pa.RecordBatch.from_arrays(
-        [*(pa.array(c, k) for c, k in zip(cols, kinds)), ids],
-        names=["uid", "copy", "doc_id", "piece", "start", "length", "ids_crc32", "ids"],
-    )
-
-
 # ---------------------------------------------------------------------------
 # one problem
 # ---------------------------------------------------------------------------
