@@ -279,7 +279,7 @@ def test_near_duplicates(docs_of, read_rows, distance):
     assert Counter((r.doc_id, r.fp, r.component_id) for r in got) == Counter((i, signed(f), c) for (i, f), c in zip(prints, want))
 
 
-@pytest.mark.parametrize("distance", [1, 2])
+@pytest.mark.parametrize("distance", [0, 1, 2, 3, 4])
 def test_links_of_crowded_fingerprints(spark, distance):
     """Fingerprints around a few centres, in the same and in both segments."""
     rng = random.Random(distance)
@@ -293,6 +293,10 @@ def test_links_of_crowded_fingerprints(spark, distance):
     values = sorted(values)
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     df = spark.createDataFrame([(signed(x),) for x in values], "fp long")
+    for hot in (simhash.HOT_PAIRS, 30) if distance == 2 else (300,):  # with and without splitting of crowded values
+        got = [(r.u, r.v) for r in simhash.links(df, distance, hot).collect()]
+        want = {(signed(x), signed(y)) for x in values for y in values if signed(x) < signed(y) and (x ^ y).bit_count() <= distance}
+        assert len(got) == len(set(got)) and set(got) == want
     from tillcast.llm.graph import connected_components
 
     found = {r.node: r.root for r in connected_components(simhash.links(df, distance)).collect()}
@@ -305,6 +309,16 @@ def test_links_of_crowded_fingerprints(spark, distance):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_segments_and_radii():
+    """Segments cut the 64 bits; whatever bits differ, one segment is within its radius."""
+    for number in (1, 10**5, 10**7, 10**10):
+        for distance in range(7):
+            parts = simhash.segments(number, distance)
+            assert sorted(b for p in parts for b in p) == list(range(64))
+            radii = simhash._radii(len(parts), distance)
+            assert min(radii) >= -1 and sum(r + 1 for r in radii) == distance + 1
+
+
 def test_dedupe_keeps_one_of_each(docs_of, read_rows):
     rows = near_rows(read_rows)
     docs = docs_of(rows)

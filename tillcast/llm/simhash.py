@@ -1,10 +1,11 @@
-"""SimHash near-duplicates found by Hamming balls that meet half way."""
+"""SimHash near-duplicates by multi-index hashing over fingerprint segments."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,10 @@ from tillcast.llm.common import packed, written
 from tillcast.llm.graph import connected_components
 
 BITS = 64
-SEGMENTS = 2
+#: Candidate pairs of one segment value that are joined at once; larger values are split by further segments.
+HOT_PAIRS = 4096
+#: Values in a ball of bits that differ, at most, for splitting such values further.
+MOST_FLIPS = 4096
 _HASHED_AT_ONCE = 1 << 16
 
 
@@ -56,44 +60,119 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return src.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
-def _balls(radius: int) -> list[int]:
-    """XOR masks of the Hamming balls inside each segment (the centre once), as signed longs."""
-    width = BITS // SEGMENTS
-    masks = {0}
-    for s in range(SEGMENTS):
-        for k in range(1, radius + 1):
-            masks |= {sum(1 << (s * width + b) for b in bits) for bits in combinations(range(width), k)}
-    return sorted(m - (1 << BITS) if m >> (BITS - 1) else m for m in masks)
+def _signed(x: int) -> int:
+    return x - (1 << BITS) if x >> (BITS - 1) else x
 
 
-def links(distinct: DataFrame, max_distance: int = 2) -> DataFrame:
-    """Edges ``(u, v)`` between distinct fingerprints ``fp`` that connect all pairs within ``max_distance`` bits.
+def _ball(places: list[int], radius: int) -> list[int]:
+    """XOR masks that flip up to ``radius`` of the bits at ``places``."""
+    return [sum(1 << b for b in some) for k in range(radius + 1) for some in combinations(places, k)]
 
-    Each fingerprint is entered under itself and under every value one bit
-    away.  Two fingerprints differ in at most two bits exactly if they meet
-    under such a value, half way.  A value is reached by at most 65
-    fingerprints, so an entry stays small however many near copies there are.
-    The members of an entry are within two bits of one another by
-    construction (the filter on the distance only states it); each is linked
-    to the smallest one.  This is not multi-index hashing, which keeps tables
-    by segment and serves any distance.  Supported: 0, 1 or 2 bits.
+
+def segments(number: int, max_distance: int) -> list[list[int]]:
+    """Bit places of the segments for ``number`` fingerprints: as many as make probes and chance matches fewest."""
+
+    def cost(m: int) -> float:
+        width = BITS // m
+        return m * sum(comb(width, k) for k in range(max_distance // m + 1)) * (1 + number / 2.0**width)
+
+    m = min(range(1, 5), key=cost)
+    cuts = [BITS * k // m for k in range(m + 1)]
+    return [list(range(a, b)) for a, b in zip(cuts, cuts[1:])]
+
+
+def _radii(count: int, budget: int) -> list[int]:
+    """Radii of ``count`` segments, of which one must hold if at most ``budget`` bits differ in all; -1: need not be looked at.
+
+    Were more than these bits different in every segment, they would add up to
+    more than ``budget``.
+    """
+    return [budget // count - (k > budget % count) for k in range(count)]
+
+
+def links(distinct: DataFrame, max_distance: int = 2, hot_pairs: int = HOT_PAIRS) -> DataFrame:
+    """Pairs ``(u, v)``, u < v, of distinct fingerprints ``fp`` that differ in at most ``max_distance`` bits: all of them.
+
+    Multi-index hashing: a table for each segment of the 64 bits holds the
+    fingerprints by their value there.  Each fingerprint probes the tables with
+    all values in a small Hamming ball around its own segment, fetches the
+    matches and verifies the complete distance.
+
+    A value with more than ``hot_pairs`` candidate pairs is not joined: its
+    fingerprints go to tables by this and one more segment, with balls for the
+    bits that are left to differ, and so on.  With all segments in the key an
+    entry is a single fingerprint.  (For distances whose last balls would hold
+    more than ``MOST_FLIPS`` values, splitting ends before them.)  No match is
+    lost either way.
     """
-    if max_distance not in (0, 1, 2):
-        raise ValueError("max_distance must be 0, 1 or 2")
     if max_distance == 0:
         return distinct.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
-    if max_distance == 1:  # one side enumerates its balls, the other is looked up as it stands
-        probes = distinct.select(
-            F.col("fp").alias("u"), F.explode(F.array(*[F.lit(m) for m in _balls(1) if m])).alias("mask")
-        ).select("u", F.col("u").bitwiseXOR(F.col("mask")).alias("v"))
-        found = probes.filter("u < v").join(distinct.select(F.col("fp").alias("v")), "v", "left_semi")
-    else:
-        entries = distinct.select("fp", F.explode(F.array(*[F.lit(m) for m in _balls(1)])).alias("mask")).select(
-            F.col("fp"), F.col("fp").bitwiseXOR(F.col("mask")).alias("entry")
+    parts = segments(distinct.count(), max_distance)
+    masks = [sum(1 << b for b in p) for p in parts]
+    levels = next((k for k in range(len(parts), 0, -1) if comb(len(parts[0]), -(-max_distance // (len(parts) - k + 1))) <= MOST_FLIPS), 1)
+
+    def free(k: int):
+        """Whether segment ``k`` is not in the key yet."""
+        return F.col("mask").bitwiseAND(F.lit(_signed(masks[k]))) == 0
+
+    def tables(rows: DataFrame) -> DataFrame:
+        """Entries (fp, mask) by one segment more."""
+        more = [F.when(free(k), F.col("mask").bitwiseOR(F.lit(_signed(m)))) for k, m in enumerate(masks)]
+        return rows.select("fp", F.explode(F.array_compact(F.array(*more))).alias("mask"))
+
+    def probes(rows: DataFrame, level: int) -> DataFrame:
+        """Probes (fp, alt, spent, mask): fingerprints with flips in one segment more, so far ``spent`` flips."""
+        count, widest = len(parts) - level + 1, -(-max_distance // (len(parts) - level + 1))
+        flips = F.array(*[
+            F.struct(F.lit(k).alias("k"), F.lit(_signed(masks[k])).alias("m"), F.lit(_signed(flip)).alias("flip"), F.lit(flip.bit_count()).alias("n"))
+            for k in range(len(parts)) for flip in _ball(parts[k], min(widest, max_distance))
+        ])
+        left = F.lit(max_distance) - F.col("spent")
+        radii, seen = [], F.lit(0)
+        for k in range(len(parts)):
+            here = F.floor(left / count).cast("int") - F.when(seen > left % count, 1).otherwise(0)
+            radii.append(F.when(free(k), here).otherwise(-1))
+            seen = seen + F.when(free(k), 1).otherwise(0)
+        dealt = rows.withColumn("radii", F.array(*radii)).select(
+            "fp", "alt", "spent", "mask", F.explode(F.filter(flips, lambda b: b["n"] <= F.get("radii", b["k"]))).alias("b")
+        )
+        return dealt.select(
+            "fp", F.col("alt").bitwiseXOR(F.col("b.flip")).alias("alt"), (F.col("b.n") + F.col("spent")).alias("spent"),
+            F.col("mask").bitwiseOR(F.col("b.m")).alias("mask"),
+        )
+
+    start = distinct.select("fp", F.lit(0).cast("long").alias("mask"))
+    entries = tables(start)
+    asked = probes(start.withColumns({"alt": F.col("fp"), "spent": F.lit(0)}), 1)
+    found = None
+    for level in range(1, levels + 1):
+        entries = entries.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
+        asked = asked.withColumn("value", F.col("alt").bitwiseAND(F.col("mask")))
+        hot, cold_entries, cold_asked = None, entries, asked
+        if level < levels:
+            sizes = entries.groupBy("mask", "value").agg(F.count("*").alias("n"))
+            wanted = asked.groupBy("mask", "value").agg(F.count("*").alias("k"))
+            crowded = sizes.join(wanted, ["mask", "value"]).filter(F.col("n") * F.col("k") > hot_pairs)
+            hot = written(crowded.select("mask", "value"), "hot-values")
+            if hot.isEmpty():
+                hot = None
+            else:
+                cold_entries = entries.join(hot, ["mask", "value"], "left_anti")
+                cold_asked = asked.join(hot, ["mask", "value"], "left_anti")
+        met = cold_asked.select("mask", "value", F.col("fp").alias("a")).join(
+            cold_entries.select("mask", "value", F.col("fp").alias("b")), ["mask", "value"]
         )
-        met = entries.selectExpr("fp as v", "min(fp) over (partition by entry) as u")
-        found = met.filter("u <> v")
-    return found.select("u", "v").filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_distance).distinct()
+        near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
+        pairs = met.filter((F.col("a") != F.col("b")) & near)
+        pairs = pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+        found = pairs if found is None else found.unionByName(pairs)
+        if hot is None:
+            break
+        hot_entries = written(entries.join(hot, ["mask", "value"], "left_semi").select("fp", "mask"), "hot-entries")
+        hot_asked = written(asked.join(hot, ["mask", "value"], "left_semi").drop("value"), "hot-probes")
+        # a fingerprint comes to a longer key from each of its parts
+        entries, asked = tables(hot_entries).distinct(), probes(hot_asked, level + 1).distinct()
+    return found.distinct()
 
 
 def components(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
