@@ -366,3 +366,15 @@ def test_html_pages(spark):
         article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
         parts = (" ".join(unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", article))
         assert r.t == "\n".join(p for p in parts if p)
+
+
+def test_crossover_and_migration_beat_best_fit():
+    """Where best fit decreasing misses the bound, islands that evolve and take in each other's elite need fewer bins."""
+    rng = random.Random(8)
+    sizes = [rng.randint(1024, 2048) for _ in range(400)]
+    fit = packing._refit([], sorted(range(400), key=lambda i: -sizes[i]), sizes, 4096)
+    assert len(fit) > -(-sum(sizes) // 4096)
+    elites = [packing.evolve(sizes, 4096, seed, generations=25) for seed in (1, 2)]
+    best = packing.evolve(sizes, 4096, 3, start=elites, generations=25)
+    assert sorted(i for b in best for i in b) == list(range(400)) and all(sum(sizes[i] for i in b) <= 4096 for b in best)
+    assert len(best) <= min(map(len, elites)) <= max(map(len, elites)) < len(fit)
