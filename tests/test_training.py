@@ -49,6 +49,34 @@ def test_fit_keeps_rounds_after_a_small_gain(labeled):
     assert losses[-1] == min(losses)  # refitted up to the best round, the last trees being the best ones
 
 
+def test_cut_ensemble_equals_a_refit(spark, labeled):
+    """The first trees of a fitted ensemble are the ensemble of a shorter fit, also once saved and loaded."""
+    params = {"maxIter": 6, "maxDepth": 3, "stepSize": 0.3, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.7", "seed": 42}
+    cols = training.feature_columns(labeled)
+    train = labeled.where("split = 'train'")
+    whole = training.gbt_pipeline(cols, params=params).fit(train)
+    short = training.gbt_pipeline(cols, params=params | {"maxIter": 3}).fit(train)
+    cut = training.PipelineModel([*whole.stages[:-1], training.first_rounds(whole.stages[-1], 3)])
+    assert cut.stages[-1].getNumTrees == 3 and cut.stages[-1].getMaxIter() == 3
+    assert cut.stages[-1].treeWeights == short.stages[-1].treeWeights
+    path = tempfile.mkdtemp(prefix="tillcast-cut-") + "/model"
+    training.save(cut, path)
+    rows = [sorted((r.date, r.store_id, r.prediction) for r in training.score(m, labeled, "m").collect())
+            for m in (short, cut, training.load(path))]
+    assert rows[0] == rows[1] == rows[2]
+    assert training.first_rounds(whole.stages[-1], 9) is whole.stages[-1]
+    with pytest.raises(ValueError):
+        training.first_rounds(whole.stages[-1], 0)
+
+
+def test_one_fit_per_model(labeled, monkeypatch):
+    fits = []
+    fit = training.GBTRegressor._fit
+    monkeypatch.setattr(training.GBTRegressor, "_fit", lambda self, data: fits.append(1) or fit(self, data))
+    model = training.fit(labeled, {"maxIter": 8, "maxDepth": 6, "stepSize": 1.0, "seed": 42})
+    assert fits == [1] and model.stages[-1].getNumTrees < 8  # overfits soon, so rounds are cut
+
+
 def test_both_search_spaces(labeled):
     a = {"maxIter": (2, 3), "maxDepth": (2, 3), "stepSize": (0.05, 0.3), "subsamplingRate": (0.8, 1.0),
          "featureSubset": (0.6, 1.0), "minInfoGain": (0.0, 0.1)}

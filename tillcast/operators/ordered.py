@@ -91,21 +91,34 @@ def label_index(labels: DataFrame, col: str) -> DataFrame:
         col, (F.col("_o") + F.col("_r") - 1).cast("int").alias(f"{col}_index"))
 
 
-def ks_statistic(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
-    """Two-sample Kolmogorov–Smirnov statistic D = max |F_a − F_b| (V19); NULL if a sample is empty.
+def ks_statistics(df: DataFrame, in_a: Column, in_b: Column, cols: Sequence[str]) -> DataFrame:
+    """Two-sample Kolmogorov–Smirnov statistic D = max |F_a − F_b| of each column (V19): ``column, ks``.
 
-    Samples are reduced to value counts, outer-joined on value, and the
-    empirical CDFs come from :func:`running_totals`.
+    The samples are the rows for which ``in_a`` and ``in_b`` hold.  All columns
+    go through one plan: one scan reduces them to value counts per column and
+    sample, these are written once, and the empirical CDFs come from one
+    grouped :func:`running_totals`.  NULL where a sample has no value.
     """
-    ca = a.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("na"))
-    cb = b.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("nb"))
-    j = ca.join(cb, "v", "full").fillna(0, ["na", "nb"])
-    tot = j.agg(F.struct(F.sum("na").alias("a"), F.sum("nb").alias("b")).alias("t")).scalar()
-    cum = running_totals(j, "v", ["na", "nb"])
-    d = F.abs(F.try_divide("cum_na", tot["a"]) - F.try_divide("cum_nb", tot["b"]))
-    return cum.agg(F.max(d).alias("ks"))
+    from tillcast.session import written
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
+    sides = df.select(F.coalesce(in_a, F.lit(False)).cast("long").alias("na"),
+                      F.coalesce(in_b, F.lit(False)).cast("long").alias("nb"), F.explode(pairs).alias("_p"))
+    counts = sides.select("_p.*", "na", "nb").where("v IS NOT NULL AND na + nb > 0").groupBy("column", "v").agg(
+        F.sum("na").alias("na"), F.sum("nb").alias("nb"))
+    counts = written(counts, "value-counts")
+    totals = counts.groupBy("column").agg(F.sum("na").alias("ta"), F.sum("nb").alias("tb"))
+    cum = _joined(running_totals(counts, "v", ["na", "nb"], ["column"]), totals, ["column"])
+    gap = F.abs(F.try_divide("cum_na", "ta") - F.try_divide("cum_nb", "tb"))
+    found = cum.groupBy("column").agg(F.max(gap).alias("ks"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(found, "column", "left")
+
+
+def ks_statistic(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
+    """:func:`ks_statistics` of one column of two tables: one row ``ks`` (NULL if a sample is empty)."""
+    both = a.select(col, F.lit(True).alias("_a")).unionByName(b.select(col, F.lit(False).alias("_a")))
+    return ks_statistics(both, F.col("_a"), ~F.col("_a"), [col]).select("ks")
 
 
 def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], col: str, probs: Sequence[float],

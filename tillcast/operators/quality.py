@@ -134,9 +134,10 @@ def column_profile(df: DataFrame) -> DataFrame:
 def outlier_counts(df: DataFrame, method: str = "iqr", cols: Sequence[str] | None = None) -> DataFrame:
     """Per numeric column, values outside 1.5·IQR fences or with |z| > 3.
 
-    Columns are stacked to (column, value) rows; fences are exact quartiles
-    per column (``ordered.grouped_quantiles``), or mean and standard deviation.
-    A constant column has no z-score, so no outliers.
+    Columns are stacked and reduced to value counts, which are written once:
+    fences (exact quartiles per column, ``ordered.grouped_quantiles``) and the
+    outliers both come from those.  z-scores use mean and standard deviation;
+    a constant column has none, so no outliers.
     """
     cols = list(cols) if cols is not None else _numeric(df)
     if method not in ("iqr", "zscore"):
@@ -144,15 +145,16 @@ def outlier_counts(df: DataFrame, method: str = "iqr", cols: Sequence[str] | Non
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
     long = df.select(F.explode(pairs).alias("_p")).select("_p.*")
     if method == "iqr":
+        long = written(long.where("v IS NOT NULL").groupBy("column", "v").agg(F.count(F.lit(1)).alias("n")), "value-counts")
         iqr = F.col("q_1") - F.col("q_0")
-        bounds = grouped_quantiles(long, ["column"], "v", [0.25, 0.75]).select(
+        bounds = grouped_quantiles(long, ["column"], "v", [0.25, 0.75], "n").select(
             "column", (F.col("q_0") - IQR_MULTIPLIER * iqr).alias("lo"), (F.col("q_1") + IQR_MULTIPLIER * iqr).alias("hi"))
-        out = (F.col("v") < F.col("lo")) | (F.col("v") > F.col("hi"))
+        out = F.sum(F.when((F.col("v") < F.col("lo")) | (F.col("v") > F.col("hi")), F.col("n")).otherwise(0))
     else:
         bounds = long.groupBy("column").agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s"))
-        out = F.abs(F.try_divide(F.col("v") - F.col("m"), F.col("s"))) > ZSCORE_LIMIT
+        out = F.count_if(F.abs(F.try_divide(F.col("v") - F.col("m"), F.col("s"))) > ZSCORE_LIMIT)
     # one row per column of a fixed list, so the bounds may be broadcast
-    counts = long.join(F.broadcast(bounds), "column").groupBy("column").agg(F.count_if(out).alias("outliers"))
+    counts = long.join(F.broadcast(bounds), "column").groupBy("column").agg(out.alias("outliers"))
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
     return names.join(counts, "column", "left").select(
         "column", F.coalesce("outliers", F.lit(0)).cast("long").alias("outliers"), F.lit(method).alias("method"))

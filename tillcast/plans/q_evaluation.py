@@ -396,12 +396,8 @@ sql("distribution_shift", _shift_sql())
 
 @query("ks_drift", "column:string, ks:double, drift:boolean")
 def q_ks_drift(spark, sf_dir):
-    lab = labeled(spark, sf_dir)
-    a, b = lab.where(F.col("split") == "train"), lab.where(F.col("split") == "test")
-    parts = [ordered.ks_statistic(a, b, c).select(F.lit(c).alias("column"), "ks") for c in DRIFT_COLS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    sides = labeled(spark, sf_dir).select("split", *DRIFT_COLS)
+    out = ordered.ks_statistics(sides, F.col("split") == "train", F.col("split") == "test", DRIFT_COLS)
     return out.withColumn("drift", F.col("ks") > KS_THRESHOLD)
 
 

@@ -22,7 +22,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,9 +68,9 @@ def fit(labeled: DataFrame, params: Mapping | None = None, target: str = "total_
     """Boost on the train rows, and keep the rounds up to the best one on the validation rows.
 
     All rounds are fitted once; the loss after each round is measured on the
-    validation rows (``evaluateEachIteration``, one pass); boosting is
-    repeated up to the best round only if that is not the last one (the same
-    seed gives the same trees).  Without validation rows all rounds stay.
+    validation rows (``evaluateEachIteration``, one pass), and the fitted
+    ensemble is cut to its best rounds (:func:`first_rounds`).  Without
+    validation rows all rounds stay.
     """
     ensure_checkpoint_dir(labeled.sparkSession)
     p = dict(MODEL_A if params is None else params)
@@ -81,9 +81,30 @@ def fit(labeled: DataFrame, params: Mapping | None = None, target: str = "total_
         return model
     prepared = PipelineModel(model.stages[:-1]).transform(held)
     rounds = best_round(model.stages[-1].evaluateEachIteration(prepared, "squared"), patience)
-    if rounds == model.stages[-1].getNumTrees:
+    return PipelineModel([*model.stages[:-1], first_rounds(model.stages[-1], rounds)])
+
+
+def first_rounds(model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The ensemble of the first ``rounds`` trees of a fitted one.
+
+    Boosting adds trees one after the other, so this equals a fit with
+    ``maxIter=rounds`` and the same seed.  All trees stay if there are no more.
+    """
+    if rounds < 1:
+        raise ValueError("rounds must be at least 1")
+    if rounds >= model.getNumTrees:
         return model
-    return gbt_pipeline(cols, target, p | {"maxIter": rounds}).fit(train)
+    sc = SparkSession.active().sparkContext
+    regression = sc._jvm.org.apache.spark.ml.regression
+    fitted = model._java_obj
+    all_trees, all_weights = fitted.trees(), fitted.treeWeights()
+    trees = sc._gateway.new_array(regression.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(sc._jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = all_trees[i], all_weights[i]
+    cut = regression.GBTRegressionModel(model.uid, trees, weights, model.numFeatures)
+    settings = fitted.extractParamMap().put(fitted.maxIter(), rounds)
+    return GBTRegressionModel._from_java(fitted.copyValues(cut, settings))
 
 
 def score(model: PipelineModel, df: DataFrame, name: str, target: str = "total_revenue") -> DataFrame:
