@@ -7,11 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from tillcast.config import IQR_MULTIPLIER, VALUE_RANGES, ZSCORE_LIMIT
-from tillcast.operators import cleaning, quality
+from tillcast.operators import cleaning, profiles, quality
 from tillcast.plans.oracle import BASE, DAILY, PROMOTIONS, SALES, TRAFFIC, TRAFFIC_SUMMARY, sql, with_ctes
 from tillcast.plans.registry import query, store_daily_of
 from tillcast.session import ensure_checkpoint_dir, materialize
-from tillcast.sources import ingest, tables as T
+from tillcast.sources import ingest, quarantine, tables as T
 
 # The cleaning input as it arrives: product lines with store traffic attached
 # (traffic is missing for many store-days, so the profile sees real NULLs).
@@ -209,6 +209,103 @@ def _profile_sql() -> str:
 sql("column_profile", _profile_sql())
 
 
+# --- V07–V09, V17, V19 from profiles kept by day ------------------------------------------
+PROFILE_COLS = ["store_id", "product_id", "category", "quantity_sold", "revenue", "cost", "profit", "discount_percent"]
+PROFILE_NUMBERS = PROFILE_COLS[3:]
+
+
+def _kept_profiles(spark, sf_dir):
+    """Profiles of all days of the sales, as two deliveries leave them: odd days first, then the even ones."""
+    sales = T.sales(spark, sf_dir).select("date", *PROFILE_COLS)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/day-profiles-{uuid.uuid4().hex}"
+    odd = F.dayofmonth("date") % 2 == 1
+    profiles.store_profiles(profiles.day_profiles(sales.where(odd), "date", PROFILE_COLS), root)
+    profiles.store_profiles(profiles.day_profiles(sales.where(~odd), "date", PROFILE_COLS), root)
+    return spark.read.parquet(root)
+
+
+@query("merged_profile", "column:string, rows:bigint, nulls:bigint, mean:double@2, std:double@2, min:double, max:double")
+def q_merged_profile(spark, sf_dir):
+    return profiles.merged(_kept_profiles(spark, sf_dir)).withColumnsRenamed({"lo": "min", "hi": "max"})
+
+
+sql(
+    "merged_profile",
+    with_ctes(SALES)
+    + "\nSELECT * FROM ("
+    + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls, "
+        + (f"avg({c}) AS mean, stddev_samp({c}) AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max"
+           if c in PROFILE_NUMBERS else "NULL::DOUBLE AS mean, NULL::DOUBLE AS std, NULL::DOUBLE AS min, NULL::DOUBLE AS max")
+        + " FROM sales WHERE date IS NOT NULL" for c in PROFILE_COLS)
+    + ") WHERE rows > 0",
+)
+
+
+@query("sketch_accuracy", "column:string, distinct_values:bigint, distinct_close:boolean, quantiles_close:boolean")
+def q_sketch_accuracy(spark, sf_dir):
+    """The merged sketches against exact counts and ranks of the same rows, within the stated errors."""
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    kept = profiles.merged(_kept_profiles(spark, sf_dir)).select(
+        "column", "n", profiles.distinct_count().alias("guess"), profiles.quantiles(probs).alias("at"))
+    sales = T.sales(spark, sf_dir).where("date IS NOT NULL")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("s"),
+                               (F.col(c).cast("double") if c in PROFILE_NUMBERS else F.lit(None).cast("double")).alias("x"))
+                      for c in PROFILE_COLS])
+    values = sales.select(F.explode(pairs).alias("p")).select("p.*").groupBy("column", "s", "x").agg(F.count(F.lit(1)).alias("k"))
+    # one row per profiled column
+    placed = values.join(F.broadcast(kept), "column")
+    below = [F.sum(F.when(F.col("x") < F.col("at")[i], F.col("k")).otherwise(0)) for i in range(len(probs))]
+    upto = [F.sum(F.when(F.col("x") <= F.col("at")[i], F.col("k")).otherwise(0)) for i in range(len(probs))]
+    slack = F.lit(profiles.RANK_ERROR) * F.first("n")
+    near = [(lo - slack <= p * F.first("n")) & (hi + slack >= p * F.first("n")) for p, lo, hi in zip(probs, below, upto)]
+    within = near[0]
+    for x in near[1:]:
+        within = within & x
+    out = placed.groupBy("column").agg(
+        F.count("s").alias("distinct_values"), F.first("guess").alias("guess"),
+        F.when(F.first("n") > 0, within).otherwise(True).alias("quantiles_close"))  # no numbers, none wrong
+    error = F.abs(F.col("guess") - F.col("distinct_values"))
+    return out.withColumn("distinct_close", error <= F.col("distinct_values") * profiles.DISTINCT_ERROR + 1)
+
+
+sql(
+    "sketch_accuracy",
+    with_ctes(SALES)
+    + "\n"
+    + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_values, true AS distinct_close, "
+        "true AS quantiles_close "
+        "FROM sales WHERE date IS NOT NULL HAVING count(*) > 0" for c in PROFILE_COLS),
+)
+
+
+# --- V04/V13 while rows come in ----------------------------------------------------------
+INGEST_RANGES = {"quantity_sold": (1, 45), "revenue": (0.0, 50_000.0), "profit": (0.0, 1_000_000.0)}
+
+
+@query("ingest_quarantine", "rule:string, failed:bigint, passed:bigint, quarantined:bigint, good_rows:bigint")
+def q_ingest_quarantine(spark, sf_dir):
+    """All sales written in one pass: observed counts beside the rows found in either output."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/ingest-{uuid.uuid4().hex}"
+    done = quarantine.ingest(T.sales(spark, sf_dir), quality.contract_rules(INGEST_RANGES), root)
+    held = done.failed.select(F.explode("failed_rules").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("quarantined"))
+    good = done.good.agg(F.count(F.lit(1)).alias("good_rows"))
+    return done.counts.join(held, "rule", "left").fillna(0, ["quarantined"]).crossJoin(good)  # one row
+
+
+def _quarantine_sql() -> str:
+    rules = {f"{c}_{name}": f"{c} {op} {bound!r}" for c, (lo, hi) in INGEST_RANGES.items()
+             for name, op, bound in (("ge_min", "<", lo), ("le_max", ">", hi))}
+    any_rule = " OR ".join(f"coalesce({e}, false)" for e in rules.values())
+    return with_ctes(SALES) + f",\ng AS (SELECT count_if(NOT ({any_rule})) AS good_rows FROM sales)\n" + "\nUNION ALL ".join(
+        f"SELECT '{r}' AS rule, count_if({e}) AS failed, count(*) - count_if({e}) AS passed, count_if({e}) AS quarantined, "
+        f"(SELECT good_rows FROM g) AS good_rows FROM sales" for r, e in rules.items())
+
+
+sql("ingest_quarantine", _quarantine_sql())
+
+
 # --- V10/V11 ------------------------------------------------------------------------------
 # the bounds pass and the counting pass read the same joined input: checkpoint it once
 @query("outliers_iqr", "column:string, outliers:bigint, method:string")
