@@ -153,3 +153,12 @@ def test_run_table(spark, labeled, bundle):
     assert training.best_run(runs, "r2").first().run_id == "b"
     r = runs.where("run_id = 'a'").first()
     assert r.train_rows + r.validation_rows + r.test_rows == labeled.count() and r.features == len(bundle.features)
+
+
+def test_forecast_intervals_hold_the_prediction(bundle, store_days):
+    preds = training.model_forecast(bundle, store_days, horizon=2)
+    rows = training.forecast_intervals(bundle, preds).collect()
+    assert len(rows) == preds.count() and {r.model for r in rows} == {"model_a", "model_b", "ensemble"}
+    for r in rows:
+        assert r.lower_80 <= r.predicted_sales <= r.upper_80 and r.upper_80 - r.lower_80 > 0
+        assert r.lower_95 is None or (r.lower_95 <= r.lower_80 and r.upper_95 >= r.upper_80)

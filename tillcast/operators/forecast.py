@@ -19,7 +19,7 @@ from tillcast.config import (
     MISSING_COLUMN_DEFAULTS, ROLLING_WINDOWS,
 )
 from tillcast.functions import dates
-from tillcast.operators.ordered import grouped_quantiles
+from tillcast.operators.ordered import grouped_quantiles, running_totals
 
 
 def tail_statistics(history: DataFrame, target: str = "total_revenue", date_col: str = "date",
@@ -141,3 +141,53 @@ def residual_intervals(preds: DataFrame, residuals: DataFrame, levels: Sequence[
         cols[f"lower_{tag}"] = F.col(col) + F.col(f"q_{lo}")
         cols[f"upper_{tag}"] = F.col(col) + F.col(f"q_{hi}")
     return out.withColumns(cols).drop(*[f"q_{i}" for i in range(len(qs))])
+
+
+def _level_names(levels: Sequence[float]) -> dict[float, str]:
+    return {lv: f"{lv * 100:g}".replace(".", "_") for lv in levels}
+
+
+def conformal_widths(residuals: DataFrame, group_cols: Sequence[str] = ("model", "store_id"),
+                     levels: Sequence[float] = CONFIDENCE_LEVELS) -> DataFrame:
+    """Split-conformal half-widths from held-out ``residual``s: ``group_cols…, n, width_{level}``.
+
+    The width of a level is the ⌈(n + 1)·level⌉-th smallest absolute residual
+    of the group, which covers a new exchangeable value with at least that
+    probability; it is NULL where the group is too small for the level.  NULL
+    residuals take no part, equal ones count as often as they occur.  Values
+    are reduced to counts and ranked over value ranges, so a group of any size
+    is spread over tasks.
+    """
+    groups = list(group_cols)
+    scores = residuals.where(F.col("residual").isNotNull()).groupBy(*groups, F.abs("residual").alias("_a")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    n = F.col("n")
+    sizes = scores.groupBy(*groups).agg(F.sum("_n").alias("n")).withColumnsRenamed({g: f"_g_{g}" for g in groups})
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups] or F.lit(True)
+    ranked = running_totals(scores, "_a", ["_n"], groups).join(sizes, same).drop(*[f"_g_{g}" for g in groups])
+    widths = [F.min(F.when(F.col("cum__n") >= F.ceil((n + 1) * F.lit(float(lv)) - 1e-9), F.col("_a"))).alias(f"width_{name}")
+              for lv, name in _level_names(levels).items()]
+    return ranked.groupBy(*groups).agg(F.first("n").alias("n"), *widths)
+
+
+def with_intervals(preds: DataFrame, residuals: DataFrame, levels: Sequence[float] = CONFIDENCE_LEVELS,
+                   col: str = "predicted_sales", pool_cols: Sequence[str] = ("model",),
+                   series_cols: Sequence[str] = ("store_id",)) -> DataFrame:
+    """``preds`` with ``lower_{level}, upper_{level}``, the prediction ± its series' conformal width.
+
+    A series without enough residuals for a level takes the width over all
+    series of its ``pool_cols``; without that either, its bounds are NULL.
+    """
+    groups, pool = [*pool_cols, *series_cols], list(pool_cols)
+    out = preds
+    for by, tag in ((groups, "s"), (pool, "p")):
+        w = conformal_widths(residuals, by, levels).drop("n")
+        w = w.select(*[F.col(g).alias(f"_{tag}_{g}") for g in by],
+                     *[F.col(f"width_{x}").alias(f"_{tag}w_{x}") for x in _level_names(levels).values()])
+        same = [F.col(g).eqNullSafe(F.col(f"_{tag}_{g}")) for g in by] or F.lit(True)
+        out = out.join(w, same, "left")
+    bounds = {}
+    for name in _level_names(levels).values():
+        width = F.coalesce(F.col(f"_sw_{name}"), F.col(f"_pw_{name}"))
+        bounds |= {f"lower_{name}": F.col(col) - width, f"upper_{name}": F.col(col) + width}
+    return out.select(*[F.col(f"`{c}`") for c in preds.columns], *[c.alias(x) for x, c in bounds.items()])

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillcast.config import ENSEMBLE_MIN_WEIGHT, FORECAST_BAND, HISTOGRAM_BINS, IQR_MULTIPLIER, KS_THRESHOLD, RMSE_ALERT
+from tillcast.config import CONFIDENCE_LEVELS, ENSEMBLE_MIN_WEIGHT, FORECAST_BAND, HISTOGRAM_BINS, IQR_MULTIPLIER, KS_THRESHOLD, RMSE_ALERT
 from tillcast.functions.stats import normal_ppf_sql
-from tillcast.operators import diagnostics, evaluation, features, ordered, quality, split
+from tillcast.operators import backtest, diagnostics, evaluation, features, forecast, ordered, quality, split
 from tillcast.plans.oracle import BASE, sql
 from tillcast.plans.q_features import FEATURE_FRAME_SQL
 from tillcast.plans.registry import query, store_daily_of
@@ -368,6 +368,81 @@ sql(
 )
 
 
+# --- M12: backtest with a moving origin -------------------------------------------------------------
+FOLDS = 5
+
+
+@query("backtest_metrics", "fold:int, model:string, metric:string, value:double@2")
+def q_backtest_metrics(spark, sf_dir):
+    days = materialize(store_daily_of(spark, sf_dir).select("date", "store_id", "total_revenue"))
+    return backtest.fold_metrics(backtest.rolling_origin(days, FOLDS))
+
+
+sql(
+    "backtest_metrics",
+    BASE
+    + f""",
+days AS (SELECT date, ntile({FOLDS + 1}) OVER (ORDER BY date) AS b FROM (SELECT DISTINCT date FROM store_daily WHERE date IS NOT NULL)),
+d AS (SELECT s.date, s.store_id, CAST(s.total_revenue AS DOUBLE) AS y, days.b, isodow(s.date) AS wd
+      FROM store_daily s JOIN days ON s.date = days.date WHERE s.total_revenue IS NOT NULL),
+tr AS (SELECT f.fold, d.* FROM (SELECT unnest(range(1, {FOLDS + 1})) AS fold) f JOIN d ON d.b <= f.fold),
+h AS (SELECT fold, store_id, arg_max(y, (date, y)) AS last_value, avg(y) AS series_mean FROM tr GROUP BY fold, store_id),
+w AS (SELECT fold, store_id, wd, avg(y) AS weekday_mean FROM tr GROUP BY fold, store_id, wd),
+v AS (SELECT d.b - 1 AS fold, d.y, h.last_value, h.series_mean, w.weekday_mean
+      FROM d LEFT JOIN h ON h.fold = d.b - 1 AND h.store_id = d.store_id
+             LEFT JOIN w ON w.fold = d.b - 1 AND w.store_id = d.store_id AND w.wd = d.wd WHERE d.b > 1),
+p AS (SELECT fold, 'last_value' AS model, y, last_value AS x FROM v UNION ALL SELECT fold, 'series_mean', y, series_mean FROM v
+      UNION ALL SELECT fold, 'weekday_mean', y, weekday_mean FROM v),
+m AS (SELECT fold, model, sqrt(avg((y - x) * (y - x))) AS rmse, avg(abs(y - x)) AS mae,
+             1 - sum((y - x) * (y - x)) / (var_pop(y) * count(*)) AS r2 FROM p WHERE x IS NOT NULL GROUP BY fold, model)
+SELECT fold, model, 'rmse' AS metric, rmse AS value FROM m UNION ALL SELECT fold, model, 'mae', mae FROM m
+UNION ALL SELECT fold, model, 'r2', r2 FROM m""",
+)
+
+
+# --- T05: interval levels ----------------------------------------------------------------------------
+@query("interval_coverage", "model:string, level:int, rows:bigint, covered:bigint, mean_width:double@2")
+def q_interval_coverage(spark, sf_dir):
+    """Widths from the validation rows of every store and model, tried on the test rows."""
+    preds = materialize(predictions(spark, sf_dir).where(
+        "split IN ('validation', 'test') AND actual IS NOT NULL AND prediction IS NOT NULL"))
+    held = diagnostics.residuals(preds.where("split = 'validation'"))
+    out = forecast.with_intervals(preds.where("split = 'test'"), held, col="prediction")
+    levels = [F.struct(F.lit(round(lv * 100)).alias("level"), F.col(f"lower_{round(lv * 100)}").alias("lo"),
+                       F.col(f"upper_{round(lv * 100)}").alias("hi")) for lv in CONFIDENCE_LEVELS]
+    long = out.select("model", "actual", F.explode(F.array(*levels)).alias("i")).select("model", "actual", "i.*")
+    return long.groupBy("model", "level").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("actual").between(F.col("lo"), F.col("hi"))).alias("covered"),
+        (F.avg(F.col("hi") - F.col("lo")) / 2).alias("mean_width"))
+
+
+def _coverage_sql() -> str:
+    def rank(n: str, lv: float) -> str:
+        return f"ceil(({n} + 1) * {_d(lv)} - {_d(1e-9)})"
+
+    own = ", ".join(f"min(CASE WHEN k >= {rank('n', lv)} THEN a END) AS w{round(lv * 100)}" for lv in CONFIDENCE_LEVELS)
+    pool = ", ".join(f"min(CASE WHEN kp >= {rank('np', lv)} THEN a END) AS w{round(lv * 100)}" for lv in CONFIDENCE_LEVELS)
+    parts = "\nUNION ALL ".join(
+        f"SELECT t.model, {round(lv * 100)} AS level, t.actual, t.prediction, coalesce(o.w{round(lv * 100)}, q.w{round(lv * 100)}) AS w "
+        "FROM t LEFT JOIN own o ON o.model = t.model AND o.store_id = t.store_id LEFT JOIN pool q ON q.model = t.model"
+        for lv in CONFIDENCE_LEVELS)
+    return EVAL_SQL + f""",
+known AS (SELECT * FROM preds WHERE actual IS NOT NULL AND prediction IS NOT NULL),
+cal AS (SELECT model, store_id, abs(actual - prediction) AS a FROM known WHERE split = 'validation'),
+r AS (SELECT *, row_number() OVER (PARTITION BY model, store_id ORDER BY a) AS k, count(*) OVER (PARTITION BY model, store_id) AS n,
+             row_number() OVER (PARTITION BY model ORDER BY a) AS kp, count(*) OVER (PARTITION BY model) AS np FROM cal),
+own AS (SELECT model, store_id, {own} FROM r GROUP BY model, store_id),
+pool AS (SELECT model, {pool} FROM r GROUP BY model),
+t AS (SELECT * FROM known WHERE split = 'test'),
+x AS ({parts})
+SELECT model, level, count(*) AS rows, count_if(actual BETWEEN prediction - w AND prediction + w) AS covered,
+       avg((prediction + w) - (prediction - w)) / 2 AS mean_width
+FROM x GROUP BY model, level"""
+
+
+sql("interval_coverage", _coverage_sql())
+
+
 # --- drift (V17, V19) ------------------------------------------------------------------------------
 @query("distribution_shift", "column:string, train_mean:double@2, train_std:double@2, current_mean:double@2, shifted:boolean")
 def q_distribution_shift(spark, sf_dir):

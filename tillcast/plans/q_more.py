@@ -297,12 +297,19 @@ sql("scaled_store_days", _scaled_sql())
 
 # --- MLlib models (M01–M05, M07, M08, M10, M11, O03, R09, T01) ---------------------------------
 # Trained trees are beyond SQL; what follows from their predictions is checked in tests/test_training.py.
+_BUNDLES: dict = {}
+
+
 def _trained(spark, sf_dir):
+    """One training run for all queries of a session on the same files."""
     from tillcast.plans import q_evaluation, training
     from tillcast.session import materialize
 
-    lab = materialize(q_evaluation.labeled(spark, sf_dir))
-    return training.train_all(spark, lab)
+    key = (spark.sparkContext.applicationId, sf_dir, T.state(spark, sf_dir))
+    if key not in _BUNDLES:
+        _BUNDLES.clear()
+        _BUNDLES[key] = training.train_all(spark, materialize(q_evaluation.labeled(spark, sf_dir)))
+    return _BUNDLES[key]
 
 
 @query("gbt_test_metrics", "split:string, model:string, metric:string, value:double")
@@ -333,6 +340,17 @@ def q_model_forecast(spark, sf_dir):
     return _model_forecast(spark, sf_dir)
 
 
+@query(
+    "model_forecast_intervals",
+    "date:date, store_id:string, model:string, predicted_sales:double, lower_80:double, upper_80:double, lower_95:double, "
+    "upper_95:double",
+)
+def q_model_forecast_intervals(spark, sf_dir):
+    from tillcast.plans import training
+
+    return training.forecast_intervals(_trained(spark, sf_dir), _model_forecast(spark, sf_dir))
+
+
 @query(
     "model_forecast_summary",
     "store_id:string, model:string, total_predicted_sales:double@2, average_daily_sales:double@2, max_daily_sales:double, "

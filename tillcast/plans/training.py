@@ -26,7 +26,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForest
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.config import EARLY_STOP_ROUNDS, MODEL_A, MODEL_B, SEARCH_SPACE_A, SEARCH_SPACE_B, SEARCH_TRIALS
+from tillcast.config import CONFIDENCE_LEVELS, EARLY_STOP_ROUNDS, MODEL_A, MODEL_B, SEARCH_SPACE_A, SEARCH_SPACE_B, SEARCH_TRIALS
 from tillcast.operators import evaluation
 from tillcast.session import ensure_checkpoint_dir, written
 
@@ -185,8 +185,8 @@ class Bundle:
 def train_all(spark: SparkSession, labeled: DataFrame, target: str = "total_revenue", search_trials: int = 0) -> Bundle:
     """Both models, searched first where ``search_trials`` is positive, and their weighted ensemble.
 
-    Tables: ``predictions`` (test rows of every model), ``metrics``,
-    ``weights``, ``importance``, ``trials``.
+    Tables: ``predictions`` (test rows of every model), ``held_out`` (the
+    validation rows likewise), ``metrics``, ``weights``, ``importance``, ``trials``.
     """
     cols = feature_columns(labeled, target)
     chosen, trials = {"model_a": MODEL_A, "model_b": MODEL_B}, []
@@ -202,8 +202,10 @@ def train_all(spark: SparkSession, labeled: DataFrame, target: str = "total_reve
     weights = written(weights, "weights")
     ens = evaluation.ensemble_predictions(preds.where(F.col("split") == "test"), weights)
     metrics = metrics.unionByName(evaluation.regression_metrics(ens, ["split", "model"]))
+    held = F.col("split") == "validation"
     tables = {
         "predictions": preds.where(F.col("split") == "test").unionByName(ens),
+        "held_out": preds.where(held).unionByName(evaluation.ensemble_predictions(preds.where(held), weights)),
         "metrics": metrics,
         "weights": weights,
         "importance": reduce(DataFrame.unionByName, [importance(spark, m, cols, name) for name, m in models.items()]),
@@ -302,3 +304,16 @@ def model_forecast(bundle: Bundle, history: DataFrame, horizon: int = 30, target
     weights = spark.createDataFrame(list(bundle.weights.items()), "model string, weight double")
     preds = preds.unionByName(evaluation.ensemble_predictions(preds, weights))
     return forecast.with_band(preds.select("date", "store_id", "model", F.col("prediction").alias("predicted_sales")))
+
+
+def forecast_intervals(bundle: Bundle, preds: DataFrame, levels: Sequence[float] = CONFIDENCE_LEVELS) -> DataFrame:
+    """A forecast of :func:`model_forecast` with ``lower_{level}, upper_{level}`` for each confidence level.
+
+    Widths are split-conformal, from each model's residuals on the validation
+    rows of the store (of all stores where a store has too few).  They come
+    from predictions one step ahead with known features, and so are narrow for
+    far days, whose features are constant.
+    """
+    from tillcast.operators import diagnostics, forecast
+
+    return forecast.with_intervals(preds, written(diagnostics.residuals(bundle.tables["held_out"]), "residuals"), levels)

@@ -27,6 +27,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, length and change time of each table (folders: of what lies right in them); differs once a table is rewritten."""
+    conf = spark._jsc.hadoopConfiguration()
+    found = []
+    for name in TABLES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        store = path.getFileSystem(conf)
+        if store.exists(path):
+            found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in store.listStatus(path)]
+    return tuple(sorted(found))
+
+
 def store_key(col: str | Column) -> Column:
     """``store_007`` style identifiers from an integer key (longer keys stay whole, null stays null)."""
     c = F.col(col) if isinstance(col, str) else col
