@@ -358,6 +358,41 @@ def test_html_edges(spark):
     assert got[1] == got[2] == got[4] == got[5] == "" and got[6] == "plain text only, no tags at all" and got[7].count("\n") == 4999
 
 
+def test_html_names_that_only_mention_other_parts():
+    """A word inside a compound class or id does not take the article away; unclosed elements swallow nothing."""
+    tree = html_text.train()
+    body = "<p>" + "word " * 40 + "</p><p>short one</p><p>" + "more " * 35 + "</p>"
+    want = "\n".join([" ".join(["word"] * 40), "short one", " ".join(["more"] * 35)])
+    for page in (
+        f'<div class="content has-sidebar">{body}</div>',
+        f'<div class="page no-sidebar"><article>{body}</article></div>',
+        f'<div class="layout-sidebar-right"><main>{body}</main></div>',
+        f'<div class="site withMenu">{body}</div>',
+        f"<article><button>{body}</article>",
+        f"<article><button><button>x</button>{body}</article>",
+        f"<article><iframe src=x>{body}</article><footer>the end</footer>",
+        f"<article><svg><svg></svg><text>no</text></svg>{body}</article>",
+    ):
+        assert html_text.main_text(page, tree) == want, page
+    share = html_text.main_text(f'<div id="share-story">{body}</div>', tree).split("\n")
+    assert share[0] == want.split("\n")[0] and share[-1] == want.split("\n")[-1]
+    for name in ("comments", "post-comments", "commentList", "cookie-notice", "site-footer", "ad", "sidebar", "nav menu"):
+        page = f'<article>{body}</article><div class="{name}"><p>{"spam " * 50}</p><article>{"reply " * 40}</article></div>'
+        assert html_text.main_text(page, tree) == want, name
+    assert html_text.main_text(f'<article>{body}</article><article class="comment">{"spam " * 40}</article>', tree) == want
+    assert html_text.main_text(f"<article>{body}</article><script>{body}", tree) == want
+
+
+def test_html_tables(spark):
+    """Repeated rows, an empty table, clashing names and a very long page."""
+    long = "<article>" + "<p>" + "w " * 300_000 + "</p></article>"
+    rows = [(1, "<p>a b c d e f g h i j</p>"), (1, "<p>a b c d e f g h i j</p>"), (2, long)]
+    df = spark.createDataFrame(rows, "page_id long, html string").withColumn("text", F.lit("mine")).withColumn("n_chars", F.lit(1))
+    got = [(r.page_id, r.text, len(r.t)) for r in df.select("*", html_text.extract(F.col("html")).alias("t")).orderBy("page_id").collect()]
+    assert got[0] == got[1] and got[2] == (2, "mine", 599_999)
+    assert df.where("false").select(html_text.extract(F.col("html")).alias("t")).count() == 0
+
+
 def test_html_pages(spark):
     import re
     from html import unescape

@@ -31,11 +31,24 @@ HINTS = (
     "alert newsletter subscribe subscription signup popup modal overlay dialog share sharing social related recommended comment "
     "comments commentlist disqus reply replies respond login search form pagination pager toolbar widget"
 )
-_HIDDEN, _INLINE, _CONTAINERS, _OUTSIDE, _HINTS = (frozenset(x.split()) for x in (HIDDEN, INLINE, CONTAINERS, OUTSIDE, HINTS))
+#: Those hints that name no layout of a page's article, so that a compound of them is as good as the word alone.
+PLAIN_HINTS = (
+    "advert advertisement advertising sponsor sponsored breadcrumb breadcrumbs footer contentinfo copyright cookie cookies consent "
+    "gdpr newsletter subscription signup comment comments commentlist disqus reply replies respond pagination pager"
+)
+#: First words of names that say what an element has or lacks, not what it is.
+ABOUT = "has have no not with without hide show is js"
+#: Hidden elements that may hold others of their name.
+NESTS = "svg object template math"
+#: Hidden elements whose content cannot hold markup: without an end tag they reach to the page's end.
+RAW = "script style textarea title"
+_HIDDEN, _INLINE, _CONTAINERS, _OUTSIDE, _HINTS, _PLAIN, _ABOUT, _RAW, _NESTS = (
+    frozenset(x.split()) for x in (HIDDEN, INLINE, CONTAINERS, OUTSIDE, HINTS, PLAIN_HINTS, ABOUT, RAW, NESTS))
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)""", re.S)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_WORDS = re.compile(r"[a-z]+")
-_ENDS = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in _HIDDEN}
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_EDGES = {name: re.compile(rf"<(/?){name}\b[^>]*(?:>|\Z)", re.I) for name in _HIDDEN}
+_HEAD_END = re.compile(r"</head\b[^>]*(?:>|\Z)", re.I)
 
 
 @dataclass
@@ -44,16 +57,60 @@ class Block:
     words: int
     linked: int
     inside: bool  # in an article or main element
-    outside: bool  # in a container marked as something else
+    outside: bool  # in an element that holds no article text, or one whose name says so
+    hinted: bool  # in a container whose compound name has such a word in it
     heading: bool
 
 
-def _is_outside(name: str, attributes: str, inside: bool) -> bool:
+def _hint(attributes: str, known: frozenset[str] = _HINTS) -> int:
+    """How much class, id and role say that an element is no article: 2 a whole name does, 1 a word in a compound, 0 nothing."""
+    level = 0
+    for m in _NAMES.finditer(attributes):
+        for name in m[1].strip("\"'").split():
+            words = [w.lower() for w in _WORDS.findall(name)]
+            if not words or words[0] in _ABOUT:
+                continue
+            found = [w for w in words if w in known]
+            if len(found) == len(words) or not _PLAIN.isdisjoint(found):
+                return 2
+            if found:
+                level = 1
+    return level
+
+
+def _level(name: str, attributes: str, inside: bool, above: int) -> int:
+    """Level of an opened container inside one of level ``above``; an article in a merely hinted one starts anew."""
     if name in _OUTSIDE or name == "header" and not inside:
-        return True
-    if name in ("body", "article", "main") or not attributes:
-        return False
-    return any(w in _HINTS for m in _NAMES.finditer(attributes) for w in _WORDS.findall(m[1].lower()))
+        return 2
+    if name in ("body", "article", "main"):
+        own = 2 if name == "article" and _hint(attributes, _PLAIN) == 2 else 0
+        return max(own, above if above == 2 else 0)
+    return max(above, _hint(attributes) if attributes else 0)
+
+
+def _hidden_end(name: str, html: str, at: int) -> int:
+    """Where the content of a hidden element that starts at ``at`` ends.
+
+    Its end tag counts only if no element of the name opens before it; a raw
+    one without an end tag reaches to the end, any other is taken as empty.
+    """
+    edge = _EDGES[name].search(html, at)
+    if name in _RAW:
+        while edge and not edge[1]:
+            edge = _EDGES[name].search(html, edge.end())
+        return edge.end() if edge else len(html)
+    depth = 1
+    while edge:
+        if edge[1]:
+            depth -= 1
+            if not depth:
+                return edge.end()
+        elif name in _NESTS:
+            depth += 1
+        else:
+            return at
+        edge = _EDGES[name].search(html, edge.end())
+    return at
 
 
 def blocks(html: str) -> list[Block]:
@@ -61,14 +118,14 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     text: list[str] = []
     state = {"linked": 0, "link": False, "heading": False}
-    stack: list[tuple[str, bool, bool]] = []  # name, inside, outside
+    stack: list[tuple[str, bool, int]] = []  # name, inside, level
 
     def end_block() -> None:
         joined = " ".join(unescape("".join(text)).split())
         if joined:
-            _, inside, outside = stack[-1] if stack else ("", False, False)
+            _, inside, level = stack[-1] if stack else ("", False, 0)
             words = joined.count(" ") + 1
-            out.append(Block(joined, words, min(words, state["linked"]), inside, outside, state["heading"]))
+            out.append(Block(joined, words, min(words, state["linked"]), inside, level == 2, level == 1, state["heading"]))
         text.clear()
         state["linked"] = 0
 
@@ -89,11 +146,10 @@ def blocks(html: str) -> list[Block]:
             if not m[3].rstrip().endswith("/") or name in ("script", "style", "title", "head"):
                 if name not in ("button", "select"):
                     end_block()
-                ended = _ENDS[name].search(html, at)
-                if ended:
+                if name != "head":
+                    at = _hidden_end(name, html, at)
+                elif ended := _HEAD_END.search(html, at):
                     at = ended.end()
-                elif name != "head":
-                    at = len(html)
             continue
         if name in _INLINE:
             if name == "a":
@@ -111,19 +167,18 @@ def blocks(html: str) -> list[Block]:
                         del stack[k:]
                         break
             else:
-                _, inside, outside = stack[-1] if stack else ("", False, False)
-                mark = _is_outside(name, m[3], inside)
-                stack.append((name, inside or name in ("article", "main"), outside or mark))
+                _, inside, level = stack[-1] if stack else ("", False, 0)
+                stack.append((name, inside or name in ("article", "main"), _level(name, m[3], inside, level)))
     add(html[at:])
     end_block()
     return out
 
 
 def features(found: list[Block]) -> np.ndarray:
-    """Per block: word count and link density of it and of its neighbours, and the three marks."""
+    """Per block: word count and link density of it and of its neighbours, and the four marks."""
     words = np.array([0, *(b.words for b in found), 0], dtype=float)
     density = np.array([1, *(b.linked / b.words for b in found), 1], dtype=float)
-    marks = np.array([[b.inside, b.outside, b.heading] for b in found], dtype=float).reshape(-1, 3)
+    marks = np.array([[b.inside, b.outside, b.hinted, b.heading] for b in found], dtype=float).reshape(-1, 4)
     return np.column_stack([words[1:-1], density[1:-1], words[:-2], density[:-2], words[2:], density[2:], marks])
 
 
@@ -174,6 +229,11 @@ LABELLED = (
     "<body><nav><a>- 2W</a><a>1W</a></nav><article><p>+ 10W</p><p>+ 24W</p><p>+ 3W</p></article></body>",
     "<body><h1>+ 4W</h1><p>+ 30W</p><p>+ 8W</p></body>",
     "<body><article><p>+ 3W</p></article></body>",
+    "<body><div class='main-nav'><a>- 1W</a><a>2W</a></div><div id='share-story'><h1>+ 6W</h1><p>+ 44W</p><p>+ 26W</p><p>+ 5W</p>"
+    "<p>+ 31W</p></div><div class='sidebar-left'><p>- 12W</p><p>- 3W</p><p><a>- 5W</a></p></div><div class='related-posts'><p>- 7W "
+    "<a>5W</a></p><p><a>- 6W</a></p></div></body>",
+    "<body><div class='page layout-sidebar'><div class='widget-box'><p>- 4W</p><p>- 11W</p><p>- 6W</p></div><article><p>+ 4W</p>"
+    "<p>+ 30W</p><p>+ 2W</p></article><div class='search-box'><p>- 3W</p></div></div></body>",
     "<body><article><p>+ 1W <a>4W</a></p><p>+ 20W <a>18W</a></p><p><a>+ 3W</a></p><p>+ 9W</p></article><nav><p>- 14W</p></nav></body>",
 )
 
@@ -204,7 +264,13 @@ def main_text(html: str | None, tree) -> str:
 
 
 def extract(html: Column) -> Column:
-    """Main text of every whole page."""
+    """Main text of every whole page.
+
+    Null, empty and all-boilerplate pages give an empty text; equal pages give
+    equal texts, and an empty table none.  Only the given column is read, so
+    other columns may have any name.  Pages are never cut; one is held by one
+    task at a time.
+    """
     tree = train()
 
     @F.pandas_udf("string")
