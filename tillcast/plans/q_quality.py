@@ -11,7 +11,7 @@ from tillcast.operators import cleaning, profiles, quality
 from tillcast.plans.oracle import BASE, DAILY, PROMOTIONS, SALES, TRAFFIC, TRAFFIC_SUMMARY, sql, with_ctes
 from tillcast.plans.registry import query, store_daily_of
 from tillcast.session import ensure_checkpoint_dir, materialize
-from tillcast.sources import ingest, quarantine, tables as T
+from tillcast.sources import files, ingest, quarantine, tables as T
 
 # The cleaning input as it arrives: product lines with store traffic attached
 # (traffic is missing for many store-days, so the profile sees real NULLs).
@@ -181,6 +181,59 @@ sql(
 )
 
 
+WHOLE_TABLES = ("customer", "events", "lineitem", "orders", "part", "supplier")
+
+
+@query("repeated_table_rows", "table:string, duplicate_rows:bigint")
+def q_repeated_table_rows(spark, sf_dir):
+    """Repeated rows over all columns of the tables, and of the events with their errors delivered twice."""
+    tables = {name: T.read(spark, sf_dir, name) for name in WHOLE_TABLES}
+    tables["events_redelivered"] = tables["events"].union(tables["events"].where("event_type = 'error'"))
+    parts = [quality.repeated_rows(df).select(F.lit(name).alias("table"), "duplicate_rows") for name, df in tables.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+sql(
+    "repeated_table_rows",
+    "\nUNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", (SELECT count(*) FROM {t}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS duplicate_rows"
+        for t in WHOLE_TABLES)
+    + "\nUNION ALL SELECT 'events_redelivered', (SELECT count(*) FROM events) + (SELECT count(*) FROM events WHERE event_type = 'error')"
+    " - (SELECT count(*) FROM (SELECT DISTINCT * FROM events))",
+)
+
+
+# --- S03: a history file with lines that cannot be read ----------------------------------------
+BAD_DATE_DAY, BAD_NUMBER_DAY = 13, 17
+
+
+@query("history_csv_checks", "failed:string, rows:bigint, total_revenue:double@2")
+def q_history_csv_checks(spark, sf_dir):
+    """All store-days as a CSV whose dates on one day of the month, and numbers on another, are no such."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/history-csv-{uuid.uuid4().hex}"
+    day = F.dayofmonth("date")
+    store_daily_of(spark, sf_dir).select(
+        F.when(day == BAD_DATE_DAY, "some day").otherwise(F.col("date").cast("string")).alias("date"), "store_id",
+        F.when(day == BAD_NUMBER_DAY, "n/a").otherwise(F.col("total_revenue").cast("string")).alias("total_revenue"),
+    ).write.option("header", True).csv(root)
+    lines = files.read_history_checked(spark, root)
+    return lines.groupBy(F.array_join("failed", ",").alias("failed")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("total_revenue").alias("total_revenue"))
+
+
+sql(
+    "history_csv_checks",
+    BASE
+    + f""",
+f AS (SELECT CASE day(date) WHEN {BAD_DATE_DAY} THEN 'date' WHEN {BAD_NUMBER_DAY} THEN 'total_revenue' ELSE '' END AS failed,
+             CASE WHEN day(date) <> {BAD_NUMBER_DAY} THEN total_revenue END AS total_revenue FROM store_daily)
+SELECT failed, count(*) AS rows, sum(total_revenue) AS total_revenue FROM f GROUP BY failed""",
+)
+
+
 # --- V07–V09 ------------------------------------------------------------------------------
 @query("column_profile", "column:string, metric:string, value:double@2")
 def q_column_profile(spark, sf_dir):

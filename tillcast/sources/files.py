@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 HISTORY_SCHEMA = "date DATE, store_id STRING, total_revenue DOUBLE"
 
@@ -38,6 +39,33 @@ def read_history_csv(spark: SparkSession, path: str) -> DataFrame:
                      F.col("total_revenue").cast("double").alias("total_revenue"))
 
 
+def read_history_checked(spark: SparkSession, path: str) -> DataFrame:
+    """The same CSV read without failing: ``date, store_id, total_revenue, failed, record`` for every line.
+
+    ``failed`` lists what is wrong with a line (empty: nothing): ``line`` (more
+    or fewer fields than the header), ``date``, ``total_revenue`` (absent, no
+    date, no finite number); such values are NULL.  ``record`` is the line as
+    read, for failed ones.  All files under ``path`` have the first one's
+    header.  Blank lines are no records; a file with a header alone gives none.
+    """
+    names = spark.read.csv(path, header=True, inferSchema=False).columns
+    missing = {"date", "total_revenue"} - set(names)
+    if missing:
+        raise ValueError(f"missing required columns: {sorted(missing)}")
+    broken = next(c for c in ("_corrupt_record", "_corrupt_record_") if c not in names)
+    schema = StructType([StructField(c, StringType()) for c in [*names, broken]])
+    raw = spark.read.schema(schema).csv(path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=broken)
+    day, number = F.trim("date").try_cast("date"), F.trim("total_revenue").try_cast("double")
+    number = F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+    failed = F.array_compact(F.array(
+        F.when(F.col(broken).isNotNull(), F.lit("line")), F.when(day.isNull(), F.lit("date")),
+        F.when(number.isNull(), F.lit("total_revenue"))))
+    line = F.coalesce(F.col(broken), F.to_csv(F.struct(*[F.col(f"`{c}`") for c in names])))
+    store = F.col("store_id") if "store_id" in names else F.lit("store_001")
+    return raw.select(day.alias("date"), store.alias("store_id"), number.alias("total_revenue"), failed.alias("failed"),
+                      F.when(F.size(failed) > 0, line).alias("record"))
+
+
 def _write_partitions(df: DataFrame, path: str, keys: list[str], mode: str) -> None:
     """Write by partition keys; overwriting replaces only the partitions that ``df`` holds.
 
