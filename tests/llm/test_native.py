@@ -221,11 +221,49 @@ def test_rule_verdicts(spark, read_rows):
     assert quality_rules.judge(docs.limit(0)).count() == 0
 
 
-def test_every_language_has_its_reference(docs_of):
-    """Languages of one document each: every one is its own reference, however many there are."""
-    texts = [" ".join(["abcdefgh"[k % 8] * (1 + k % 5) + "1" * (k % 7)] * 10 + [f"w{j}" for j in range(12)]) for k in range(1010)]
-    got = quality_rules.judge(docs_of([(k, t, f"l{k:04d}", "s") for k, t in enumerate(texts)])).collect()
-    assert len(got) == 1010 and all(r.class_distance == 0 and r.word_distance == 0 for r in got)
+def test_rule_verdicts_without_a_language(spark, read_rows):
+    """Good documents whose language is not known are kept in every language, bad ones go."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    quality = {r["doc_id"]: r["quality"] for r in read_rows("labels", "sf0.01")}
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    half = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang")))
+    kept = defaultdict(list)
+    for r in quality_rules.judge(half).collect():
+        if r.doc_id % 2 and r.doc_id in quality and (quality[r.doc_id] == 0 or not r.base_failed):
+            kept[lang[r.doc_id] if quality[r.doc_id] else "bad"].append(r.kept)
+    assert set(kept) == {"de", "en", "es", "fr", "bad"}
+    assert sum(kept.pop("bad")) == 0 and all(sum(x) / len(x) >= 0.9 for x in kept.values())
+
+
+def _of_letters(letters, k):
+    """A text of 30 words over a few letters."""
+    rng = random.Random(f"{letters}{k}")
+    return " ".join("".join(rng.choice(letters) for _ in range(2)) for _ in range(30))
+
+
+def test_few_documents_are_no_reference(docs_of):
+    """Languages of few documents are compared with the nearest reference, not with their own few documents."""
+    rows = [(k, _of_letters("abc", k), "x", "s") for k in range(30)] + [(100 + k, _of_letters("XYZ", k), "y", "s") for k in range(30)]
+    rows += [(200, _of_letters("abc", 7), "rare", "s"), (201, _of_letters("XYZ", 7), None, "s"), (202, "1 " * 40, "rare", "s")]
+    got = {r.doc_id: r for r in quality_rules.judge(docs_of(rows)).collect()}
+    assert got[200].word_distance == got[7].word_distance and got[200].class_distance == got[7].class_distance
+    assert got[201].word_distance == got[107].word_distance and got[201].kept == got[107].kept
+    assert got[202].word_distance > 0.9 and not got[202].kept
+
+
+def test_all_documents_serve_where_no_language_has_a_reference(docs_of):
+    rows = [(k, " ".join(f"w{j}" for j in range(25)), None if k % 2 else f"l{k}", "s") for k in range(10)]
+    got = quality_rules.judge(docs_of([*rows, (10, None, None, None), (10, None, None, None)])).collect()
+    assert len(got) == 12 and all(r.kept and r.class_distance == 0 and r.word_distance == 0 for r in got if r.doc_id < 10)
+    assert not any(r.kept for r in got if r.doc_id == 10)
+
+
+def test_long_text_is_one_document(docs_of):
+    """A very long document does not decide its language's common words, long words among them."""
+    usual = [f"ungewöhnlich{chr(97 + j)} wörterbuch" for j in range(15)]
+    rows = [(k, " ".join(usual[k % 15 :] + usual[: k % 15]), "de", "s") for k in range(40)] + [(99, "andere " * 50_000, "de", "s")]
+    got = {r.doc_id: r for r in quality_rules.judge(docs_of(rows)).collect()}
+    assert all(got[k].kept and got[k].word_distance < 0.3 for k in range(40)) and got[99].word_distance > 0.7
 
 
 def test_jensen_shannon(spark):

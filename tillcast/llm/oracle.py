@@ -116,30 +116,39 @@ measured AS (
   SELECT lang, k, sum(classes[k]) AS share, count(*) AS n FROM measured, range(1, {len(_CLASSES) + 2}) t(k)
   WHERE n_words > 0 GROUP BY ALL
 ), class_refs AS (
-  SELECT lang, list(share / n ORDER BY k) AS classes FROM shares WHERE lang IS NOT NULL GROUP BY lang
+  SELECT lang, max(n) AS docs, list(share / n ORDER BY k) AS classes FROM shares WHERE lang IS NOT NULL GROUP BY lang
   UNION ALL
-  SELECT NULL, list(share ORDER BY k) FROM (SELECT k, sum(share) / sum(n) AS share FROM shares GROUP BY k)
+  SELECT NULL, max(n), list(share ORDER BY k) FROM (SELECT k, sum(n) AS n, sum(share) / sum(n) AS share FROM shares GROUP BY k)
 ), counted AS (
-  SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(letters) AS word FROM measured) GROUP BY ALL
+  SELECT lang, word, sum(weight) AS n
+  FROM (SELECT lang, 100000000 // len(letters) AS weight, unnest(letters) AS word FROM measured WHERE len(letters) > 0) GROUP BY ALL
 ), both_counts AS (
   SELECT * FROM counted WHERE lang IS NOT NULL
   UNION ALL SELECT NULL, word, sum(n) FROM counted GROUP BY word
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r FROM both_counts WHERE length(word) <= 6
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r FROM both_counts
 ), totals AS (SELECT lang, sum(n) AS total FROM both_counts GROUP BY lang
 ), word_refs AS (
   SELECT r.lang, list(word ORDER BY r) AS words, list(n / total ORDER BY r) AS shares
   FROM ranked r JOIN totals t ON r.lang IS NOT DISTINCT FROM t.lang WHERE r <= 24 GROUP BY r.lang
 ), refs AS (
-  SELECT c.lang, c.classes AS rc, w.words AS rw, list_concat(w.shares, [greatest(0, 1 - list_sum(w.shares))]) AS rs
-  FROM class_refs c JOIN word_refs w ON c.lang IS NOT DISTINCT FROM w.lang
+  SELECT c.lang, docs, c.classes AS rc, coalesce(w.words, []::VARCHAR[]) AS rw,
+         list_concat(coalesce(w.shares, []::DOUBLE[]), [greatest(0, 1 - coalesce(list_sum(w.shares), 0))]) AS rs
+  FROM class_refs c LEFT JOIN word_refs w ON c.lang IS NOT DISTINCT FROM w.lang
+), own AS (SELECT * FROM refs WHERE lang IS NOT NULL AND docs >= 20
+), wide AS (
+  SELECT * FROM own WHERE docs >= 0.001::DOUBLE * (SELECT sum(docs) FROM refs WHERE lang IS NOT NULL)
+), serving AS (SELECT * FROM wide UNION ALL SELECT * FROM refs WHERE lang IS NULL AND NOT EXISTS (FROM wide)
+), matched AS (
+  SELECT m.*, rc, rw, rs FROM measured m JOIN own r ON r.lang = m.lang
+  UNION ALL
+  SELECT m.*, rc, rw, rs FROM measured m LEFT JOIN serving ON true
+  WHERE m.lang IS NULL OR m.lang NOT IN (SELECT lang FROM own)
 ), compared AS (
-  SELECT m.*, rc, rs, [len([y for y in letters if y = x]) / greatest(len(letters), 1) for x in rw] AS ws
-  FROM measured m JOIN refs r ON r.lang IS NOT DISTINCT FROM
-       CASE WHEN m.lang IN (SELECT lang FROM refs WHERE lang IS NOT NULL) THEN m.lang END
+  SELECT *, [len([y for y in letters if y = x]) / greatest(len(letters), 1) for x in rw] AS ws FROM matched
 ), far AS (
   SELECT *, {_js("classes", "rc")} AS class_distance,
-         {_js("list_concat(ws, [greatest(0, 1 - list_sum(ws))])", "rs")} AS word_distance,
+         {_js("list_concat(ws, [greatest(0, 1 - coalesce(list_sum(ws), 0))])", "rs")} AS word_distance,
          n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
          sqrt(greatest(n_words, 1)) AS spread
   FROM compared
@@ -150,8 +159,8 @@ measured AS (
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
        CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-       NOT base_failed AND NOT (n_words >= 20 AND (c > 1 OR w > 1 OR c + w > 1.7)) AS kept, class_distance, word_distance
-FROM judged
+       NOT base_failed AND NOT coalesce(n_words >= 20 AND (c > 1 OR w > 1 OR c + w > 1.7), false) AS kept, class_distance, word_distance
+FROM judged QUALIFY row_number() OVER (PARTITION BY id ORDER BY c + w, class_distance, word_distance) = 1
 """
 
 LINES = """

@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 from tillcast.llm.common import WORD_SPACE, word_array, written
 
-#: Common words kept per language, and the longest word that counts as a candidate.
-COMMON_WORDS, LONGEST_COMMON = 24, 6
+#: Common words kept per language.
+COMMON_WORDS = 24
+#: Weight of a document in its language's word shares, dealt to its words in whole numbers (sums are exact in any order).
+DOCUMENT_WEIGHT = 100_000_000
+#: Documents, none of them blank, that a language's reference takes; and the share of all documents with a language
+#: that it takes to serve documents without one (so at most 1 / share references do).
+MIN_DOCUMENTS, MIN_SHARE = 20, 0.001
+#: Copies of the serving references, so that the documents without a language never meet in one task.
+SALTS = 64
 #: Limits of the two distances: base + slack / sqrt(words), since short texts stray further from any reference; and of
 #: the sum of both distances as shares of their limits.  Texts with fewer words than the minimum are not compared.
 CLASS_BASE, CLASS_SLACK = 0.16, 0.7
@@ -138,12 +145,12 @@ def base_measures(df: DataFrame, text: Column) -> DataFrame:
 
 
 def references(docs: DataFrame) -> DataFrame:
-    """One row per language, and one with null lang for all documents: ``lang, classes, words, shares``.
+    """One row per language, and one with null lang for all documents: ``lang, docs, classes, words, shares``.
 
-    classes: mean class shares of its documents; words and shares: its
-    ``COMMON_WORDS`` most frequent words of at most ``LONGEST_COMMON`` letters
-    and their shares of all its words.  Counted over all documents, for every
-    language with a document that is not blank.
+    docs: documents that are not blank; classes: their mean class shares;
+    words and shares: the ``COMMON_WORDS`` words with the greatest mean shares
+    of the documents' words, so that no long document decides.  Counted over
+    all documents, for every language with a document that is not blank.
     """
     whole = F.coalesce(F.col("text"), F.lit(""))
     src = docs.select(F.col("lang").cast("string").alias("lang"), whole.alias("text"))
@@ -154,23 +161,27 @@ def references(docs: DataFrame) -> DataFrame:
         .agg(F.sum("share").alias("share"), F.count("*").alias("n"))
     )
     words = (
-        src.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
-        .filter("word <> ''")
-        .select("lang", F.when(F.length("word") <= LONGEST_COMMON, F.col("word")).alias("word"))
+        src.select("lang", F.array_remove(F.split(F.lower("text"), r"[^\p{L}]+"), "").alias("words"))
+        .filter(F.size("words") > 0)
+        .select("lang", F.expr(f"{DOCUMENT_WEIGHT}L div size(words)").alias("weight"), F.explode("words").alias("word"))
         .groupBy("lang", "word")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("weight").alias("n"))
     )
     sums, words = written(sums, "class-sums"), written(words, "word-counts")
-    classes = sums.filter("lang is not null").unionByName(sums.withColumn("lang", F.lit(None).cast("string"))).groupBy("lang", "k").agg(
-        (F.sum("share") / F.sum("n")).alias("share")
+    everyone = F.lit(None).cast("string")
+    classes = sums.filter("lang is not null").unionByName(sums.withColumn("lang", everyone)).groupBy("lang", "k").agg(
+        (F.sum("share") / F.sum("n")).alias("share"), F.sum("n").alias("n")
+    )
+    classes = classes.groupBy("lang").agg(
+        F.max("n").alias("docs"), F.sort_array(F.collect_list(F.struct("k", "share"))).share.alias("classes")
+    )
+    counts = words.filter("lang is not null").unionByName(
+        words.withColumn("lang", everyone).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     )
-    classes = classes.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "share"))).share.alias("classes"))
-    counts = words.filter("lang is not null").unionByName(words.withColumn("lang", F.lit(None).cast("string")).groupBy("lang", "word").agg(F.sum("n").alias("n")))
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     common = (
-        counts.filter("word is not null")
-        .withColumn("rank", F.row_number().over(best))
+        counts.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= COMMON_WORDS)
         .groupBy("lang")
         .agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("c"))
@@ -180,12 +191,30 @@ def references(docs: DataFrame) -> DataFrame:
     )
     return classes.join(common, classes.lang.eqNullSafe(common.lang), "left").select(
         classes.lang,
+        "docs",
         "classes",
         F.coalesce("words", F.array().cast("array<string>")).alias("words"),
         F.coalesce("shares", F.array().cast("array<double>")).alias("shares"),
     )
 
 
+def _serving(refs: DataFrame) -> DataFrame:
+    """One row with the references (array ``serving``) that documents without one of their own are compared with.
+
+    Those of the languages that have ``MIN_DOCUMENTS`` documents and
+    ``MIN_SHARE`` of all documents with a language; the one of all documents
+    where there is no such language.
+    """
+    known = F.col("lang").isNotNull()
+    wide = (F.col("docs") >= MIN_DOCUMENTS) & (F.col("docs") >= MIN_SHARE * F.col("in_languages"))
+    all_known = refs.agg(F.sum(F.when(known, F.col("docs"))).alias("in_languages"))
+    ref = F.struct("classes", "words", "shares")
+    found = refs.join(all_known).agg(  # one row
+        F.collect_list(F.when(known & wide, ref)).alias("wide"), F.collect_list(F.when(~known, ref)).alias("everyone")
+    )
+    return found.select(F.when(F.size("wide") > 0, F.col("wide")).otherwise(F.col("everyone")).alias("serving"))
+
+
 def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (0 to 1, six decimals) of two histograms given as arrays of shares."""
 
@@ -196,54 +225,76 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.round(F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, t: s + t) / 2)), 6)
 
 
-def _word_shares(text: Column, words: Column) -> Column:
-    """Shares of the given words, and of all others, among the letter runs of a text."""
-
-    def shares(s: Column) -> Column:
-        n = _occurrences(s, F.lit(_START)) - _occurrences(s, F.lit(_START + _END))
-        return _let(
+def _word_shares(marked: Column, words: Column) -> Column:
+    """Shares of the given words, and of all others, among the letter runs of a marked text."""
+    n = _occurrences(marked, F.lit(_START)) - _occurrences(marked, F.lit(_START + _END))
+    return _with_rest(
+        _let(
             F.greatest(n, F.lit(1)),
-            lambda n: F.transform(words, lambda w: _occurrences(s, F.concat(F.lit(_START), w, F.lit(_END))) / n),
+            lambda n: F.transform(words, lambda w: _occurrences(marked, F.concat(F.lit(_START), w, F.lit(_END))) / n),
         )
-
-    return _with_rest(_let(_marked(text), shares))
+    )
 
 
 def _with_rest(shares: Column) -> Column:
     return _let(shares, lambda s: F.concat(s, F.array(F.greatest(F.lit(0.0), 1 - F.aggregate(s, F.lit(0.0), lambda a, b: a + b)))))
 
 
+def _nearest(text: Column, classes: Column, n_words: Column, refs: Column) -> Column:
+    """``by_class, by_word, class_distance, word_distance`` to the nearest reference of an array.
+
+    ``by_class`` and ``by_word`` are the distances as shares of their limits;
+    the nearest reference has the least sum of both.
+    """
+    spread = F.sqrt(F.greatest(n_words, F.lit(1)))
+
+    def compare(marked: Column, shares: Column):
+        def run(ref: Column) -> Column:
+            by_class = js_distance(shares, ref["classes"])
+            by_word = js_distance(_word_shares(marked, ref["words"]), _with_rest(ref["shares"]))
+            return _let(F.struct(by_class.alias("c"), by_word.alias("w")), judged)
+
+        return run
+
+    def judged(d: Column) -> Column:
+        by_class = d["c"] / (F.lit(CLASS_BASE) + F.lit(CLASS_SLACK) / spread)
+        by_word = d["w"] / (F.lit(WORD_BASE) + F.lit(WORD_SLACK) / spread)
+        return F.struct(
+            (by_class + by_word).alias("joint"), d["c"].alias("class_distance"), d["w"].alias("word_distance"),
+            by_class.alias("by_class"), by_word.alias("by_word"),
+        )
+
+    return _let(F.struct(_marked(text).alias("m"), classes.alias("s")), lambda t: F.array_min(F.transform(refs, compare(t["m"], t["s"]))))
+
+
 def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     """Measures and verdict of every document (columns ``doc_id, text, lang``).
 
     Returns ``doc_id``, the base measures, ``class_distance``,
     ``word_distance`` and ``kept``: not base_failed, and, in texts of at least
-    ``MIN_WORDS`` words, no distance nor their joint share above its limit.  Documents
-    without a language, or in one without a reference, are compared with all
-    documents.  Null texts are empty and fail; repeated rows each come out;
-    an empty table gives no rows; other columns are ignored.
+    ``MIN_WORDS`` words, no distance nor their joint share above its limit.
+    Documents without a language, or in one of fewer than ``MIN_DOCUMENTS``
+    documents, are compared with the nearest reference of the languages that
+    serve others (``_serving``), which has the least joint share.  Null texts
+    are empty and fail; repeated rows each come out; an empty table gives no
+    rows; other columns are ignored.
     """
     refs = written(references(docs), "references") if refs is None else refs
-    # one row per language: joined by its size, since a table may have any number of them
-    named = refs.filter("lang is not null").withColumnsRenamed({"lang": "r_lang", "classes": "rc", "words": "rw", "shares": "rs"})
-    anyone = refs.filter("lang is null").select(F.col("classes").alias("ac"), F.col("words").alias("aw"), F.col("shares").alias("as_"))
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
-    src = (
-        src.join(named, F.col("lang") == F.col("r_lang"), "left")
-        .join(F.broadcast(anyone), F.lit(True), "left")
-        .withColumns({"rc": F.coalesce("rc", "ac"), "rw": F.coalesce("rw", "aw"), "rs": F.coalesce("rs", "as_")})
+    # joined by their size, since a table may have any number of languages
+    named = refs.filter((F.col("lang").isNotNull()) & (F.col("docs") >= MIN_DOCUMENTS)).select(
+        F.col("lang").alias("r_lang"), F.struct("classes", "words", "shares").alias("own")
     )
-    measured = base_measures(src, F.col("text")).withColumns(
-        {
-            "class_distance": js_distance(_shares(F.col("class_counts")), F.col("rc")),
-            "word_distance": js_distance(_word_shares(F.col("text"), F.col("rw")), _with_rest(F.col("rs"))),
-        }
-    )
-    spread = F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
-    by_class = F.col("class_distance") / (F.lit(CLASS_BASE) + F.lit(CLASS_SLACK) / spread)
-    by_word = F.col("word_distance") / (F.lit(WORD_BASE) + F.lit(WORD_SLACK) / spread)
-    far = (F.col("n_words") >= MIN_WORDS) & ((by_class > 1) | (by_word > 1) | (by_class + by_word > MAX_JOINT))
-    return measured.select(
+    serving = _serving(refs).select("serving", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s_salt"))
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
+    src = src.join(named, F.col("lang") == F.col("r_lang"), "left")
+    salt = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(SALTS)).cast("int")
+    src = src.withColumn("salt", F.when(F.col("own").isNull(), salt).otherwise(-1 - salt))
+    src = src.join(serving, F.col("salt") == F.col("s_salt"), "left")
+    compared = F.when(F.col("own").isNotNull(), F.array("own")).otherwise(F.col("serving"))
+    measured = base_measures(src.withColumn("refs", compared), F.col("text"))
+    found = measured.withColumn("d", _nearest(F.col("text"), _shares(F.col("class_counts")), F.col("n_words"), F.col("refs")))
+    far = (F.col("n_words") >= MIN_WORDS) & ((F.col("d.by_class") > 1) | (F.col("d.by_word") > 1) | (F.col("d.joint") > MAX_JOINT))
+    return found.select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -252,6 +303,6 @@ def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
         "n_repeat_words",
         "base_failed",
         (~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).alias("kept"),
-        "class_distance",
-        "word_distance",
+        "d.class_distance",
+        "d.word_distance",
     )
