@@ -59,17 +59,16 @@ def test_nnpu_finds_the_negatives():
 
 # --------------------------------------------------------------------------- top-k
 def top_by_hand(rows, k):
-    usable = {}
+    usable = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
             continue
-        w = [int(np.floor(float(x) * 64)) for x in v]
-        usable[i] = min(w, usable.get(i, w))
+        usable.append((i, [int(np.floor(float(x) * 64)) for x in v]))
     out = []
     dot = lambda a, b: sum(x * y for x, y in zip(a, b))
-    for q in usable:
+    for at, (q, w) in enumerate(usable):
         if q % 20 == 0:
-            best = sorted((-dot(usable[q], v), i) for i, v in usable.items() if i != q)[:k]
+            best = sorted((-dot(w, v), i) for other, (i, v) in enumerate(usable) if other != at)[:k]
             out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
     return sorted(out)
 
@@ -78,6 +77,7 @@ def top_by_hand(rows, k):
 def test_top_k(spark, read_rows, block, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATE_BLOCK", block)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 7 if block < 100 else 1024)
+    monkeypatch.setattr(topk, "SEEDS", 40 if block < 100 else 2048)
     rows = [(r["vec_id"], r["embedding"]) for r in read_rows("embeddings")]
     rows += [(1000, None), (1001, [1.0, None]), (1020, [float("nan")] * 4), (1040, [float("inf")]), (None, [1.0]), (1060, []), (1080, [0.5, 0.25])]
     rows += rows[:5] + [(2000 + i, rows[0][1]) for i in range(30)] + [(3, [9.0] * 3)]
@@ -87,6 +87,15 @@ def test_top_k(spark, read_rows, block, monkeypatch):
     assert sorted(map(tuple, got)) == top_by_hand([(i, None if v is None else list(v)) for i, v in rows], 20)
 
 
+def test_top_k_repeated_ids(spark):
+    """Rows that repeat an id are candidates each, and queries each."""
+    df = spark.createDataFrame([(20, [1, 1]), (1, [2, 0]), (1, [0, 3]), (2, [1, 0])], "vec_id long, v array<long>")
+    assert sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 20 == 0).collect())) == [(20, 1, 1, 3), (20, 2, 1, 2), (20, 3, 2, 1)]
+    twice = spark.createDataFrame([(0, [1]), (0, [2]), (0, [2])], "vec_id long, v array<long>")
+    got = topk.top_k(twice, F.col("vec_id") % 20 == 0, 1).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 0, 2), (0, 1, 0, 4), (0, 1, 0, 4)]
+
+
 def test_top_k_few(spark):
     df = spark.createDataFrame([(0, [1]), (1, [2])], "vec_id long, v array<long>")
     assert [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0).collect()] == [(0, 1, 1, 2)]

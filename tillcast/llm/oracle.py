@@ -10,28 +10,27 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 TOP_K = """
 WITH v AS (
-  SELECT vec_id, min([CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT) for x in embedding]) AS v
+  SELECT row_number() OVER () AS id, vec_id, [CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT) for x in embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
-  GROUP BY vec_id
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.id, q.vec_id AS query_id, c.vec_id,
          CAST(list_sum([z[1] * z[2] for z in list_zip(q.v, c.v)]) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
-), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+  FROM v q JOIN v c ON q.id <> c.id WHERE q.vec_id % 20 = 0
+), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 SHARDS = """
 WITH d AS (
-  SELECT doc_id, coalesce(strlen(text), 0) AS bytes,
+  SELECT doc_id, 8 + coalesce(strlen(text), 0) + 4 + coalesce(strlen(lang), 0) + 4 + coalesce(strlen(source), 0) + 4 + 8 AS bytes,
          CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 15) AS BIGINT) AS h
   FROM documents
 ), p AS (
   SELECT depth, h >> (60 - depth) AS prefix, CAST(sum(bytes) AS BIGINT) AS bytes, count(*) AS n
   FROM d, range(0, 61) t(depth) GROUP BY ALL
-), f AS (SELECT * FROM p WHERE bytes <= 8388608 OR depth = 60
+), f AS (SELECT * FROM p WHERE bytes <= 1048576 OR depth = 60
 ), e AS (
   SELECT f.* FROM f LEFT JOIN f g ON g.depth = f.depth - 1 AND g.prefix = f.prefix >> 1 WHERE g.depth IS NULL
 )

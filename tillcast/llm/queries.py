@@ -62,8 +62,8 @@ def op5_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    found = sharding.write_shards(docs, F.octet_length("text"))
+    """Shards of at most 1 MiB, all columns counted."""
+    found = sharding.write_shards(read_table(spark, sf_dir, "documents"), limit=1 << 20)
     return found.select("doc_id", "bytes", "shard", "part", "shard_bytes", "shard_rows")
 
 
