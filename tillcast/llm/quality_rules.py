@@ -156,14 +156,16 @@ def references(docs: DataFrame) -> DataFrame:
     src = docs.select(F.col("lang").cast("string").alias("lang"), whole.alias("text"))
     sums = (
         src.filter(F.btrim(F.col("text"), F.lit(WORD_SPACE)) != "")
-        .select("lang", F.posexplode(_shares(class_counts(F.col("text")))).alias("k", "share"))
-        .groupBy("lang", "k")
-        .agg(F.sum("share").alias("share"), F.count("*").alias("n"))
+        .select("lang", _shares(class_counts(F.col("text"))).alias("s"))
+        .groupBy("lang")
+        .agg(F.array(*[F.sum(F.get("s", F.lit(k))) for k in range(N_CLASSES)]).alias("s"), F.count("*").alias("n"))
+        .select("lang", "n", F.posexplode("s").alias("k", "share"))
     )
+    # split once: a filter on the number of words, also one that Spark infers from an exploded column, would split again
+    letters = F.array_remove("words", "")
     words = (
-        src.select("lang", F.array_remove(F.split(F.lower("text"), r"[^\p{L}]+"), "").alias("words"))
-        .filter(F.size("words") > 0)
-        .select("lang", F.expr(f"{DOCUMENT_WEIGHT}L div size(words)").alias("weight"), F.explode("words").alias("word"))
+        src.select("lang", F.split(F.lower("text"), r"[^\p{L}]+").alias("words"))
+        .select("lang", F.floor(F.lit(DOCUMENT_WEIGHT) / F.greatest(F.size(letters), F.lit(1))).alias("weight"), F.explode(letters).alias("word"))
         .groupBy("lang", "word")
         .agg(F.sum("weight").alias("n"))
     )
