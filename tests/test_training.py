@@ -88,6 +88,33 @@ def test_both_search_spaces(labeled):
         assert len(rows) == 2 and str(best) == min(rows, key=lambda r: r.rmse).params and best["maxDepth"] in (2, 3)
 
 
+def test_halving_search(labeled):
+    """Each rung keeps its best third; the results are those of fits of their own, whatever runs at once."""
+    space = {"maxIter": (4, 9), "maxDepth": (1, 3), "stepSize": (0.05, 0.5), "subsamplingRate": (0.8, 1.0)}
+    best, table = training.halving_search(labeled, space, trials=5, rungs=2, parallelism=4)
+    rows = table.collect()
+    again = training.halving_search(labeled, space, trials=5, rungs=2, parallelism=1)
+    assert again[0] == best and again[1].collect() == rows
+    rungs = [[r for r in rows if r.rung == k] for k in (0, 1)]
+    assert [len(x) for x in rungs] == [5, 2] and {r.trial for r in rungs[1]} == {r.trial for r in rungs[0] if r.kept}
+    for rung, n in zip(rungs, (2, 1)):
+        assert [r.trial for r in sorted(rung, key=lambda r: (r.rmse, r.trial))[:n]] == sorted(
+            (r.trial for r in rung if r.kept), key=lambda t: next((r.rmse, t) for r in rung if r.trial == t))
+    assert str(best) == next(r.params for r in rungs[1] if r.kept)
+    assert max(r.rounds for r in rungs[0]) < max(r.rounds for r in rungs[1])
+    model = training.fit(labeled, best)
+    rmse = evaluation.regression_metrics(training.score(model, labeled.where("split = 'validation'"), "m")).where("metric = 'rmse'")
+    last = next(r for r in rungs[1] if r.kept)
+    assert model.stages[-1].getNumTrees == last.best_round and abs(rmse.first().value - last.rmse) < 1e-6 * last.rmse
+
+
+def test_halving_search_needs_validation_rows(labeled):
+    with pytest.raises(ValueError):
+        training.halving_search(labeled.where("split = 'train'"), trials=2)
+    with pytest.raises(ValueError):
+        training.halving_search(labeled, trials=0)
+
+
 def test_ensemble_follows_from_predictions(bundle):
     preds = bundle.tables["predictions"].toPandas().pivot(index=["date", "store_id"], columns="model", values="prediction")
     w = bundle.weights

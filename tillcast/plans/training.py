@@ -19,12 +19,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tillcast.config import CONFIDENCE_LEVELS, EARLY_STOP_ROUNDS, MODEL_A, MODEL_B, SEARCH_SPACE_A, SEARCH_SPACE_B, SEARCH_TRIALS
 from tillcast.operators import evaluation
@@ -159,6 +161,61 @@ def random_search(labeled: DataFrame, space: Mapping = SEARCH_SPACE_A, trials: i
     return best[1], spark.createDataFrame(rows, "trial int, params string, rounds int, rmse double")
 
 
+def halving_search(labeled: DataFrame, space: Mapping = SEARCH_SPACE_A, trials: int = SEARCH_TRIALS, seed: int = 42,
+                   target: str = "total_revenue", rungs: int = 4, shrink: int = 3,
+                   parallelism: int = 4) -> tuple[dict, DataFrame]:
+    """The draws of :func:`random_search`, thinned by successive halving with concurrent fits.
+
+    Every draw is first fitted for a few rounds; on each of the ``rungs`` the
+    best ``1 / shrink`` (rounded up) by validation RMSE go on with ``shrink``
+    times as many rounds, so that only the last ones get all of theirs.  A draw
+    that has had all its rounds keeps its result.  The inputs are indexed and
+    assembled once; ``parallelism`` fits share the cluster (each is a chain
+    of small jobs that cannot fill it).  Results do not depend on it.
+
+    Returns the best parameters and a table (trial, rung, params, rounds,
+    best_round, rmse, kept) with a row per trial and rung it took part in.
+    Ties go to the earlier draw.  Without validation rows it raises.
+    """
+    if trials < 1 or rungs < 1 or shrink < 2:
+        raise ValueError("a search needs at least one trial, one rung and shrinking by 2")
+    spark = labeled.sparkSession
+    ensure_checkpoint_dir(spark)
+    rng = random.Random(seed)
+    drawn = [_drawn(space, rng, seed) for _ in range(trials)]
+    train, held = (labeled.where(F.col("split") == s) for s in ("train", "validation"))
+    if held.isEmpty():
+        raise ValueError("the search needs validation rows")
+    inputs = Pipeline(stages=gbt_pipeline(feature_columns(labeled, target), target).getStages()[:-1]).fit(train)
+    train, held = (written(inputs.transform(x).select("features", target), "search-input") for x in (train, held))
+
+    def tried(job: tuple[int, int]) -> tuple[int, float]:
+        trial, rounds = job
+        model = gbt_pipeline([], target, drawn[trial] | {"maxIter": rounds}).getStages()[-1].fit(train)
+        losses = model.evaluateEachIteration(held, "squared")
+        best = best_round(losses)
+        return best, math.sqrt(losses[best - 1])
+
+    most = max(p["maxIter"] for p in drawn)
+    rows, done, alive = [], {}, list(range(trials))
+    pool = ThreadPool(max(1, min(parallelism, trials)))
+    try:
+        for rung in range(rungs):
+            budget = math.ceil(most / shrink ** (rungs - 1 - rung))
+            jobs = [(t, min(budget, drawn[t]["maxIter"])) for t in alive]
+            new = [j for j in jobs if j not in done]
+            done.update(zip(new, pool.map(inheritable_thread_target(spark)(tried), new, chunksize=1)))
+            ranked = sorted(jobs, key=lambda j: (done[j][1], j[0]))
+            kept = {t for t, _ in ranked[: 1 if rung == rungs - 1 else math.ceil(len(ranked) / shrink)]}
+            rows += [(t, rung, str(drawn[t]), n, *done[t, n], t in kept) for t, n in jobs]
+            alive = sorted(kept)
+    finally:
+        pool.close()
+    table = spark.createDataFrame(
+        rows, "trial int, rung int, params string, rounds int, best_round int, rmse double, kept boolean")
+    return drawn[alive[0]], table
+
+
 def select_features(labeled: DataFrame, threshold: float = 0.001, target: str = "total_revenue") -> DataFrame:
     """Random-forest importances (100 trees, seed 42) at or above ``threshold``."""
     cols = feature_columns(labeled, target)
@@ -183,7 +240,7 @@ class Bundle:
 
 
 def train_all(spark: SparkSession, labeled: DataFrame, target: str = "total_revenue", search_trials: int = 0) -> Bundle:
-    """Both models, searched first where ``search_trials`` is positive, and their weighted ensemble.
+    """Both models, searched first (by halving) where ``search_trials`` is positive, and their weighted ensemble.
 
     Tables: ``predictions`` (test rows of every model), ``held_out`` (the
     validation rows likewise), ``metrics``, ``weights``, ``importance``, ``trials``.
@@ -192,7 +249,7 @@ def train_all(spark: SparkSession, labeled: DataFrame, target: str = "total_reve
     chosen, trials = {"model_a": MODEL_A, "model_b": MODEL_B}, []
     if search_trials:
         for name, space in (("model_a", SEARCH_SPACE_A), ("model_b", SEARCH_SPACE_B)):
-            chosen[name], tried = random_search(labeled, space, search_trials, target=target)
+            chosen[name], tried = halving_search(labeled, space, search_trials, target=target)
             trials.append(tried.withColumn("model", F.lit(name)))
     models = {name: fit(labeled, p, target) for name, p in chosen.items()}
     scored = labeled.where(F.col("split").isin("validation", "test"))
