@@ -331,16 +331,16 @@ def q_gbt_top_features(spark, sf_dir):
 
 @query("gbt_search_trials", "model:string, trial:int, rung:int, params:string, rounds:int, best_round:int, rmse:double, kept:boolean")
 def q_gbt_search_trials(spark, sf_dir):
-    """A short search of both spaces: nine draws of at most 27 rounds, depths up to 6, three rungs."""
+    """A short search of both spaces: four draws of at most 9 rounds, depths up to 4, two rungs."""
     from tillcast.config import SEARCH_SPACE_A, SEARCH_SPACE_B
     from tillcast.plans import q_evaluation, training
     from tillcast.session import materialize
 
     labeled = materialize(q_evaluation.labeled(spark, sf_dir))
-    short = {"maxIter": (9, 27)}
-    spaces = {"model_a": SEARCH_SPACE_A | short | {"maxDepth": (3, 6)}, "model_b": SEARCH_SPACE_B | short | {"numLeaves": (20, 64)}}
+    short = {"maxIter": (3, 9)}
+    spaces = {"model_a": SEARCH_SPACE_A | short | {"maxDepth": (3, 4)}, "model_b": SEARCH_SPACE_B | short | {"numLeaves": (8, 16)}}
     tables = [
-        training.halving_search(labeled, space, trials=9, rungs=3)[1].withColumn("model", F.lit(name)) for name, space in spaces.items()
+        training.halving_search(labeled, space, trials=4, rungs=2)[1].withColumn("model", F.lit(name)) for name, space in spaces.items()
     ]
     return tables[0].unionByName(tables[1])
 
