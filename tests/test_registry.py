@@ -7,7 +7,7 @@ def test_every_twin_has_a_query_and_only_models_lack_twins():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs) and set(REGISTRY) <= set(qs)
     assert set(REGISTRY) - set(sqls) == {
-        "gbt_test_metrics", "gbt_test_predictions", "gbt_top_features", "model_forecast", "model_forecast_intervals",
+        "gbt_search_trials", "gbt_test_metrics", "gbt_test_predictions", "gbt_top_features", "model_forecast", "model_forecast_intervals",
         "model_forecast_summary"}
 
 
