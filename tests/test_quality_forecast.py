@@ -1,8 +1,10 @@
 import datetime as dt
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from tillcast.operators import forecast, quality, rules
+from tillcast.operators import forecast, ordered, quality, rules
 
 D = dt.date
 
@@ -133,3 +135,32 @@ def test_distributed_quantiles_equal_builtin(spark):
     flagged = quality.outlier_counts(df, "iqr", ["v"]).first().outliers
     lo, hi = ref[0] - 1.5 * (ref[2] - ref[0]), ref[2] + 1.5 * (ref[2] - ref[0])
     assert flagged == df.where((F.col("v") < lo) | (F.col("v") > hi)).count()
+
+
+def test_value_ranges_run_compiled(spark):
+    """A row's range takes halvings in compiled code; lambda functions over the bounds were interpreted for every row."""
+    rows = [(g, float((i * 7919) % 1000) if i % 11 else None, i % 3) for g in ("a", "b", None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double, w int")
+    ranged = ordered._ranged(df, ["g"], "v")
+    assert "lambdafunction" not in ranged._jdf.queryExecution().optimizedPlan().toString()
+    by_range = {}
+    for r in ranged.collect():
+        by_range.setdefault((r.g, r._b), []).append(r.v)
+    for g in ("a", "b", None):
+        spans = [(min(vs), max(vs)) for (h, b), vs in sorted(by_range.items(), key=lambda x: x[0][1]) if h == g and b]
+        assert len(spans) > 200 and all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_quantiles_of_groups_with_weights(spark):
+    """Only ranges that hold a wanted rank are put in order; hot values, single rows and weights of 0 change nothing."""
+    rows = [("a", float((i * 7919) % 997), i % 4) for i in range(4000)] + [("hot", 5.0, 2)] * 500 + [("hot", float(i), 1) for i in range(600)]
+    rows += [("one", -3.0, 1), ("none", 1.0, 0), (None, 2.0, 1), (None, 4.0, 1), ("a", None, 9)]
+    df = spark.createDataFrame(rows, "g string, v double, w int")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    found = {r.g: [r[f"q_{i}"] for i in range(len(probs))] for r in ordered.grouped_quantiles(df, ["g"], "v", probs, "w").collect()}
+    assert set(found) == {"a", "hot", "one", None}
+    for g, qs in found.items():
+        values = np.repeat(*map(np.array, zip(*[(v, w) for h, v, w in rows if h == g and v is not None])))
+        assert qs == pytest.approx(np.quantile(values, probs).tolist())
+    whole = df.where("w > 0").select("v")
+    assert ordered.exact_quantiles(whole, "v", [0.5]).first()[0] == whole.agg(F.percentile("v", 0.5)).first()[0]

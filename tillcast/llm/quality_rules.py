@@ -161,11 +161,13 @@ def references(docs: DataFrame) -> DataFrame:
         .agg(F.array(*[F.sum(F.get("s", F.lit(k))) for k in range(N_CLASSES)]).alias("s"), F.count("*").alias("n"))
         .select("lang", "n", F.posexplode("s").alias("k", "share"))
     )
-    # split once: a filter on the number of words, also one that Spark infers from an exploded column, would split again
+    # split once: a filter on the number of words, also one that Spark infers from an exploded column, would split again;
+    # and weighed before words are exploded, since what stands beside an explode is computed for every word
     letters = F.array_remove("words", "")
     words = (
         src.select("lang", F.split(F.lower("text"), r"[^\p{L}]+").alias("words"))
-        .select("lang", F.floor(F.lit(DOCUMENT_WEIGHT) / F.greatest(F.size(letters), F.lit(1))).alias("weight"), F.explode(letters).alias("word"))
+        .withColumn("weight", F.floor(F.lit(DOCUMENT_WEIGHT) / F.greatest(F.size(letters), F.lit(1))))
+        .select("lang", "weight", F.explode(letters).alias("word"))
         .groupBy("lang", "word")
         .agg(F.sum("weight").alias("n"))
     )

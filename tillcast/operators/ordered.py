@@ -14,26 +14,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Value ranges per group, as coarse steps of fine ranges.
-COARSE, FINE = 16, 16
-
-
-def _range_of(value: Column, bounds: Column) -> Column:
-    """Number of sorted ``bounds`` below ``value``, found in two steps."""
-    steps = F.filter(bounds, lambda b, i: (i % FINE == FINE - 1) & (b < value))
-    done = F.size(steps) * FINE
-    return done + F.size(F.filter(F.slice(bounds, done + 1, FINE), lambda b: b < value))
+#: Value ranges per group; a power of two, since a row's range is found by halving.
+RANGES = 256
 
 
 def _ranged(df: DataFrame, group_cols: Sequence[str], order_col: str) -> DataFrame:
-    """``df`` with the range ``_b`` of its row's value in its group; null values come first."""
-    probs = [i / (COARSE * FINE) for i in range(1, COARSE * FINE)]
+    """``df`` with the range ``_b`` of its row's value in its group; null values come first.
+
+    The range is the number of sorted bounds below the value.  Each halving is
+    a projection of its own, so that all run in compiled code; lambda functions
+    over the bounds would be interpreted for each row.
+    """
+    probs = [i / RANGES for i in range(1, RANGES)]
     key = F.col(order_col).cast("double")
-    sketch = F.array_distinct(F.array_sort(F.percentile_approx(key, probs, 2000)))
+    sketch = F.array_distinct(F.sort_array(F.percentile_approx(key, probs, 2000)))
     bounds = df.groupBy(*group_cols).agg(sketch.alias("_bounds"))
-    return _joined(df, bounds, group_cols).withColumn(
-        "_b", F.when(key.isNull() | F.col("_bounds").isNull(), 0).otherwise(_range_of(key, F.col("_bounds")))
-    ).drop("_bounds")
+    out = _joined(df, bounds, group_cols).withColumn("_b", F.lit(0))
+    step = RANGES // 2
+    while step:
+        # a null value, and a place beyond the last bound, compare as null
+        below = F.get("_bounds", F.col("_b") + (step - 1)) < key
+        out = out.withColumn("_b", F.when(below, F.col("_b") + step).otherwise(F.col("_b")))
+        step //= 2
+    return out.drop("_bounds")
 
 
 def _joined(df: DataFrame, per_group: DataFrame, group_cols: Sequence[str]) -> DataFrame:
@@ -126,19 +129,34 @@ def grouped_quantiles(df: DataFrame, group_cols: Sequence[str], col: str, probs:
     """Exact linearly interpolated quantiles of ``col`` per group, one column ``q_{i}`` per probability.
 
     Values are reduced to (value, count) pairs — a hot value is one row —
-    and their cumulative counts come from :func:`running_totals`.  The value
-    at 0-based rank k is the smallest value whose cumulative count exceeds k;
-    quantile p interpolates between ranks ⌊p(N−1)⌋ and ⌈p(N−1)⌉.  Rows with a
-    NULL value are ignored; ``weight`` gives integer row weights.
+    and these are counted by value range.  Only the ranges that hold a wanted
+    rank are put in order, and their cumulative counts begin at the count of
+    the ranges below.  The value at 0-based rank k is the smallest value whose
+    cumulative count exceeds k; quantile p interpolates between ranks
+    ⌊p(N−1)⌋ and ⌈p(N−1)⌉.  Rows with a NULL value are ignored; ``weight``
+    gives integer row weights.
     """
     groups = list(group_cols)
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     vc = (df.where(F.col(col).isNotNull()).groupBy(*groups, F.col(col).cast("double").alias("_v"))
             .agg(F.sum(w).alias("_n")).where(F.col("_n") > 0))
-    cum = _joined(running_totals(vc, "_v", ["_n"], groups), vc.groupBy(*groups).agg(F.sum("_n").alias("_total")), groups)
+    places = [(F.col("_total") - 1) * F.lit(float(p)) for p in probs]
+    ranged = _ranged(vc, groups, "_v")
+    of_group = Window.partitionBy(*groups)
+    upto = of_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    # at most RANGES rows per group
+    sums = ranged.groupBy(*groups, "_b").agg(F.sum("_n").alias("_t")).select(
+        *groups, "_b", (F.sum("_t").over(upto) - F.col("_t")).alias("_o"), F.sum("_t").over(upto).alias("_upto"),
+        F.sum("_t").over(of_group).alias("_total"))
+    wanted = F.lit(False)
+    for pos in places:
+        for k in (F.floor(pos), F.ceil(pos)):
+            wanted = wanted | ((k >= F.col("_o")) & (k < F.col("_upto")))
+    held = _joined(ranged, sums.where(wanted).drop("_upto"), [*groups, "_b"])
+    inside = Window.partitionBy(*groups, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    cum = held.withColumn("cum__n", F.col("_o") + F.sum("_n").over(inside))
     aggs = []
-    for i, p in enumerate(probs):
-        pos = (F.col("_total") - 1) * F.lit(float(p))
+    for i, pos in enumerate(places):
         v_lo = F.min(F.when(F.col("cum__n") > F.floor(pos), F.col("_v")))
         v_hi = F.min(F.when(F.col("cum__n") > F.ceil(pos), F.col("_v")))
         share = F.max(pos - F.floor(pos))
