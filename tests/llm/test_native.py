@@ -341,3 +341,15 @@ def test_mix_tells_texts_of_one_key_apart(docs_of):
     for n in (3, 8):
         again = mixing.mix(docs.orderBy(F.rand(n)).repartition(n)).collect()
         assert Counter(r.text for r in again) == want
+
+
+def test_words_are_weighed_once_a_document(docs_of, monkeypatch):
+    """What stands beside an explode is computed for every word, so a document's weight has to come before it."""
+    plans = {}
+    written = quality_rules.written
+    monkeypatch.setattr(quality_rules, "written", lambda df, name: plans.update({name: df}) or written(df, name))
+    quality_rules.references(docs_of([(i, "one two two", "en", "a") for i in range(30)])).collect()
+    above, _, below = plans["word-counts"]._jdf.queryExecution().optimizedPlan().toString().partition("Generate explode")
+    assert "array_remove" not in above and "array_remove" in below
+    weight = quality_rules.DOCUMENT_WEIGHT // 3
+    assert {r.word: r.n for r in plans["word-counts"].collect()} == {"one": 30 * weight, "two": 60 * weight}
