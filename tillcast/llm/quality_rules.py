@@ -46,8 +46,22 @@ def _occurrences(text: Column, part: Column) -> Column:
 def class_counts(text: Column) -> Column:
     """Characters of a text by class of ``_CLASS_OF`` and, last, all of them."""
     mapped = F.translate(text, "".join(m for _, m in _CLASS_OF), "".join(c * len(m) for c, m in _CLASS_OF))
-    # the working letters are single bytes, so counting them needs no decoding
-    return _let(mapped, lambda t: F.array(*[_occurrences(t, F.lit(c)) for c, _ in _CLASS_OF], F.length(t).cast("long")))
+    return _let(mapped, lambda t: F.concat(_taken_out(t, F.array(*[F.lit(c) for c, _ in _CLASS_OF])), F.array(F.length(t).cast("long"))))
+
+
+def _taken_out(text: Column, parts: Column) -> Column:
+    """Occurrences of each of ``parts`` in a text, bytes over bytes; what is counted is taken out, so that later parts search less.
+
+    No part may come about, or go, where another one is taken out.
+    """
+    start = F.struct(text.alias("rest"), F.array().cast("array<long>").alias("sizes"))
+
+    def step(acc: Column, part: Column) -> Column:
+        size = F.array(F.octet_length(acc["rest"]).cast("long"))
+        return F.struct(F.replace(acc["rest"], part, F.lit("")).alias("rest"), F.concat(acc["sizes"], size).alias("sizes"))
+
+    sizes = F.aggregate(parts, start, step, lambda acc: F.concat(acc["sizes"], F.array(F.octet_length(acc["rest"]).cast("long"))))
+    return _let(sizes, lambda s: F.transform(parts, lambda part, i: ((F.get(s, i) - F.get(s, i + 1)) / F.octet_length(part)).cast("long")))
 
 
 def _shares(counts: Column) -> Column:
@@ -144,19 +158,21 @@ def base_measures(df: DataFrame, text: Column) -> DataFrame:
     )
 
 
-def references(docs: DataFrame) -> DataFrame:
+def references(docs: DataFrame, counts: Column | None = None) -> DataFrame:
     """One row per language, and one with null lang for all documents: ``lang, docs, classes, words, shares``.
 
     docs: documents that are not blank; classes: their mean class shares;
     words and shares: the ``COMMON_WORDS`` words with the greatest mean shares
     of the documents' words, so that no long document decides.  Counted over
     all documents, for every language with a document that is not blank.
+    ``counts``: their ``class_counts``, where ``docs`` has them already.
     """
     whole = F.coalesce(F.col("text"), F.lit(""))
-    src = docs.select(F.col("lang").cast("string").alias("lang"), whole.alias("text"))
+    counts = class_counts(whole) if counts is None else counts
+    src = docs.select(F.col("lang").cast("string").alias("lang"), whole.alias("text"), counts.alias("counts"))
     sums = (
         src.filter(F.btrim(F.col("text"), F.lit(WORD_SPACE)) != "")
-        .select("lang", _shares(class_counts(F.col("text"))).alias("s"))
+        .select("lang", _shares(F.col("counts")).alias("s"))
         .groupBy("lang")
         .agg(F.array(*[F.sum(F.get("s", F.lit(k))) for k in range(N_CLASSES)]).alias("s"), F.count("*").alias("n"))
         .select("lang", "n", F.posexplode("s").alias("k", "share"))
@@ -235,7 +251,7 @@ def _word_shares(marked: Column, words: Column) -> Column:
     return _with_rest(
         _let(
             F.greatest(n, F.lit(1)),
-            lambda n: F.transform(words, lambda w: _occurrences(marked, F.concat(F.lit(_START), w, F.lit(_END))) / n),
+            lambda n: F.transform(_taken_out(marked, F.transform(words, lambda w: F.concat(F.lit(_START), w, F.lit(_END)))), lambda k: k / n),
         )
     )
 
@@ -283,20 +299,22 @@ def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     are empty and fail; repeated rows each come out; an empty table gives no
     rows; other columns are ignored.
     """
-    refs = written(references(docs), "references") if refs is None else refs
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
+    src = base_measures(src, F.col("text"))
+    if refs is None:
+        src = written(src, "measures")  # the references rest on the same counts
+        refs = written(references(src, F.col("class_counts")), "references")
     # joined by their size, since a table may have any number of languages
     named = refs.filter((F.col("lang").isNotNull()) & (F.col("docs") >= MIN_DOCUMENTS)).select(
         F.col("lang").alias("r_lang"), F.struct("classes", "words", "shares").alias("own")
     )
     serving = _serving(refs).select("serving", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s_salt"))
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
     src = src.join(named, F.col("lang") == F.col("r_lang"), "left")
     salt = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(SALTS)).cast("int")
     src = src.withColumn("salt", F.when(F.col("own").isNull(), salt).otherwise(-1 - salt))
     src = src.join(serving, F.col("salt") == F.col("s_salt"), "left")
     compared = F.when(F.col("own").isNotNull(), F.array("own")).otherwise(F.col("serving"))
-    measured = base_measures(src.withColumn("refs", compared), F.col("text"))
-    found = measured.withColumn("d", _nearest(F.col("text"), _shares(F.col("class_counts")), F.col("n_words"), F.col("refs")))
+    found = src.withColumn("refs", compared).withColumn("d", _nearest(F.col("text"), _shares(F.col("class_counts")), F.col("n_words"), F.col("refs")))
     far = (F.col("n_words") >= MIN_WORDS) & ((F.col("d.by_class") > 1) | (F.col("d.by_word") > 1) | (F.col("d.joint") > MAX_JOINT))
     return found.select(
         "doc_id",
