@@ -422,3 +422,32 @@ def test_crossover_and_migration_beat_best_fit():
     best = packing.evolve(sizes, 4096, 3, start=elites, generations=25)
     assert sorted(i for b in best for i in b) == list(range(400)) and all(sum(sizes[i] for i in b) <= 4096 for b in best)
     assert len(best) <= min(map(len, elites)) <= max(map(len, elites)) < len(fit)
+
+
+def test_cutting_words_takes_few_bytes_a_byte():
+    """Words are counted and placed without running sums over all bytes of a group, which held 8 bytes for each."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tillcast.llm import bytewords
+
+    texts = pa.array(["some words of a long text\n" * 40_000])
+    size = texts.nbytes
+    tracemalloc.start()
+    words = bytewords.cut(texts, packing._BLANKS, parts=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(words.code) == 240_000 and peak < 14 * size
+
+
+def test_packing_encodes_small_groups(docs_of, monkeypatch):
+    """What a worker encodes at once is bounded by packing's own limit, below that of other word cutters."""
+    from tillcast.llm import bytewords
+
+    import pyarrow as pa
+
+    assert packing._GROUP_BYTES <= bytewords.GROUP_BYTES // 2
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 1000] * 100)], ["text"])
+    assert [b.num_rows for b in bytewords.grouped(iter([batch]), 50_000)] != [100]
+    assert sum(b.num_rows for b in bytewords.grouped(iter([batch]), 50_000)) == 100

@@ -61,27 +61,31 @@ def cut(texts: pa.Array, classes: np.ndarray, lower: bool = True, parts: bool =
     begins[heads] = inside[heads]
     at = np.flatnonzero(begins)
     row = np.searchsorted(offsets, at, side="right") - 1
-    split = np.cumsum(kind == BREAK, dtype=np.int32)[at] if len(at) else np.zeros(0, np.int32)
-    run = np.cumsum(np.r_[False, (row[1:] != row[:-1]) | (split[1:] != split[:-1])]) if len(at) else split
+    # what is counted per byte is summed per word at once; running sums would hold eight bytes for each
+    parted = row[1:] != row[:-1]
+    if len(at) and (classes == BREAK).any():
+        parted |= np.add.reduceat(kind == BREAK, at, dtype=np.int64)[:-1] > 0
+    run = np.cumsum(np.r_[False, parted]) if len(at) else np.zeros(0, np.int64)
     spelled = _LOWER[data[inside]] if lower else data[inside]
-    starts = np.cumsum(inside, dtype=np.int64)[at] - 1 if len(at) else np.zeros(0, np.int64)
-    ends = np.r_[starts, len(spelled)].astype(np.int64)
+    ends = np.r_[0, np.cumsum(np.add.reduceat(inside, at, dtype=np.int64))] if len(at) else np.zeros(1, np.int64)
+    del kind, inside, begins, data
     words = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(spelled.tobytes())])
     coded = words.dictionary_encode()
     return Words(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), row, run, coded.dictionary)
 
 
-def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``GROUP_BYTES``."""
+def grouped(batches: Iterator[pa.RecordBatch], group_bytes: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``group_bytes`` (``GROUP_BYTES`` unless given)."""
+    most = group_bytes or GROUP_BYTES
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        whole = max(1, -(-batch.nbytes // GROUP_BYTES))
+        whole = max(1, -(-batch.nbytes // most))
         step = max(1, -(-batch.num_rows // whole))
         for at in range(0, batch.num_rows, step):
             held.append(batch.slice(at, step))
             size += batch.nbytes // whole
-            if size >= GROUP_BYTES:
+            if size >= most:
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
                 held, size = [], 0
     if held:

@@ -8,6 +8,7 @@ underfilled are merged into fewer problems and evolved further.
 
 from __future__ import annotations
 
+import ctypes
 import random
 import re
 from collections.abc import Iterator
@@ -33,6 +34,8 @@ OPEN_BELOW = 0.995
 NO_BIN = -1
 #: Words that a task remembers.
 _CACHE_WORDS = 700_000
+#: Bytes of text that are encoded together; the arrays of one group hold some 25 times as much.
+_GROUP_BYTES = 4 << 20
 #: What the look-up of whole words cuts at; the tokenizer itself drops all other white space.
 _BLANKS = bytewords.byte_classes(b" \n")
 #: Pieces in one Arrow batch out; with their ids, each holds up to four bytes a token.
@@ -117,8 +120,9 @@ class WordEncoder:
         takes letters in lower case and apart from what follows them, so words
         are cut there too, unless the column spells out a special token.
         """
-        octets = texts.buffers()[2]
-        plain = octets is None or not any(x in octets.to_pybytes() for x in self.special)
+        octets = texts.buffers()[2].to_pybytes() if texts.buffers()[2] is not None else b""
+        plain = not any(x in octets for x in self.special)
+        del octets
         words = bytewords.cut(texts, _BLANKS, lower=plain, parts=plain)
         spelled = words.spelling.to_pylist()
         found = list(map(self.parts.get, spelled))
@@ -127,6 +131,7 @@ class WordEncoder:
             found = [fresh[w] if x is None else x for w, x in zip(spelled, found)]
         known = np.frombuffer(b"".join(found), dtype="<u4")
         size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        del spelled, found
         begin = np.cumsum(size) - size
         n = size[words.code]
         before = np.cumsum(n) - n
@@ -141,6 +146,29 @@ class WordEncoder:
 _encoders: dict[str, WordEncoder] = {}
 
 
+def _return_freed_memory() -> None:
+    """Let this worker give freed arrays of 1 MiB and more back at once, Arrow's too (elsewhere than on glibc: only Arrow's).
+
+    By default glibc raises that limit to the largest array freed, and the
+    remembered words among the arrays keep the heap from shrinking.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt") and hasattr(libc, "malloc_trim"):
+        m_mmap_threshold, m_trim_threshold = -3, -1
+        libc.mallopt(m_mmap_threshold, 1 << 20)
+        libc.mallopt(m_trim_threshold, 1 << 20)
+        libc.malloc_trim(0)  # what earlier stages left in a worker that is used again
+
+
+def _encoder(path: str) -> WordEncoder:
+    """The worker's encoder; it is kept from task to task."""
+    if path not in _encoders:
+        _return_freed_memory()
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFrame:
     """One row per piece: ``uid, copy, doc_id, piece, start, length, ids_crc32, ids``.
 
@@ -152,9 +180,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096) -> DataFr
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(tokenizer_path) or _encoders.setdefault(tokenizer_path, WordEncoder(tokenizer_path))
+        encoder = _encoder(tokenizer_path)
         uid = TaskContext.get().partitionId() << 40
-        for batch in bytewords.grouped(batches):
+        for batch in bytewords.grouped(batches, _GROUP_BYTES):
             ids, starts = encoder.ids_of(batch.column("text"))
             whole = np.diff(starts)
             n = -(-whole // capacity)
