@@ -131,3 +131,20 @@ def test_file_report_through_spark_alone(spark, monkeypatch):
     monkeypatch.setattr(ingest, "_opens", lambda path: False)
     through, _ = _file_issues(spark, root, {"x": "bigint", "y": None}, ["x"])
     assert direct == through == {"a": (3, [("missing", "y"), ("negative", "x")])}
+
+
+def test_tables_are_read_in_small_splits(spark):
+    """A task's totals and distinct values grow with its split, so that is bounded; a smaller setting stays."""
+    from tillcast.sources import tables
+
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "128MB")
+        tables.read(spark, "/root/testdata/sf0.001", "lineitem")
+        assert int(spark.conf.get(key)) == tables.SPLIT_BYTES
+        spark.conf.set(key, "1048576")
+        tables.read(spark, "/root/testdata/sf0.001", "lineitem")
+        assert spark.conf.get(key) == "1048576"
+    finally:
+        spark.conf.set(key, before)

@@ -23,7 +23,16 @@ TABLES = (
 EVENT_DAY_SHIFT = 8766
 
 
+#: Bytes of a file that one task reads.  The totals per product and day and the distinct values of a profile hold
+#: nearly every row of their task in memory, at some 20 times its compressed size.
+SPLIT_BYTES = 16 << 20
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table by its name; from now on, files are read in splits of at most ``SPLIT_BYTES`` in this session."""
+    key = "spark.sql.files.maxPartitionBytes"
+    if int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()) > SPLIT_BYTES:
+        spark.conf.set(key, str(SPLIT_BYTES))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
