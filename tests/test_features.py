@@ -72,3 +72,16 @@ def test_feature_table_has_53_columns(spark):
     assert len(ft.columns) == 53
     lagroll = [c for c in ft.columns if "_lag_" in c or "_rolling_" in c]
     assert ft.where(" OR ".join(f"{c} IS NULL" for c in lagroll)).count() == 0
+
+
+def test_backward_fill_reads_each_row_once(spark):
+    """No frame ends at the last row (it would be read again for every row); ties and leading gaps fill as before."""
+    rows = [(s, dt.date(2021, 1, 1) + dt.timedelta(days=i), None if i < 3 or i % 4 == 1 or s == "b" else float(i)) for s in ("a", "b", "c") for i in range(12)]
+    df = spark.createDataFrame(rows, "store_id string, date date, x_lag_1 double")
+    for scope in ("global", "group"):
+        out = features.fill_forward_backward(df, ["x_lag_1"], ["store_id"], scope=scope)
+        assert "unboundedfollowing" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+        table = pd.DataFrame(rows, columns=df.columns)
+        filled = table.x_lag_1.ffill().bfill() if scope == "global" else table.groupby("store_id").x_lag_1.transform(lambda x: x.ffill().bfill())
+        got = [r.x_lag_1 for r in out.orderBy("store_id", "date").collect()]
+        assert out.columns == df.columns and got == [None if pd.isna(x) else x for x in filled]

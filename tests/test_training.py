@@ -189,3 +189,28 @@ def test_forecast_intervals_hold_the_prediction(bundle, store_days):
     for r in rows:
         assert r.lower_80 <= r.predicted_sales <= r.upper_80 and r.upper_80 - r.lower_80 > 0
         assert r.lower_95 is None or (r.lower_95 <= r.lower_80 and r.upper_95 >= r.upper_80)
+
+
+def test_training_takes_a_partition_per_core(spark, labeled, monkeypatch):
+    """Every partition sends the statistics of all nodes at each level, so there are no more than cores."""
+    seen = []
+    fit = training.GBTRegressor._fit
+    monkeypatch.setattr(training.GBTRegressor, "_fit", lambda self, data: seen.append(data.rdd.getNumPartitions()) or fit(self, data))
+    model = training.fit(labeled.repartition(60), QUICK)
+    assert model.stages[-1].getNumTrees <= QUICK["maxIter"]
+    assert seen and seen[0] <= spark.sparkContext.defaultParallelism
+
+
+def test_forecast_reads_the_training_run_history(spark, monkeypatch):
+    """The forecast's history is the training run's store-day table, built once for both."""
+    from tillcast.operators import cleaning
+    from tillcast.plans import q_more
+
+    built = []
+    build = cleaning.build_store_daily
+    monkeypatch.setattr(cleaning, "build_store_daily", lambda *tables: built.append(1) or build(*tables))
+    monkeypatch.setattr(training, "MODEL_A", QUICK)
+    monkeypatch.setattr(training, "MODEL_B", QUICK | {"stepSize": 0.3})
+    monkeypatch.setattr(q_more, "_BUNDLES", {})
+    assert q_more._model_forecast(spark, SMALL).count() > 0
+    assert built == [1]

@@ -156,15 +156,18 @@ def fill_forward_backward(df: DataFrame, cols: Sequence[str], group_cols: Sequen
     NULLs take the previous series' last value: per-series windows do the
     inside part, and a one-row-per-series boundary table (last / first
     non-null value) carries values across series in group-key order.
+    The backward part runs forward over the reversed rows: a frame that ends
+    at the last row would be read again for every row.
     """
     if not cols:
         return df
     w = Window.partitionBy(*group_cols).orderBy(date_col)
+    placed = df.withColumn("_place", F.row_number().over(w))
     fwd = w.rowsBetween(Window.unboundedPreceding, 0)
-    bwd = w.rowsBetween(0, Window.unboundedFollowing)
-    inner = {c: (F.last(c, True).over(fwd), F.first(c, True).over(bwd)) for c in cols}
+    bwd = Window.partitionBy(*group_cols).orderBy(F.desc("_place")).rowsBetween(Window.unboundedPreceding, 0)
+    inner = {c: (F.last(c, True).over(fwd), F.last(c, True).over(bwd)) for c in cols}
     if scope == "group":
-        return df.withColumns({c: F.coalesce(F.col(c), f, b) for c, (f, b) in inner.items()})
+        return placed.withColumns({c: F.coalesce(F.col(c), f, b) for c, (f, b) in inner.items()}).drop("_place")
     if scope != "global":
         raise ValueError(scope)
 
@@ -174,15 +177,15 @@ def fill_forward_backward(df: DataFrame, cols: Sequence[str], group_cols: Sequen
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), d)).alias(f"_first_{c}") for c in cols],
     )
     # one row per series; ordering the series keys is a small single-partition window
-    gw = Window.orderBy(*group_cols)
+    gw, back = Window.orderBy(*group_cols), Window.orderBy(*[F.desc(g) for g in group_cols])
     carry = bounds.select(
         *group_cols,
         *[F.last(f"_last_{c}", True).over(gw.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_in_{c}")
           for c in cols],
-        *[F.first(f"_first_{c}", True).over(gw.rowsBetween(1, Window.unboundedFollowing)).alias(f"_back_{c}")
+        *[F.last(f"_first_{c}", True).over(back.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_back_{c}")
           for c in cols],
     )
-    out = df.join(carry, list(group_cols), "left")
+    out = placed.join(carry, list(group_cols), "left")
     out = out.withColumns(
         {c: F.coalesce(F.col(c), f, F.col(f"_in_{c}"), b, F.col(f"_back_{c}")) for c, (f, b) in inner.items()}
     )

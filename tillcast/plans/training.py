@@ -73,11 +73,15 @@ def fit(labeled: DataFrame, params: Mapping | None = None, target: str = "total_
     validation rows (``evaluateEachIteration``, one pass), and the fitted
     ensemble is cut to its best rounds (:func:`first_rounds`).  Without
     validation rows all rounds stay.
+
+    The train rows come in at most one partition per core: each partition
+    sends the statistics of all nodes, features and bins at every level.
     """
     ensure_checkpoint_dir(labeled.sparkSession)
     p = dict(MODEL_A if params is None else params)
     cols = feature_columns(labeled, target)
     train, held = (labeled.where(F.col("split") == s) for s in ("train", "validation"))
+    train = train.coalesce(max(1, labeled.sparkSession.sparkContext.defaultParallelism))
     model = gbt_pipeline(cols, target, p).fit(train)
     if held.isEmpty():
         return model
@@ -188,6 +192,7 @@ def halving_search(labeled: DataFrame, space: Mapping = SEARCH_SPACE_A, trials:
         raise ValueError("the search needs validation rows")
     inputs = Pipeline(stages=gbt_pipeline(feature_columns(labeled, target), target).getStages()[:-1]).fit(train)
     train, held = (written(inputs.transform(x).select("features", target), "search-input") for x in (train, held))
+    train = train.coalesce(max(1, spark.sparkContext.defaultParallelism))
 
     def tried(job: tuple[int, int]) -> tuple[int, float]:
         trial, rounds = job
@@ -251,7 +256,13 @@ def train_all(spark: SparkSession, labeled: DataFrame, target: str = "total_reve
         for name, space in (("model_a", SEARCH_SPACE_A), ("model_b", SEARCH_SPACE_B)):
             chosen[name], tried = halving_search(labeled, space, search_trials, target=target)
             trials.append(tried.withColumn("model", F.lit(name)))
-    models = {name: fit(labeled, p, target) for name, p in chosen.items()}
+    # each fit is a chain of small jobs that cannot fill the cluster, so the models are fitted side by side
+    pool = ThreadPool(len(chosen))
+    try:
+        fitted = pool.map(inheritable_thread_target(spark)(lambda p: fit(labeled, p, target)), chosen.values(), chunksize=1)
+    finally:
+        pool.close()
+    models = dict(zip(chosen, fitted))
     scored = labeled.where(F.col("split").isin("validation", "test"))
     preds = written(reduce(DataFrame.unionByName, [score(m, scored, name, target) for name, m in models.items()]), "scored")
     metrics = evaluation.regression_metrics(preds, ["split", "model"])
