@@ -21,9 +21,12 @@ def _d(v: float) -> str:
 
 
 # --- shared Spark inputs -----------------------------------------------------------------
+def labeled_of(days):
+    return split.chronological_split(features.feature_table(days), target="total_revenue")
+
+
 def labeled(spark, sf_dir):
-    ft = features.feature_table(store_daily_of(spark, sf_dir))
-    return split.chronological_split(ft, target="total_revenue")
+    return labeled_of(store_daily_of(spark, sf_dir))
 
 
 def predictions(spark, sf_dir):

@@ -301,14 +301,17 @@ _BUNDLES: dict = {}
 
 
 def _trained(spark, sf_dir):
-    """One training run for all queries of a session on the same files."""
+    """One training run for all queries of a session on the same files; its store-days are kept as the table ``history``."""
     from tillcast.plans import q_evaluation, training
     from tillcast.session import materialize
 
     key = (spark.sparkContext.applicationId, sf_dir, T.state(spark, sf_dir))
     if key not in _BUNDLES:
         _BUNDLES.clear()
-        _BUNDLES[key] = training.train_all(spark, materialize(q_evaluation.labeled(spark, sf_dir)))
+        days = materialize(store_daily_of(spark, sf_dir))
+        bundle = training.train_all(spark, materialize(q_evaluation.labeled_of(days)))
+        bundle.tables["history"] = days
+        _BUNDLES[key] = bundle
     return _BUNDLES[key]
 
 
@@ -348,7 +351,8 @@ def q_gbt_search_trials(spark, sf_dir):
 def _model_forecast(spark, sf_dir):
     from tillcast.plans import training
 
-    return training.model_forecast(_trained(spark, sf_dir), store_daily_of(spark, sf_dir))
+    bundle = _trained(spark, sf_dir)
+    return training.model_forecast(bundle, bundle.tables["history"])
 
 
 @query("model_forecast", "date:date, store_id:string, model:string, predicted_sales:double, lower_bound:double, upper_bound:double")
