@@ -5,6 +5,8 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -353,3 +355,23 @@ def test_words_are_weighed_once_a_document(docs_of, monkeypatch):
     assert "array_remove" not in above and "array_remove" in below
     weight = quality_rules.DOCUMENT_WEIGHT // 3
     assert {r.word: r.n for r in plans["word-counts"].collect()} == {"one": 30 * weight, "two": 60 * weight}
+
+
+def test_measures_take_less_disk_than_the_texts(docs_of, monkeypatch, tmp_path):
+    """The intermediate table holds every whole text, so it has to be packed tighter than Spark's default does."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    docs = docs_of([(i, " ".join(rng.choice(words[: rng.randint(1, 3000)]) for _ in range(400)), "en", "a") for i in range(600)])
+    docs.write.parquet(str(tmp_path / "docs"), compression="snappy")
+    tables = {}
+    written = quality_rules.written
+    monkeypatch.setattr(quality_rules, "written", lambda df, name, **how: tables.setdefault(name, written(df, name, **how)))
+    found = quality_rules.judge(docs)
+
+    def size(folder):
+        return sum(f.stat().st_size for f in folder.glob("*.parquet"))
+
+    measures = Path(urlparse(tables["measures"].inputFiles()[0]).path).parent
+    assert size(measures) < 0.8 * size(tmp_path / "docs")
+    assert tables["measures"].agg(F.sum(F.length("text"))).first()[0] == docs.agg(F.sum(F.length("text"))).first()[0]
+    assert found.count() == 600

@@ -302,7 +302,8 @@ def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"))
     src = base_measures(src, F.col("text"))
     if refs is None:
-        src = written(src, "measures")  # the references rest on the same counts
+        # the references rest on the same counts; it holds every text, so the codec decides what disk the job takes
+        src = written(src, "measures", codec="zstd")
         refs = written(references(src, F.col("class_counts")), "references")
     # joined by their size, since a table may have any number of languages
     named = refs.filter((F.col("lang").isNotNull()) & (F.col("docs") >= MIN_DOCUMENTS)).select(

@@ -58,16 +58,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder (a subfolder for each value of column ``by``) and read it back.
 
     Used where one expensive plan feeds several passes: lineage is cut, the
     table survives lost executors, later reads prune columns, and it goes
-    when the session's JVM ends.
+    when the session's JVM ends.  ``codec``: Parquet's compression, where
+    the session's does not pack enough.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path, compression=codec)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
     return spark.read.schema(df.schema).parquet(path)
