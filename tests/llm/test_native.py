@@ -375,3 +375,23 @@ def test_measures_take_less_disk_than_the_texts(docs_of, monkeypatch, tmp_path):
     assert size(measures) < 0.8 * size(tmp_path / "docs")
     assert tables["measures"].agg(F.sum(F.length("text"))).first()[0] == docs.agg(F.sum(F.length("text"))).first()[0]
     assert found.count() == 600
+
+
+def test_rules_look_at_less_text(docs_of):
+    """Classes are translated after small letters went by runs; words are counted among known runs, not by a search of the text."""
+    texts = ["", "the", "The  the-the, then THE bathe the", "of\x01\x02of the\x02", "été the\u2028été é 😀 #|!", "aä zz" * 400, "1 2 3"]
+    docs = docs_of([(i, t, "en", "a") for i, t in enumerate(texts)])
+    words = ["the", "of", "été"]
+    classes, ref = F.array(F.lit(1.0)), F.struct(F.array(F.lit(1.0)).alias("classes"), F.array(*map(F.lit, words)).alias("words"), F.array(*[F.lit(0.2)] * 3).alias("shares"))
+    nearest = quality_rules._nearest(F.col("text"), classes, F.lit(20), F.array(ref))
+    found = docs.select("doc_id", quality_rules.class_counts(F.col("text")).alias("counts"), nearest["word_distance"].alias("distance"))
+    plan = docs.select("text", quality_rules.class_counts(F.col("text")), nearest)._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(text" not in plan and "regexp_replace(lower(" not in plan and "array_contains" in plan
+    got = {r.doc_id: r for r in found.collect()}
+    for i, t in enumerate(texts):
+        assert got[i].counts == [sum(c in chars for c in t) for _, chars in quality_rules._CLASS_OF] + [len(t)]
+        runs = [x for x in re.split(r"[\W\d_]+", t.lower()) if x]
+        p = [runs.count(w) / max(len(runs), 1) for w in words]
+        p, q = [*p, 1 - sum(p)], [0.2, 0.2, 0.2, 0.4]
+        kl = [a * math.log2(2 * a / (a + b)) for x, y in zip(p, q) for a, b in ((x, y), (y, x)) if a > 0]
+        assert abs(got[i].distance - math.sqrt(max(0, sum(kl)) / 2)) < 1e-5

@@ -36,32 +36,48 @@ _CLASS_OF = (
     ("|", "|<>"),
 )
 N_CLASSES = len(_CLASS_OF) + 1
-_START, _END = "\x02", "\x01"
+#: What stands between two runs of letters.
+_NO_LETTERS = r"[^\p{L}]+"
 
 
-def _occurrences(text: Column, part: Column) -> Column:
-    return ((F.octet_length(text) - F.octet_length(F.replace(text, part, F.lit("")))) / F.octet_length(part)).cast("long")
+def class_counts(text: Column) -> Column:
+    """Characters of a text by class of ``_CLASS_OF`` and, last, all of them.
 
+    Small letters, the bulk of most texts, go by whole runs first, since
+    translating and taking out look at every character by itself.
+    """
+    others = _CLASS_OF[1:]
 
-def class_counts(text: Column) -> Column:
-    """Characters of a text by class of ``_CLASS_OF`` and, last, all of them."""
-    mapped = F.translate(text, "".join(m for _, m in _CLASS_OF), "".join(c * len(m) for c, m in _CLASS_OF))
-    return _let(mapped, lambda t: F.concat(_taken_out(t, F.array(*[F.lit(c) for c, _ in _CLASS_OF])), F.array(F.length(t).cast("long"))))
+    def split(whole: Column) -> Column:
+        return _let(F.regexp_replace(whole, "[a-z]+", ""), lambda rest: _let(mapped(whole, rest), counted))
+
+    def mapped(whole: Column, rest: Column) -> Column:
+        small = (F.length(whole) - F.length(rest)).cast("long")
+        rest = F.translate(rest, "".join(m for _, m in others), "".join(c * len(m) for c, m in others))
+        return F.struct(small.alias("small"), rest.alias("rest"))
+
+    def counted(t: Column) -> Column:
+        parts = F.array(*[F.lit(c) for c, _ in others])
+        sizes = _taken_out(t["rest"], parts, F.octet_length, lambda rest, part: F.replace(rest, part, F.lit("")))
+        return F.concat(F.array(t["small"]), sizes, F.array(t["small"] + F.length(t["rest"])))
 
+    # broken bytes are made characters first, as the regular expression would, so that both lengths count them alike
+    return _let(F.make_valid_utf8(text), split)
 
-def _taken_out(text: Column, parts: Column) -> Column:
-    """Occurrences of each of ``parts`` in a text, bytes over bytes; what is counted is taken out, so that later parts search less.
+
+def _taken_out(whole: Column, parts: Column, size, without) -> Column:
+    """By how much ``size`` falls as each of ``parts`` is taken out of ``whole``; later parts search what is left.
 
     No part may come about, or go, where another one is taken out.
     """
-    start = F.struct(text.alias("rest"), F.array().cast("array<long>").alias("sizes"))
+    start = F.struct(whole.alias("rest"), F.array().cast("array<long>").alias("sizes"))
 
     def step(acc: Column, part: Column) -> Column:
-        size = F.array(F.octet_length(acc["rest"]).cast("long"))
-        return F.struct(F.replace(acc["rest"], part, F.lit("")).alias("rest"), F.concat(acc["sizes"], size).alias("sizes"))
+        sizes = F.concat(acc["sizes"], F.array(size(acc["rest"]).cast("long")))
+        return F.struct(without(acc["rest"], part).alias("rest"), sizes.alias("sizes"))
 
-    sizes = F.aggregate(parts, start, step, lambda acc: F.concat(acc["sizes"], F.array(F.octet_length(acc["rest"]).cast("long"))))
-    return _let(sizes, lambda s: F.transform(parts, lambda part, i: ((F.get(s, i) - F.get(s, i + 1)) / F.octet_length(part)).cast("long")))
+    sizes = F.aggregate(parts, start, step, lambda acc: F.concat(acc["sizes"], F.array(size(acc["rest"]).cast("long"))))
+    return _let(sizes, lambda s: F.transform(parts, lambda part, i: F.get(s, i) - F.get(s, i + 1)))
 
 
 def _shares(counts: Column) -> Column:
@@ -81,13 +97,13 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _marked(text: Column) -> Column:
-    """Lower-case letter runs, each between a start and an end mark (runs of none at the ends of the text included)."""
-    return F.concat(F.lit(_START), F.regexp_replace(F.lower(text), r"[^\p{L}]+", _END + _START), F.lit(_END))
+def _letter_runs(text: Column) -> Column:
+    """Lower-case letter runs of a text."""
+    return F.array_remove(F.split(F.lower(text), _NO_LETTERS), "")
 
 
 def _window_hashes(words: Column) -> Column:
-    """Hash of every ``WINDOW``-word window: hashes of words are joined to pairs, to fours, to eights."""
+    """Hash of every ``WINDOW``-word window: words are joined to hashes of pairs, these to fours, to eights."""
 
     def doubled(width: int):
         def run(h: Column) -> Column:
@@ -96,7 +112,7 @@ def _window_hashes(words: Column) -> Column:
 
         return run
 
-    out = F.transform(words, lambda w: F.xxhash64(w))
+    out = words
     for width in (1, 2, 4):
         out = _let(out, doubled(width))
     return out
@@ -181,7 +197,7 @@ def references(docs: DataFrame, counts: Column | None = None) -> DataFrame:
     # and weighed before words are exploded, since what stands beside an explode is computed for every word
     letters = F.array_remove("words", "")
     words = (
-        src.select("lang", F.split(F.lower("text"), r"[^\p{L}]+").alias("words"))
+        src.select("lang", F.split(F.lower("text"), _NO_LETTERS).alias("words"))
         .withColumn("weight", F.floor(F.lit(DOCUMENT_WEIGHT) / F.greatest(F.size(letters), F.lit(1))))
         .select("lang", "weight", F.explode(letters).alias("word"))
         .groupBy("lang", "word")
@@ -245,15 +261,16 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.round(F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, t: s + t) / 2)), 6)
 
 
-def _word_shares(marked: Column, words: Column) -> Column:
-    """Shares of the given words, and of all others, among the letter runs of a marked text."""
-    n = _occurrences(marked, F.lit(_START)) - _occurrences(marked, F.lit(_START + _END))
-    return _with_rest(
-        _let(
-            F.greatest(n, F.lit(1)),
-            lambda n: F.transform(_taken_out(marked, F.transform(words, lambda w: F.concat(F.lit(_START), w, F.lit(_END)))), lambda k: k / n),
-        )
-    )
+def _word_shares(runs: Column, words: Column) -> Column:
+    """Shares of the given words, and of all others, among the letter runs of a text.
+
+    One pass leaves only the given words, and most runs go by their length
+    alone, so that the passes for each word are short.
+    """
+    longest = F.array_max(F.transform(words, F.octet_length))
+    known = _let(longest, lambda most: F.filter(runs, lambda run: (F.octet_length(run) <= most) & F.array_contains(words, run)))
+    n = F.greatest(F.size(runs), F.lit(1))
+    return _with_rest(_let(n, lambda n: F.transform(_taken_out(known, words, F.size, F.array_remove), lambda k: k / n)))
 
 
 def _with_rest(shares: Column) -> Column:
@@ -268,10 +285,10 @@ def _nearest(text: Column, classes: Column, n_words: Column, refs: Column) -> Co
     """
     spread = F.sqrt(F.greatest(n_words, F.lit(1)))
 
-    def compare(marked: Column, shares: Column):
+    def compare(runs: Column, shares: Column):
         def run(ref: Column) -> Column:
             by_class = js_distance(shares, ref["classes"])
-            by_word = js_distance(_word_shares(marked, ref["words"]), _with_rest(ref["shares"]))
+            by_word = js_distance(_word_shares(runs, ref["words"]), _with_rest(ref["shares"]))
             return _let(F.struct(by_class.alias("c"), by_word.alias("w")), judged)
 
         return run
@@ -284,7 +301,7 @@ def _nearest(text: Column, classes: Column, n_words: Column, refs: Column) -> Co
             by_class.alias("by_class"), by_word.alias("by_word"),
         )
 
-    return _let(F.struct(_marked(text).alias("m"), classes.alias("s")), lambda t: F.array_min(F.transform(refs, compare(t["m"], t["s"]))))
+    return _let(F.struct(_letter_runs(text).alias("runs"), classes.alias("s")), lambda t: F.array_min(F.transform(refs, compare(t["runs"], t["s"]))))
 
 
 def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
